@@ -104,10 +104,11 @@ def win_cumsum(t):
     return d.select("o_orderkey", r(col("total"), 2).alias("total"))
 
 
-@query("win_cummean", f"SELECT o_orderkey, round(avg(o_totalprice) OVER w, 5) AS mean FROM orders {RUN}")
+@query("win_cummean", f"SELECT o_orderkey, sum(round(o_totalprice * 100)::bigint) OVER w / (100::double * count(*) OVER w) AS mean FROM orders {RUN}")
 def win_cummean(t):
-    d = running(t.orders.select(*ORDER, "o_totalprice"), [], ORDER, s=("sum", "o_totalprice"), k=("count", "o_totalprice"))
-    return d.select("o_orderkey", r(F.try_divide("s", "k"), 5).alias("mean"))
+    cents = F.round(col("o_totalprice") * 100).cast("long")  # whole cents add up the same in any order
+    d = running(t.orders.select(*ORDER, cents.alias("c")), [], ORDER, s=("sum", "c"), k=("count", "c"))
+    return d.select("o_orderkey", F.try_divide(col("s"), col("k") * 100.0).alias("mean"))
 
 
 @query("win_cummax", f"""SELECT o_orderkey, max(coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END, 0)) OVER w AS top FROM orders {RUN}""")
