@@ -157,13 +157,13 @@ def select_all_any_of(t):
     return t.part.select(v.all_of(t.part, ["p_partkey", "p_size"]) + v.any_of(t.part, ["p_brand", "p_colour"]))
 
 
-@query("mutate_arith", f"""SELECT {LINE_COLS}, round(l_extendedprice / l_quantity, 6) AS unit,
+@query("mutate_arith", f"""SELECT {LINE_COLS}, l_extendedprice / l_quantity AS unit,
 round(l_extendedprice * (1 - l_discount), 4) AS net, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS gross FROM lineitem""")
 def mutate_arith(t):
     d = t.lineitem.withColumn("unit", F.try_divide("l_extendedprice", "l_quantity"))
     d = d.withColumn("net", col("l_extendedprice") * (1 - col("l_discount")))
     d = d.withColumn("gross", col("net") * (1 + col("l_tax")))
-    return d.select(*LINE_COLS.split(", "), r(col("unit")).alias("unit"), r(col("net"), 4).alias("net"), "gross")
+    return d.select(*LINE_COLS.split(", "), "unit", r(col("net"), 4).alias("net"), "gross")
 
 
 @query("case_when", """SELECT p_partkey, CASE WHEN p_size > 40 THEN 'large' WHEN p_size > 20 THEN 'medium' ELSE 'small' END AS size_class FROM part""")
