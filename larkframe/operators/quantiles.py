@@ -15,15 +15,17 @@ from larkframe.operators.grouping import match_join
 from larkframe.operators.ordering import running
 
 
-def value_table(df: DataFrame, by: list[str], value: Column | str, descending: bool = False, **sums: Column) -> DataFrame:
+def value_table(
+    df: DataFrame, by: list[str], value: Column | str, descending: bool = False, weight: Column | None = None, **sums: Column
+) -> DataFrame:
     """Distinct non-null values per group: ``v``, count ``n``, inclusive running count ``cum``, order number ``dense``.
 
-    Extra ``name=column`` arguments are summed per value, with running totals ``cum_name``.
+    ``weight`` counts a row that many times. Extra ``name=column`` arguments are summed per value, with running totals ``cum_name``.
     """
     v = F.col(value) if isinstance(value, str) else value
     d = df.withColumn("_v", v).where(F.col("_v").isNotNull())
     t = d.groupBy(*by, F.col("_v").alias("v")).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(name) for name, c in sums.items()]
+        (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n"), *[F.sum(c).alias(name) for name, c in sums.items()]
     )
     order = [F.col("v").desc()] if descending else ["v"]
     outs = {"cum": ("sum", "n"), "dense": ("count", "n")}
@@ -36,9 +38,11 @@ def long_form(df: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
     return df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(by, cols, "measure", "value")
 
 
-def quantiles(df: DataFrame, by: list[str], value: Column | str, probs: dict[str, float]) -> DataFrame:
+def quantiles(
+    df: DataFrame, by: list[str], value: Column | str, probs: dict[str, float], weight: Column | None = None
+) -> DataFrame:
     """Type-7 quantiles per group: one column per entry of ``probs``."""
-    t = value_table(df, by, value)
+    t = value_table(df, by, value, weight=weight)
     size = t.groupBy(*by).agg(F.sum("n").alias("_size"))
     if by:
         t = match_join(t, size, by)
