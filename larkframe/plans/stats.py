@@ -1,7 +1,6 @@
 """Bootstrap, tests of hypotheses, and regression diagnostics."""
 
 import math
-from functools import reduce
 
 import numpy as np
 
@@ -14,7 +13,6 @@ from larkframe.operators.quantiles import quantiles
 from larkframe.plans.aggregates import guarded_corr
 from larkframe.plans.base import *
 from larkframe.plans.sqltext import *
-from larkframe.plans.verbs import poisson_copies
 from larkframe.tables import CLS_SCORED_SQL, REG_SQL, SCORED_SQL
 
 REPS = 40
@@ -30,11 +28,16 @@ def _cum() -> list[float]:
     return out
 
 
-def poisson_weight(key: str, rep: int) -> Column:
-    """Poisson(1) count of a row in a replicate; one digest serves four replicates."""
-    h = F.substring(digest([key], f"boot{rep // 4}"), 1 + 8 * (rep % 4), 8)
-    u = F.conv(h, 16, 10).cast("long") / F.lit(4294967296.0)
-    return reduce(lambda a, b: a + b, [(u >= F.lit(c)).cast("int") for c in _cum()])
+def with_weights(df: DataFrame, key: str, reps: int) -> DataFrame:
+    """Each row with its Poisson(1) count ``w`` in replicates 0..reps-1; one digest serves four replicates."""
+    digests = F.array(*[digest([key], f"boot{b}") for b in range(reps // 4)])
+    d = df.select("*", F.posexplode(digests).alias("_b", "_h")).withColumn("_k", F.explode(F.array(*[F.lit(k) for k in range(4)])))
+    u = F.conv(F.substring(col("_h"), 1 + 8 * col("_k"), F.lit(8)), 16, 10).cast("long") / F.lit(4294967296.0)
+    d = d.withColumn("_u", u)
+    w = None
+    for k, c in enumerate(_cum()):
+        w = F.when(col("_u") < c, k) if w is None else w.when(col("_u") < c, k)
+    return d.withColumn("w", w.otherwise(STEPS)).withColumn("rep", col("_b") * 4 + col("_k")).drop("_b", "_h", "_k", "_u")
 
 
 def weight_sql(key: str, rep: str = "rep") -> str:
@@ -45,12 +48,9 @@ def weight_sql(key: str, rep: str = "rep") -> str:
 @query("stat_bootstrap_mean", f"""WITH m AS (SELECT rep, sum(w * value) / sum(w) AS m FROM (SELECT value, rep, {weight_sql('event_id')} AS w FROM events, range({REPS}) x(rep)) GROUP BY 1)
 SELECT round(avg(m), 6) AS mean, round(stddev_samp(m), 6) AS se, round(quantile_cont(m, 0.025), 6) AS lo, round(quantile_cont(m, 0.975), 6) AS hi, count(*) AS reps FROM m""")
 def stat_bootstrap_mean(t):
-    """Poisson bootstrap: every replicate is a weighted mean, so all replicates come from one pass without copying rows."""
-    aggs = []
-    for b in range(REPS):
-        w = poisson_weight("event_id", b)
-        aggs.append((F.sum(w * col("value")) / F.sum(w)).alias(f"m{b}"))
-    m = t.events.agg(*aggs).unpivot([], [f"m{b}" for b in range(REPS)], "rep", "m")
+    """Poisson bootstrap: replicates are weighted means, combined map-side into one row per replicate."""
+    d = with_weights(t.events.select("event_id", "value"), "event_id", REPS)
+    m = d.groupBy("rep").agg((F.sum(col("w") * col("value")) / F.sum("w")).alias("m"))
     return m.agg(r(F.avg("m")).alias("mean"), r(F.stddev_samp("m")).alias("se"), r(F.percentile("m", F.lit(0.025))).alias("lo"),
                  r(F.percentile("m", F.lit(0.975))).alias("hi"), F.count(F.lit(1)).alias("reps"))  # 40 replicate rows
 
@@ -64,8 +64,7 @@ s AS (SELECT rep, avg(value) AS mean, median(value) AS median, stddev_samp(value
 l AS (UNPIVOT s ON mean, median, sd, iqr INTO NAME stat VALUE v)
 SELECT stat, round(avg(v), 6) AS est, round(quantile_cont(v, 0.025), 6) AS lo, round(quantile_cont(v, 0.975), 6) AS hi FROM l GROUP BY 1""")
 def stat_bootstrap_multi(t):
-    weights = F.array(*[F.struct(F.lit(b).alias("rep"), poisson_weight("event_id", b).alias("w")) for b in range(MULTI_REPS)])
-    d = t.events.select("value", F.inline(weights)).where(col("w") > 0)
+    d = with_weights(t.events.select("event_id", "value"), "event_id", MULTI_REPS).where(col("w") > 0)
     d = d.groupBy("rep", "value").agg(F.sum("w").alias("w"))  # equal values collapse before the order statistics
     q = quantiles(d, ["rep"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, weight=col("w"))
     n, s1, s2 = F.sum("w"), F.sum(col("w") * col("value")), F.sum(col("w") * col("value") * col("value"))
