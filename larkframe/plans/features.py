@@ -7,6 +7,7 @@ from larkframe.plans.aggregates import guarded_corr
 from larkframe.plans.base import *
 from larkframe.plans.resampling import cnt_sql, rank_sql
 from larkframe.plans.sqltext import fitted_sql, ols_sql
+from larkframe.session import materialized
 from larkframe.tables import CLS_SQL, ORDERS_NULLS_SQL, REG_NULLS_SQL, REG_SQL, u_sql
 
 XS = ["x1", "x2", "x3"]
@@ -17,7 +18,8 @@ PART_SQL = f"ps AS (SELECT *, {PART_ROLE} FROM part), tr AS (SELECT * FROM ps WH
 
 
 def split(t) -> tuple[DataFrame, DataFrame]:
-    d = initial_split(t.reg, ["key"])
+    """Training rows and all rows; the split is written once, because every step passes over it."""
+    d = materialized(initial_split(t.reg, ["key"]))
     return d.where(col("role") == "train"), d
 
 
@@ -100,8 +102,8 @@ b AS (SELECT arg_max(lam, ll) AS lam FROM l) SELECT key, lam, round({f}, 5) AS x
 def powered(t, kind: str) -> DataFrame:
     train, d = split(t)
     lam = fe.best_lambda(train, "x1", kind)
-    done = fe.power(["x1"], kind)(train)
-    return done(d).select("key", F.lit(lam).alias("lam"), r(col("x1"), 5).alias("x1"))
+    fn = fe.yeo_johnson if kind == "yeo_johnson" else fe.box_cox
+    return d.select("key", F.lit(lam).alias("lam"), r(fn(col("x1"), lam), 5).alias("x1"))
 
 
 @query("fe_yeojohnson", power_sql(YJ, "ln(x + 1)"))
@@ -249,7 +251,7 @@ NULL_TRAIN = REG_NULLS_SQL + f", s AS (SELECT *, {ROLE} FROM reg_nulls), tr AS (
 
 
 def null_split(t):
-    d = initial_split(t.reg_nulls, ["key"])
+    d = materialized(initial_split(t.reg_nulls, ["key"]))
     return d.where(col("role") == "train"), d
 
 
@@ -433,7 +435,7 @@ def fe_class_weights(t):
 def fe_credit_recipe(t):
     """Classification chain: impute, ratios, transform, indicators, near-zero variance, scale, correlation filter, smote."""
     d = t.cls.withColumn("f4", F.when(uniform_gap("doc_id") >= 0.1, col("f4"))).select("doc_id", "quality", "lang", *FX)
-    train = initial_split(d, ["doc_id"], strata=["quality"]).where(col("role") == "train").drop("role")
+    train = materialized(initial_split(d, ["doc_id"], strata=["quality"]).where(col("role") == "train").drop("role"))
     nums = FX + ["per_word"]
     steps = [fe.impute_median(["f4"]), fe.mutate(per_word=lambda: F.try_divide(F.exp("f1"), col("f4") + 1)), fe.power(["f1", "f4", "per_word"]),
              fe.dummy("lang"), fe.drop_nzv(nums), fe.normalize(nums), fe.drop_correlated(nums, 0.95)]
@@ -454,7 +456,7 @@ def uniform_gap(key: str) -> Column:
 def fe_house_recipe(t):
     """Regression chain: log outcome, derived columns, removal, impute, lump, power, interaction, indicators, scale, variance filter."""
     d = t.reg_nulls.select("key", "cat", "y", *XS)
-    train = initial_split(d, ["key"]).where(col("role") == "train").drop("role")
+    train = materialized(initial_split(d, ["key"]).where(col("role") == "train").drop("role"))
     steps = [fe.log(["y"], 20), fe.mutate(per=lambda: col("x1") / (col("x2") + 1)), fe.impute_median(["x1", "x2", "x3", "per"]), fe.other("cat", 0.3),
              fe.power(["x1", "per"]), fe.interact("x1", "x2"), fe.dummy("cat", ["A", "N", "R", "other"]), fe.normalize(["x1", "x2", "x3", "per", "x1_x_x2"]), fe.drop_nzv(["x1", "x2", "x3", "per", "x1_x_x2"])]
     out = fe.bake(fe.prep(train, steps), d)

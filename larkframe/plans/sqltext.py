@@ -9,13 +9,15 @@ def moments_sql(src: str, cols: list[str], name: str = "mom", by: str = "") -> s
 
 
 def ols_sql(src: str, y: str, xs: list[str], by: str = "", ridge: str = "0", name: str = "ols") -> str:
-    """CTEs ending in ``name`` with n, b0, b_<x>, rss, tss, s2, m_<x> and iv<i>_<j> (inverse of the centred cross products)."""
+    """Least squares of y on xs. ``ridge`` is text added to the diagonal, with {i} and {k} for the row and the outcome.
+
+    CTEs ending in ``name`` with n, b0, b_<x>, rss, tss, s2, m_<x> and iv<i>_<j> (inverse of the centred cross products)."""
     cols = xs + [y]
     k, g = len(xs), (f"{by}, " if by else "")
     ctes = [moments_sql(src, cols, f"{name}_0", by)]
     ent = lambda f: ", ".join(f"{f(i, j)} AS a{i}_{j}" for i in range(k + 1) for j in range(k + 1))
     keep = g + "n, " + ", ".join(f"m{i}" for i in range(k + 1))
-    first = ent(lambda i, j: f"a{i}_{j} + {ridge}" if i == j and i < k and ridge != "0" else f"a{i}_{j}")
+    first = ent(lambda i, j: f"a{i}_{j} + {ridge.format(i=i, k=k)}" if i == j and i < k and ridge != "0" else f"a{i}_{j}")
     ctes.append(f"{name}_1 AS (SELECT {keep}, a{k}_{k} AS yy, {first} FROM {name}_0)")
     for p in range(k):
         def f(i, j, p=p):
@@ -33,6 +35,11 @@ def ols_sql(src: str, y: str, xs: list[str], by: str = "", ridge: str = "0", nam
     return ",\n".join(ctes)
 
 
+def ridge_sql(lam: str) -> str:
+    """Diagonal term of a penalty on standardised predictors and outcome."""
+    return f"{lam} / sqrt(a{{k}}_{{k}}) * a{{i}}_{{i}}"
+
+
 def fitted_sql(xs: list[str], p: str = "") -> str:
     return f"({p}b0" + "".join(f" + {p}b_{x} * {x}" for x in xs) + ")"
 

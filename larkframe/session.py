@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", app: str = "larkframe") -> SparkSession:
@@ -38,3 +38,9 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, for a written table."""
     return f"{shared_folder(spark).rstrip('/')}/larkframe/{name}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """The rows written once to the checkpoint folder, for inputs that several passes read."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
