@@ -148,12 +148,13 @@ def _depth(tree: list, x: np.ndarray, idx: np.ndarray, depth: int, out: np.ndarr
 
 
 def isolation_forest(df: DataFrame, key: str, xs: list[str], trees: int = 50, sample: int = 256) -> DataFrame:
-    """Isolation score per row. Each tree grows from its own hash sample of fixed size, all trees in parallel tasks;
+    """Isolation score per row. Each tree grows from its own sample of fixed size, the trees in parallel tasks;
     the grown trees (bounded by trees x sample nodes) go back to the scoring tasks."""
     import json
 
-    # a hash places every row in order for each tree; the top-k filter runs before the shuffle
-    many = df.select(key, *[F.col(x).cast("double").alias(x) for x in xs]).withColumn("tree", F.explode(F.sequence(F.lit(1), F.lit(trees))))
+    # one pass keeps a pool of trees x sample rows (a fixed number); each tree then takes its own sample of the pool
+    pool = df.select(key, *[F.col(x).cast("double").alias(x) for x in xs]).orderBy(digest([key], "iforest"), key).limit(trees * sample)
+    many = pool.withColumn("tree", F.explode(F.sequence(F.lit(1), F.lit(trees))))
     w = Window.partitionBy("tree").orderBy(digest([key, "tree"], "iforest"), key)
     drawn = many.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample)
 

@@ -4,6 +4,7 @@ Points go to the cell of their nearest pivot. From the few smallest pivot distan
 upper bound of its k-th neighbour distance, and visits only cells that can hold a point within that bound. A cell is
 split into chunks of bounded size and its queries are salted, so a hot cell is many tasks; a task returns the k best of
 its chunk, never all pairs, and a last per-query pass keeps the k best of all chunks. No candidate is capped or sampled.
+Copies of one vector are searched once.
 """
 
 from __future__ import annotations
@@ -38,20 +39,39 @@ def knn(
 ) -> DataFrame:
     """For every query the k nearest points: (``qid``, ``nid``, ``dist``, ``place``), ties by point key.
 
-    ``same`` says that both frames hold the same keys and a row is not its own neighbour. Keys are long integers or
-    text, ``vec`` is an array of doubles.
+    ``same`` says that both frames hold the same keys and a row is not its own neighbour. Keys are whole numbers or
+    text, ``vec`` is an array of doubles. The search runs on distinct vectors, each with its first few keys, so any
+    number of copies of one vector is one point of the search.
     """
-    spark = points.sparkSession
+    shared_folder(points.sparkSession)
+    need = k + 1 if same else k
     pts = points.select(F.col(key).alias("nid"), F.col(vec).alias("pv"))
     qs = queries.select(F.col(key).alias("qid"), F.col(vec).alias("qv"))
+    first = Window.partitionBy("pv").orderBy("nid")  # the row limit is applied before the shuffle too
+    keys = pts.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= need).drop("_r").checkpoint()
+    reps = keys.groupBy("pv").agg(F.min("nid").alias("nid"))
+    members = keys.join(reps.withColumnRenamed("nid", "rep"), "pv").select("rep", "nid")
+    asked = qs.groupBy("qv").agg(F.min("qid").alias("qid")).checkpoint()
+    near = _search(reps, asked, need, metric, pivots, chunk).withColumnRenamed("nid", "rep").join(members, "rep")
+    w = Window.partitionBy("qid").orderBy("dist", "nid")  # at most need x need rows per distinct query
+    near = near.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= need).select(F.col("qid").alias("_q"), "nid", "dist")
+    owners = qs.join(asked.withColumnRenamed("qid", "_q"), "qv").select("qid", "_q")
+    out = owners.join(near, "_q").drop("_q")
+    if same:
+        out = out.where(F.col("qid") != F.col("nid"))
+    return out.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+
+
+def _search(pts: DataFrame, qs: DataFrame, need: int, metric: str, pivots: int | None, chunk: int) -> DataFrame:
+    """The ``need`` nearest of the distinct points for every distinct query."""
+    spark = pts.sparkSession
     kind = dict(pts.dtypes)["nid"]
     n = pts.count()
     want = pivots or min(MAX_PIVOTS, max(1, int(math.sqrt(n))))
     rows = pts.orderBy(digest(["nid"], "pivot")).limit(want).select("pv").collect()  # at most MAX_PIVOTS rows
     if not rows:
-        return spark.createDataFrame([], f"qid {kind}, nid {kind}, dist double, place int")
+        return spark.createDataFrame([], f"qid {kind}, nid {kind}, dist double")
     pivot = np.array([row["pv"] for row in rows], dtype=float)
-    need = k + 1 if same else k
 
     @F.pandas_udf("cell int, d double")
     def assign(v: pd.Series) -> pd.DataFrame:
@@ -59,7 +79,6 @@ def knn(
         best = d.argmin(axis=1)
         return pd.DataFrame({"cell": best.astype("int32"), "d": d[np.arange(len(d)), best]})
 
-    shared_folder(spark)
     placed = pts.withColumn("_a", assign("pv")).select("nid", "pv", "_a.cell", "_a.d").checkpoint()
     # per cell: size, radius and the few smallest pivot distances (top-k with a group limit before the shuffle)
     near = Window.partitionBy("cell").orderBy("d")
@@ -98,7 +117,6 @@ def knn(
     group = ["cell", "part", "salt"]
 
     def best(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        cols = ["qid", "nid", "dist"]
         if q.empty or p.empty:
             return pd.DataFrame({"qid": q["qid"][:0], "nid": p["nid"][:0], "dist": np.empty(0)})
         p = p.sort_values("nid", kind="stable")
@@ -109,14 +127,11 @@ def knn(
         step = max(1, int(2e6 // len(pid)))
         for i in range(0, len(qid), step):
             d = distances(qv[i:i + step], pv, metric)
-            if same:
-                d = np.where(qid[i:i + step, None] == pid[None, :], np.inf, d)
             o = np.argsort(d, axis=1, kind="stable")[:, :top]
             parts.append(pd.DataFrame({"qid": np.repeat(qid[i:i + step], top), "nid": pid[o].ravel(), "dist": np.take_along_axis(d, o, 1).ravel()}))
-        out = pd.concat(parts)[cols]
-        return out[np.isfinite(out["dist"])]
+        return pd.concat(parts)
 
     cand = left.select(*group, "qid", "qv").groupBy(*group).cogroup(right.select(*group, "nid", "pv").groupBy(*group)).applyInPandas(
         best, f"qid {kind}, nid {kind}, dist double")
-    w = Window.partitionBy("qid").orderBy("dist", "nid")  # at most k rows per visited chunk
-    return cand.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+    w = Window.partitionBy("qid").orderBy("dist", "nid")  # at most need rows per visited chunk
+    return cand.withColumn("_p", F.row_number().over(w)).where(F.col("_p") <= need).drop("_p")

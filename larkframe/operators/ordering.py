@@ -24,9 +24,8 @@ def chunked(df: DataFrame, by: list[str], order: list) -> DataFrame:
     The checkpoint keeps the numbers the same for every later use, also when an executor is lost.
     """
     shared_folder(df.sparkSession)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(b).asc_nulls_last() for b in by] + _sort_columns(order)
-    return df.repartitionByRange(parts, *keys).withColumn("_chunk", F.spark_partition_id()).checkpoint()
+    return df.repartitionByRange(*keys).withColumn("_chunk", F.spark_partition_id()).checkpoint()
 
 
 def running(df: DataFrame, by: list[str], order: list, **outs: tuple[str, str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import vector_to_array
 
 from larkframe.learning import clustering as cu
+from larkframe.learning.features import levels_of
 from larkframe.learning.resample import bootstraps
 from larkframe.operators import hypothesis as hy
 from larkframe.operators.components import components
@@ -253,7 +254,7 @@ def un_gower(t):
     With half indicators per category the distance is a sum of absolute differences, so the exact search applies.
     """
     s = one_row(t.supplier, lo=F.min("s_acctbal"), hi=F.max("s_acctbal"))
-    nations = [x["n_nationkey"] for x in t.nation.orderBy("n_nationkey").limit(1000).collect()]
+    nations = levels_of(t.supplier, "s_nationkey")
     vec = F.array(col("s_acctbal") / (s["hi"] - s["lo"]), *[F.when(col("s_nationkey") == n, 0.5).otherwise(0.0) for n in nations])
     d = t.supplier.select(col("s_suppkey").alias("id"), vec.alias("vec"))
     return knn(d, d, 3, metric="l1").select(col("qid").alias("s_suppkey"), "nid", "place", r(col("dist") / 2).alias("gower"))

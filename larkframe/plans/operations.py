@@ -107,11 +107,12 @@ def ops_retrain(t):
     """Year by year: score with the current model; when the error has grown by a tenth, refit on the rows up to that
     year and report the error of the next year for both models."""
     d = t.reg.select(F.year("ship").alias("yr"), *XS, (col("y") + F.when(F.year("ship") >= 1998, 3 * col("x3")).otherwise(0)).alias("y"))
-    d = materialized(d.where(col("yr").between(1996, 2000)))
-    model = md.linear(d.where(col("yr") == 1996), "y", XS)
+    d = materialized(d)
+    span = one_row(d, lo=F.min("yr"), hi=F.max("yr"))
+    model = md.linear(d.where(col("yr") == span["lo"]), "y", XS)
     error = lambda m, yr: md.predict(m, d.where(col("yr") == yr)).agg(mt.rmse("y", "pred").alias("e")).first()["e"]
-    base, rows = error(model, 1996), []
-    for yr in range(1997, 2001):
+    base, rows = error(model, span["lo"]), []
+    for yr in range(span["lo"] + 1, span["hi"] + 1):
         now = error(model, yr)
         worse = (now - base) / base * 100
         after = None

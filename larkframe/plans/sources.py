@@ -87,13 +87,13 @@ def src_csv_blank_rows(t):
     return d.where(F.coalesce(*[col(c).cast("string") for c in named]).isNotNull()).select(*named)
 
 
-@query("src_csv_encoding", "SELECT doc_id, md5(regexp_replace(regexp_replace(text, '[\\n\\r]', ' ', 'g'), '[^\\x00-\\xff]', '', 'g')) AS h FROM documents WHERE lang IN ('fr', 'es')")
+@query("src_csv_encoding", "SELECT doc_id, md5(regexp_replace(regexp_replace(text, '[\\n\\r]', ' ', 'g'), '[^\\x00-\\xff]', '', 'g')) AS h FROM documents")
 def src_csv_encoding(t):
     # Latin-1 keeps the characters up to U+00FF; others and line breaks are taken out before writing
     plain = F.regexp_replace(F.regexp_replace("text", "[\\n\\r]", " "), "[^\\x{00}-\\x{ff}]", "")
-    d = t.documents.where(col("lang").isin("fr", "es")).select("doc_id", F.base64(F.encode(plain, "ISO-8859-1")).alias("b"), plain.alias("x"))
+    d = t.documents.select("doc_id", plain.alias("x"))
     path = new_folder(t.spark, "latin")
-    d.select("doc_id", "x").write.option("encoding", "ISO-8859-1").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    d.write.option("encoding", "ISO-8859-1").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
     back = t.spark.read.option("encoding", "ISO-8859-1").option("header", True).option("escape", '"').schema("doc_id long, x string").csv(path)
     return back.select("doc_id", F.md5(F.coalesce("x", F.lit(""))).alias("h"))
 
