@@ -101,11 +101,11 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
     """One row with the adjusted Rand index, from pair counts of the contingency table."""
     pairs = lambda n: n * (n - 1) / 2
     cells = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
-    tot = lambda c, name: cells.groupBy(c).agg(F.sum("n").alias("n")).agg(F.sum(pairs(F.col("n"))).alias(name)).withColumn("_k", F.lit(1))
-    s = cells.agg(F.sum(pairs(F.col("n"))).alias("both"), F.sum("n").alias("n")).withColumn("_k", F.lit(1))
-    j = s.join(tot(a, "pa"), "_k").join(tot(b, "pb"), "_k")  # three one-row tables
-    expect = F.col("pa") * F.col("pb") / pairs(F.col("n"))
-    return j.select(F.try_divide(F.col("both") - expect, (F.col("pa") + F.col("pb")) / 2 - expect).alias("ari"))
+    side = lambda c: one_row(cells.groupBy(c).agg(F.sum("n").alias("n")), p=F.sum(pairs(F.col("n"))))["p"]
+    pa, pb = F.lit(side(a)), F.lit(side(b))
+    s = cells.agg(F.sum(pairs(F.col("n"))).alias("both"), F.sum("n").alias("n"))
+    expect = pa * pb / pairs(F.col("n"))
+    return s.select(F.try_divide(F.col("both") - expect, (pa + pb) / 2 - expect).alias("ari"))
 
 
 # Outliers

@@ -452,8 +452,11 @@ def term_counts(df: DataFrame, key: str, words: Column) -> DataFrame:
     return df.select(key, F.explode(words).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tf_idf(counts: DataFrame, key: str, n_docs: int) -> DataFrame:
-    """Share of the document times ln(1 + documents / documents with the term)."""
-    d = attach(counts, [key], _len=F.sum("tf"))
+def tf_idf(df: DataFrame, key: str, words: Column, n_docs: int) -> DataFrame:
+    """(key, term, tf, tfidf): share of the document times ln(1 + documents / documents with the term).
+
+    The document length travels with its terms; the only join is with the table of terms.
+    """
+    d = df.select(key, F.size(words).alias("_len"), F.explode(words).alias("term")).groupBy(key, "_len", "term").agg(F.count(F.lit(1)).alias("tf"))
     d = attach(d, ["term"], _df=F.count(F.lit(1)))
     return d.withColumn("tfidf", F.col("tf") / F.col("_len") * F.ln(1 + F.lit(n_docs) / F.col("_df"))).drop("_len", "_df")

@@ -54,9 +54,7 @@ def pair_up(left: DataFrame, right: DataFrame, order: list[str]) -> DataFrame:
     The product is the asked-for result; each right row number is its own join key, so the work spreads evenly.
     """
     numbered = positions(right, [], order, "_k")
-    size = numbered.count()
-    if size == 0:
-        return left.join(right, F.lit(False))
+    size = max(1, numbered.count())
     spread = left.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(size))))
     return spread.join(numbered, "_k").drop("_k")
 

@@ -381,7 +381,7 @@ def fe_tf_binary(t):
 @query("fe_tfidf", f"""WITH {LONG_SQL}, c AS (SELECT doc_id, term, count(*) AS tf FROM lt GROUP BY 1, 2), x AS (SELECT *, sum(tf) OVER (PARTITION BY doc_id) AS len, count(*) OVER (PARTITION BY term) AS df FROM c)
 SELECT doc_id, term, tf, round(tf / len * ln(1 + (SELECT count(*) FROM documents) / df), 6) AS tfidf FROM x""")
 def fe_tfidf(t):
-    d = fe.tf_idf(fe.term_counts(words(t), "doc_id", col("w")), "doc_id", t.documents.count())
+    d = fe.tf_idf(words(t), "doc_id", col("w"), t.documents.count())
     return d.select("doc_id", "term", "tf", r(col("tfidf")).alias("tfidf"))
 
 
