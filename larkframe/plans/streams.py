@@ -78,9 +78,9 @@ def st_dedup_requests(t):
     return jobs.run(d, "append", "dedup").drop("batch")
 
 
-@query("st_rate_limit_state", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, user_id, count(*) AS calls FROM events GROUP BY 1, 2 HAVING count(*) > 2")
+@query("st_rate_limit_state", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, user_id, count(*) AS calls FROM events GROUP BY 1, 2 HAVING count(*) > 1")
 def st_rate_limit_state(t):
     """Users with more calls in an hour than allowed."""
     w = jobs.windowed(arriving(t), "ts", LATE, "1 hour", ["user_id"], calls=F.count(F.lit(1)))
-    d = jobs.latest(jobs.run(w.where(col("calls") > 2), "update", "limits"), ["start", "user_id"])
+    d = jobs.latest(jobs.run(w.where(col("calls") > 1), "update", "limits"), ["start", "user_id"])
     return d.select(F.date_format("start", SPAN).alias("start"), "user_id", "calls")

@@ -21,7 +21,7 @@ def flagship(t: Tables) -> DataFrame:
     )
     by = (
         joined.groupBy("n_name", "c_mktsegment")
-        .agg(F.count(F.lit(1)).alias("n"), r(F.sum(col("l_extendedprice") * (1 - col("l_discount"))), 2).alias("revenue"))
+        .agg(F.count(F.lit(1)).alias("n"), r(F.sum(col("l_extendedprice") * (1 - col("l_discount"))), 4).alias("revenue"))
         .where(col("n") >= 2)
     )
     # at most nations x segments rows are ranked
@@ -31,7 +31,7 @@ def flagship(t: Tables) -> DataFrame:
 
 @query("join_filter_rank", """
 SELECT *, dense_rank() OVER (PARTITION BY c_mktsegment ORDER BY revenue DESC) AS place FROM (
- SELECT n_name, c_mktsegment, count(*) AS n, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+ SELECT n_name, c_mktsegment, count(*) AS n, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue
  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
  JOIN nation ON c_nationkey = n_nationkey WHERE l_discount >= 0.02 AND l_quantity > 5 GROUP BY 1, 2 HAVING count(*) >= 2)""")
 def join_filter_rank(t):

@@ -1,4 +1,7 @@
-"""Run named queries against their SQL on DuckDB and compare names, row counts and values."""
+"""Run named queries against their SQL on DuckDB and compare names, row counts and values.
+
+Arguments: a table folder, query names or prefixes ending in *, and -name to leave one out.
+"""
 
 from __future__ import annotations
 
@@ -77,14 +80,16 @@ def main():
     from larkframe.session import local_session
 
     path = "/root/testdata/sf0.01"
-    args = sys.argv[1:]
+    skip = {a[1:] for a in sys.argv[1:] if a.startswith("-")}
+    args = [a for a in sys.argv[1:] if not a.startswith("-")]
     if args and args[0].startswith("/"):
         path = args.pop(0)
     spark = local_session("8")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(path)
     qs, oracles = e.queries(), e.oracle_sql()
-    names = [n for n in qs if not args or n in args or any(a.endswith("*") and n.startswith(a[:-1]) for a in args)]
+    names = [n for n in qs if n not in skip]
+    names = [n for n in names if not args or n in args or any(a.endswith("*") and n.startswith(a[:-1]) for a in args)]
     bad = 0
     for n in names:
         t0 = time.time()
