@@ -127,8 +127,15 @@ def _search(pts: DataFrame, qs: DataFrame, need: int, metric: str, pivots: int |
         step = max(1, int(2e6 // len(pid)))
         for i in range(0, len(qid), step):
             d = distances(qv[i:i + step], pv, metric)
-            o = np.argsort(d, axis=1, kind="stable")[:, :top]
-            parts.append(pd.DataFrame({"qid": np.repeat(qid[i:i + step], top), "nid": pid[o].ravel(), "dist": np.take_along_axis(d, o, 1).ravel()}))
+            # values up to the top-th smallest, ties included; then order only those by (distance, point key)
+            last = np.partition(d, top - 1, axis=1)[:, top - 1]
+            i_q, i_p = np.nonzero(d <= last[:, None])
+            dist = d[i_q, i_p]
+            o = np.lexsort((i_p, dist, i_q))
+            i_q, i_p, dist = i_q[o], i_p[o], dist[o]
+            first = np.searchsorted(i_q, np.arange(len(d)))
+            keep = np.arange(len(i_q)) - first[i_q] < top
+            parts.append(pd.DataFrame({"qid": qid[i:i + step][i_q[keep]], "nid": pid[i_p[keep]], "dist": dist[keep]}))
         return pd.concat(parts)
 
     cand = left.select(*group, "qid", "qv").groupBy(*group).cogroup(right.select(*group, "nid", "pv").groupBy(*group)).applyInPandas(
