@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,3 +49,47 @@ def slices(sizes: Iterable[int], most: int) -> Iterator[slice]:
         total += n
     if at >= begin:
         yield slice(begin, at + 1)
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """The splitmix64 finaliser: a bijection of 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(max(n, 1), base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def word_hashes(texts: list[str], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word (run of bytes other than ASCII white space), and the number of words per text."""
+    raw = [(t.lower() if lower else t).encode("utf-8", "surrogatepass") for t in texts]
+    b = np.frombuffer(b" " + b" ".join(raw) + b" ", dtype=np.uint8)
+    blank = _SPACE[b]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    first, end = edge[::2], edge[1::2]
+    total = np.zeros(len(b) + 1, dtype=np.uint64)
+    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * powers(_ODD, len(b)), out=total[1:])
+    inverse = powers(_INVERSE, len(b))
+    hashes = mix((total[end] - total[first]) * inverse[first])
+    ends = 1 + np.cumsum([len(r) + 1 for r in raw])
+    return hashes, np.diff(np.searchsorted(first, ends), prepend=0)
+
+
+def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from every place on; the last size - 1 places are left out."""
+    n = len(words) - size + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    total = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * powers(_ODD, len(words)), out=total[1:])
+    return mix((total[size:] - total[:-size]) * powers(_INVERSE, n))
