@@ -1,4 +1,4 @@
 """Importing this registers the queries of all operators."""
 
-from larkframe.llm import bag_minhash, language_crf, line_dedup  # noqa: F401
+from larkframe.llm import bag_minhash, language_crf, line_dedup, suffix_dedup  # noqa: F401
 from larkframe.llm.registry import ORACLES, QUERIES  # noqa: F401
