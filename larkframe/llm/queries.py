@@ -1,6 +1,6 @@
 """Importing this registers the queries of all operators."""
 
 from larkframe.llm import (  # noqa: F401
-    bag_minhash, bpe_automaton, language_crf, line_dedup, packing, repair, suffix_dedup, warc,
+    bag_minhash, bpe_automaton, cosine_dedup, language_crf, line_dedup, packing, repair, suffix_dedup, warc,
 )
 from larkframe.llm.registry import ORACLES, QUERIES  # noqa: F401
