@@ -23,9 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkframe.llm.common import keyed, mix, place, run_hashes, same_doc, slices, word_hashes, written
+from larkframe.llm.common import connected, keyed, mix, place, run_hashes, same_doc, slices, word_hashes, written
 from larkframe.llm.registry import query, table
-from larkframe.operators.components import components
 
 SHINGLE = 5
 SLOTS = 96
@@ -279,16 +278,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     of = written(bags(texts), "bag-shingles")
     pairs = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = written(verified(pairs, of), "bag-links")
-    labels = components(some, links)
-    marked = written(members.select("key", "node").join(labels, "node"), "bag-marked")
+    star = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))  # nodes of one star need no more comparison
+    marked = written(members.select("key", "node").join(star, "node", "left").withColumn("label", F.coalesce("label", "node")), "bag-marked")
     mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
     open_ = written(marked.join(written(mixed, "bag-mixed"), "key"), "bag-open")
-    more = written(across(open_, nodes.select("node", "sig"), of), "bag-more-links")
-    if not more.isEmpty():
-        labels = components(some, links.unionByName(more))
+    more = across(open_, nodes.select("node", "sig"), of)
+    labels = connected(links.unionByName(more))
     named = nodes.select("node", "least_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = written(named, "bag-labels")
-    smallest = written(named.groupBy("label").agg(F.min("least_id").alias("class_id")), "bag-smallest")
+    smallest = named.groupBy("label").agg(F.min("least_id").alias("class_id"))
     named = written(named.join(smallest, "label").select("node", "class_id"), "bag-classes")
     return sigs.select("doc_id", "k", "node").join(named, "node", "left").withColumn(
         "class_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")))

@@ -93,3 +93,32 @@ def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     total = np.zeros(len(words) + 1, dtype=np.uint64)
     np.cumsum(words * powers(_ODD, len(words)), out=total[1:])
     return mix((total[size:] - total[:-size]) * powers(_INVERSE, n))
+
+
+ROWS_A_TASK = 200_000
+
+
+def connected(edges: DataFrame) -> DataFrame:
+    """(node, label) of every node of the edges (a, b), with one label per component; nodes are digests, so in random order.
+
+    Each round every node steps to its smallest neighbour, if that is smaller, and edges are rewritten to where their ends went;
+    on random numbers a round removes a constant share of the nodes. Small tables are written by few tasks.
+    """
+    left = written(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    steps = []
+    while n := left.count():
+        tasks = 1 + n // ROWS_A_TASK
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        step = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to")).select("node", F.least("node", "to").alias("to"))
+        step = written(step.coalesce(tasks), "step")
+        moved = left.join(step.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").join(
+            step.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
+        left = written(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().coalesce(tasks), "edges")
+        steps.append(step)
+    if not steps:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).where(F.lit(False))
+    labels = steps[-1].select("node", F.col("to").alias("label"))
+    for step in reversed(steps[:-1]):
+        later = labels.select(F.col("node").alias("to"), "label")
+        labels = step.join(later, "to", "left").select("node", F.coalesce("label", "to").alias("label"))
+    return written(labels, "components")

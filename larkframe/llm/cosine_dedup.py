@@ -22,9 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkframe.llm.bag_minhash import forest
-from larkframe.llm.common import written
+from larkframe.llm.common import connected, written
 from larkframe.llm.registry import query, table
-from larkframe.operators.components import components
 from larkframe.operators.ordering import chunked
 
 TILE = 512
@@ -148,8 +147,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tile: int = TILE)
         found = written(work.groupBy("pair").applyInPandas(run, "a string, b string, n_links long"), "cosine-links")
         linked = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n_links").alias("n_links"))
         links = found.where("b is not null").select("a", "b")
-    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
-    labels = components(ends, links)
+    labels = connected(links)
     named = nodes.select("node", "n", "least_id").join(labels, "node", "left").join(linked, "node", "left")
     named = written(named.select("node", "least_id", F.coalesce("label", "node").alias("label"), (F.col("n") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links")), "cosine-labels")
     smallest = written(named.groupBy("label").agg(F.min("least_id").alias("component_id")), "cosine-smallest")
