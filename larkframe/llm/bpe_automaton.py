@@ -36,6 +36,7 @@ class Automaton:
         self.cut: dict[int, int] = {}  # u << 32 | v -> number of the merge
         self.rows: dict[int, dict[int, bool]] = {}
         self.unfolded = 0
+        self.live = {t for text, t in vocab.items() if len(text) == 1}
         self.arcs: list = [-1, {}]  # token spelled so far, and the node after each letter
         for text, token in vocab.items():
             if len(text) == 1:
@@ -52,8 +53,9 @@ class Automaton:
     def _gadget(self, number: int, u: int, v: int, w: int, text: str) -> None:
         if self.born[w] >= 0:
             raise ValueError("two merges make one token")
-        if not self.allowed(u, v, number - 1):
+        if u not in self.live or v not in self.live or not self.allowed(u, v, number - 1):
             return  # u is never followed by v here, so w is never made
+        self.live.add(w)
         self.left[w], self.right[w], self.born[w] = u, v, number
         self.cut[u << 32 | v] = number
         self._spell(text, w)

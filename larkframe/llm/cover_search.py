@@ -31,8 +31,9 @@ SAMPLE = 4096  # rows from which pivots are chosen
 CELLS = 256  # most pivots
 BLOCK = 8192  # data rows of one task's tree
 GROUP = 2048  # queries of one task's tree
-LEAF = 64
-FANOUT = 24
+LEAF = 64  # data points of a leaf
+ASKING = 16  # queries of a leaf: their worst kth score prunes, so leaves are small
+FANOUT = 48
 EXACT = float(2**53)
 
 
@@ -62,14 +63,14 @@ def _centres(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.array(rows), owner, best
 
 
-def cover_tree(x: np.ndarray) -> tuple[Node, np.ndarray]:
+def cover_tree(x: np.ndarray, leaf: int = LEAF) -> tuple[Node, np.ndarray]:
     """The root, and the row numbers in tree order."""
     order = np.arange(len(x))
 
     def build(low: int, high: int, center: np.ndarray) -> Node:
         rows = order[low:high]
         node = Node(low, high, center, float(np.sqrt((center**2).sum())), float(np.sqrt(((x[rows] - center) ** 2).sum(axis=1).max())), [])
-        if high - low > LEAF and node.radius > 0:
+        if high - low > leaf and node.radius > 0:
             centres, owner, _ = _centres(x[rows], FANOUT)
             by = np.argsort(owner, kind="stable")
             order[low:high] = rows[by]
@@ -90,7 +91,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_id
     """(query row, data row, score) triples that may belong to the k best; floor holds scores known to be reached k times."""
     q, p = queries.astype(np.float64), data.astype(np.float64)
     exact = np.abs(q).max(initial=0) * np.abs(p).max(initial=0) * q.shape[1] < EXACT
-    (qt, qo), (pt, po) = cover_tree(q), cover_tree(p)
+    (qt, qo), (pt, po) = cover_tree(q, ASKING), cover_tree(p)
     kth = floor[qo].astype(np.float64)
     best: list[list[tuple]] = [[] for _ in range(len(q))]
     stack = [(qt, pt)]
