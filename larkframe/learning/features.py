@@ -82,7 +82,10 @@ def min_max(cols: list[str], lo: float = 0.0, hi: float = 1.0) -> Step:
         s = one_row(train, **{f"a_{c}": F.min(c) for c in cols}, **{f"b_{c}": F.max(c) for c in cols})
 
         def one(c):
-            z = lo + (F.col(c) - s[f"a_{c}"]) * (hi - lo) / (s[f"b_{c}"] - s[f"a_{c}"])
+            width = (s[f"b_{c}"] - s[f"a_{c}"]) if s[f"a_{c}"] is not None else 0
+            if not width:  # a constant column goes to the lower end
+                return F.when(F.col(c).isNotNull(), F.lit(float(lo)))
+            z = lo + (F.col(c) - s[f"a_{c}"]) * (hi - lo) / width
             return F.greatest(F.lit(lo), F.least(F.lit(hi), z))
         return _columns(cols, one)
     return learn
@@ -340,7 +343,7 @@ def impute_knn(key: str, col: str, using: list[str], k: int = 5) -> Step:
     """Mean of the k nearest complete training rows, distances on standardised columns."""
     def learn(train):
         s = _mean_sd(train, using)
-        vec = F.array(*[(F.col(c) - s[f"m_{c}"]) / s[f"s_{c}"] for c in using])
+        vec = F.array(*[(F.col(c) - s[f"m_{c}"]) / (s[f"s_{c}"] or 1.0) for c in using])  # a constant column adds no distance
         donors = train.dropna(subset=[col] + using).select(key, vec.alias("vec"), F.col(col).alias("_donor"))
 
         def apply(df):
@@ -378,13 +381,14 @@ def smote(df: DataFrame, key: str, y: str, minority, xs: list[str], ratio: float
     """Synthetic minority rows on the lines to near minority neighbours; neighbour and place on the line come from the row hash."""
     n = class_counts(df, y)
     need = int(max(n.values()) * ratio) - n[minority]
+    k = min(k, n[minority] - 1)  # a small class has fewer neighbours; a single row is its own
     s = _mean_sd(df, xs)
-    few = df.where(F.col(y) == minority).select(key, *xs, F.array(*[(F.col(c) - s[f"m_{c}"]) / s[f"s_{c}"] for c in xs]).alias("vec"))
+    few = df.where(F.col(y) == minority).select(key, *xs, F.array(*[(F.col(c) - s[f"m_{c}"]) / (s[f"s_{c}"] or 1.0) for c in xs]).alias("vec"))
     base = hash_positions(few, [key], seed, None, "_pos", "_n")
     copies = F.floor(F.lit(need) / F.col("_n")) + (F.col("_pos") <= need % F.col("_n")).cast("long")
     made = base.where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
-    made = made.withColumn("place", (F.floor(uniform([key, "copy"], seed + "-n") * k) + 1).cast("int")).withColumn("_w", uniform([key, "copy"], seed + "-w"))
-    near = knn(few, few, k, key=key).select(F.col("qid").alias(key), "nid", "place")
+    made = made.withColumn("place", (F.floor(uniform([key, "copy"], seed + "-n") * max(k, 1)) + 1).cast("int")).withColumn("_w", uniform([key, "copy"], seed + "-w"))
+    near = knn(few, few, k, key=key).select(F.col("qid").alias(key), "nid", "place") if k else few.select(key, F.col(key).alias("nid"), F.lit(1).alias("place"))
     mate = few.select(F.col(key).alias("nid"), *[F.col(c).alias(f"_{c}") for c in xs])
     j = made.join(near, [key, "place"]).join(mate, "nid")
     return j.select(key, "copy", *[(F.col(c) + F.col("_w") * (F.col(f"_{c}") - F.col(c))).alias(c) for c in xs], F.lit(minority).alias(y))

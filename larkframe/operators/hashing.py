@@ -13,8 +13,8 @@ def digest(keys: list[str], seed: str) -> Column:
 
 
 def uniform(keys: list[str], seed: str) -> Column:
-    """Number in [0, 1) from the first 32 bits of the digest."""
-    return F.conv(F.substring(digest(keys, seed), 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
+    """Number in [0, 1) from the first 52 bits of the digest, as many as a double holds exactly."""
+    return F.conv(F.substring(digest(keys, seed), 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
 
 
 def hash_positions(

@@ -29,19 +29,19 @@ def _cum() -> list[float]:
 
 
 def with_weights(df: DataFrame, key: str, reps: int) -> DataFrame:
-    """Each row with its Poisson(1) count ``w`` in replicates 0..reps-1; one digest serves four replicates."""
-    digests = F.array(*[digest([key], f"boot{b}") for b in range(reps // 4)])
-    d = df.select("*", F.posexplode(digests).alias("_b", "_h")).withColumn("_k", F.explode(F.array(*[F.lit(k) for k in range(4)])))
-    u = F.conv(F.substring(col("_h"), 1 + 8 * col("_k"), F.lit(8)), 16, 10).cast("long") / F.lit(4294967296.0)
+    """Each row with its Poisson(1) count ``w`` in replicates 0..reps-1; one digest serves two replicates, 52 bits each."""
+    digests = F.array(*[digest([key], f"boot{b}") for b in range(-(-reps // 2))])
+    d = df.select("*", F.posexplode(digests).alias("_b", "_h")).withColumn("_k", F.explode(F.array(F.lit(0), F.lit(1))))
+    u = F.conv(F.substring(col("_h"), 1 + 16 * col("_k"), F.lit(13)), 16, 10).cast("long") / F.lit(float(2**52))
     d = d.withColumn("_u", u)
     w = None
     for k, c in enumerate(_cum()):
         w = F.when(col("_u") < c, k) if w is None else w.when(col("_u") < c, k)
-    return d.withColumn("w", w.otherwise(STEPS)).withColumn("rep", col("_b") * 4 + col("_k")).drop("_b", "_h", "_k", "_u")
+    return d.withColumn("w", w.otherwise(STEPS)).withColumn("rep", col("_b") * 2 + col("_k")).where(col("rep") < reps).drop("_b", "_h", "_k", "_u")
 
 
 def weight_sql(key: str, rep: str = "rep") -> str:
-    u = f"(('0x' || substr(md5(concat_ws('-', {key}, 'boot' || ({rep} // 4))), 1 + 8 * ({rep} % 4)::int, 8))::bigint / 4294967296::double)"
+    u = f"(('0x' || substr(md5(concat_ws('-', {key}, 'boot' || ({rep} // 2))), 1 + 16 * ({rep} % 2)::int, 13))::bigint / 4503599627370496::double)"
     return "(" + " + ".join(f"({u} >= {c!r}::double)::int" for c in _cum()) + ")"
 
 

@@ -31,11 +31,16 @@ def run(df: DataFrame, mode: str, name: str) -> DataFrame:
     spark = df.sparkSession
     out, state = new_folder(spark, name), new_folder(spark, f"{name}-state")
 
+    written = []
+
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        written.append(number)
 
     q = df.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(write).start()
     q.awaitTermination()
+    if not written:  # no file came
+        return spark.createDataFrame([], df.schema.add("batch", "long"))
     return spark.read.schema(df.schema.add("batch", "long")).option("basePath", out).parquet(out)
 
 

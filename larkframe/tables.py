@@ -115,7 +115,7 @@ class Tables:
 # The same derived tables as SQL, for the checking queries.
 
 def u_sql(key: str, seed: str) -> str:
-    return f"(('0x' || substr(md5(concat_ws('-', {key}, '{seed}')), 1, 8))::bigint / 4294967296::double)"
+    return f"(('0x' || substr(md5(concat_ws('-', {key}, '{seed}')), 1, 13))::bigint / 4503599627370496::double)"
 
 
 LINE_KEY_SQL = (

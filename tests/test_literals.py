@@ -191,3 +191,28 @@ def test_tails():
     assert abs(tails.t_quantile(0.975, 10) - 2.228138852) < 1e-7
     assert tails.ks_upper(0.0, 10, 10) == 1.0
     assert abs(tails.ks_upper(0.3, 50, 50) - 0.02221) < 1e-4
+
+
+def test_constant_columns_are_no_division_by_zero(spark):
+    from larkframe.learning import features as fe
+
+    d = spark.createDataFrame([(i, 1.0, float(i), None if i == 4 else float(i)) for i in range(12)], "key long, c double, x double, gap double")
+    scaled = {(r.c, r.x) for r in fe.min_max(["c", "x"])(d)(d).collect()}
+    assert {c for c, _ in scaled} == {0.0} and max(x for _, x in scaled) == 1.0
+    filled = fe.impute_knn("key", "gap", ["c", "x"], k=2)(d)(d).where("key = 4").first().gap
+    assert filled == 4.0
+
+
+def test_smote_of_a_small_class_gives_every_row(spark):
+    from larkframe.learning import features as fe
+
+    for few in (1, 3):
+        d = spark.createDataFrame([(i, float(i), int(i >= few)) for i in range(20)], "key long, x double, y int")
+        assert fe.smote(d, "key", "y", 0, ["x"]).count() == 20 - 2 * few
+
+
+def test_stream_without_files_is_empty(spark, tmp_path):
+    from larkframe.streaming import jobs
+
+    rows = jobs.stream(spark, str(tmp_path), "a long, b string")
+    assert jobs.run(rows, "append", "none").count() == 0
