@@ -36,6 +36,7 @@ def met_asymmetric(t):
     return t.scored.agg(r(mt.asymmetric(Y, P)).alias("loss"))
 
 
+# The multipliers 2, 0.5 and 3 and the border at -5 must match.
 @query("met_business", f"""WITH {SCORED_SQL}, e AS (SELECT (pred - y) / y * 100 AS pct FROM scored)
 SELECT CASE WHEN pct > 0 THEN 'over' WHEN pct > -5 THEN 'small under' ELSE 'large under' END AS category, count(*) AS n,
 round(avg(CASE WHEN pct > 0 THEN abs(pct) * 2 WHEN pct > -5 THEN abs(pct) * 0.5::double ELSE abs(pct) * 3 END), 3) AS penalty FROM e GROUP BY 1""")

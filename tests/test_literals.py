@@ -1,4 +1,4 @@
-"""Small inputs with known results: the semantic traps."""
+"""Small inputs with known results: the semantic traps. Inputs and results here are fixed values that must match."""
 
 import datetime
 
