@@ -315,7 +315,7 @@ def label_runs(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(runs, "doc_id long, run long, first_word long, n_words long, lang string, probability double")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
     """Documents whose language is known with a mean word posterior of at least ``least``; the columns stay."""
     return identify(docs, train(docs)).where((F.col("lang_pred") != UND) & (F.col("score") >= least)).select(*docs.columns)
 
