@@ -7,7 +7,7 @@ from larkframe.operators.ordering import running
 from larkframe.operators.quantiles import long_form, quantiles, quantiles_of
 from larkframe.operators.reshape import paste
 from larkframe.plans.base import *
-from larkframe.tables import DAILY_SQL
+from larkframe.tables import DAILY_SQL, PLACED_SQL
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -104,12 +104,11 @@ def agg_string(t):
     return paste(t.part.select("p_type", "p_brand").distinct(), ["p_type"], "p_brand", ["p_brand"], ", ", "brands")
 
 
-@query("agg_cond_count", """SELECT c_custkey, count(o_orderkey) AS n, count(*) FILTER (o_totalprice > 480000) AS top FROM customer
-LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 450000) ON c_custkey = o_custkey GROUP BY 1""")
+@query("agg_cond_count", f"""WITH {PLACED_SQL} SELECT c_custkey, count(o_orderkey) AS n, count(*) FILTER (o_totalprice > 480000) AS top FROM customer
+LEFT JOIN placed USING (c_custkey) GROUP BY 1""")
 def agg_cond_count(t):
-    big = t.orders.where(col("o_totalprice") > 450000)
-    return t.customer.join(big, col("c_custkey") == col("o_custkey"), "left").groupBy("c_custkey").agg(
-        F.count("o_orderkey").alias("n"), F.count_if(col("o_totalprice") > 480000).alias("top"))
+    per = t.placed.groupBy("c_custkey").agg(F.count("o_orderkey").alias("n"), F.count_if(col("o_totalprice") > 480000).alias("top"))
+    return t.customer.select("c_custkey").join(per, "c_custkey", "left").fillna(0, ["n", "top"])
 
 
 @query("agg_by_flag_mean", "SELECT event_type, round(avg((value > 20)::int), 6) AS rate FROM events GROUP BY 1")

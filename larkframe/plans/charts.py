@@ -70,7 +70,7 @@ def viz_logit_smooth(t):
     return md.predict_prob(m, grid).select(r(col("f2")).alias("f2"), r(col("p_event")).alias("p"))
 
 
-LOESS_SQL = f"""WITH {DAILY_SQL}, dd AS (SELECT date_diff('day', DATE '1995-01-01', d)::double AS x, revenue / 1000 AS y FROM daily), g AS (SELECT (200 * i)::double AS g FROM range(1, 12) p(i)),
+LOESS_SQL = f"""WITH {DAILY_SQL}, dd AS (SELECT date_diff('day', DATE '1995-01-01', d)::double AS x, revenue / 1000 AS y FROM daily), g AS (SELECT x0 + (x1 - x0) * i / 10 AS g FROM (SELECT min(x) AS x0, max(x) AS x1 FROM dd), range(11) p(i)),
 p AS (SELECT g, x, y, abs(x - g) AS dist, row_number() OVER (PARTITION BY g ORDER BY abs(x - g)) AS k, ceil(0.3::double * count(*) OVER (PARTITION BY g)) AS q FROM dd, g),
 rr AS (SELECT *, max(dist) FILTER (k = q) OVER (PARTITION BY g) AS radius FROM p), w AS (SELECT g, x - g AS c, y, pow(1 - pow(dist / radius, 3), 3) AS w FROM rr WHERE dist < radius),
 s AS (SELECT g, sum(w) AS s0, sum(w * c) AS s1, sum(w * c * c) AS s2, sum(w * y) AS t0, sum(w * c * y) AS t1 FROM w GROUP BY 1)
@@ -80,7 +80,8 @@ SELECT g AS x, round((s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1), 3) AS fit FROM s
 @query("viz_loess", LOESS_SQL)
 def viz_loess(t):
     d = t.daily.select(F.datediff("d", F.lit("1995-01-01").cast("date")).cast("double").alias("x"), (col("revenue") / 1000).alias("y"))
-    return cs.loess(d, "x", "y", [200.0 * i for i in range(1, 12)], 0.3).select("x", r(col("fit"), 3).alias("fit"))
+    s = one_row(d, x0=F.min("x"), x1=F.max("x"))
+    return cs.loess(d, "x", "y", [s["x0"] + (s["x1"] - s["x0"]) * i / 10 for i in range(11)], 0.3).select("x", r(col("fit"), 3).alias("fit"))
 
 
 @query("viz_density2d", """WITH s AS (SELECT min(l_quantity) AS x0, max(l_quantity) AS x1, min(l_extendedprice) AS y0, max(l_extendedprice) AS y1, count(*) AS n FROM lineitem),

@@ -2,60 +2,55 @@
 
 from functools import reduce
 
+from larkframe.operators.hashing import uniform
 from larkframe.operators.reshape import expand, pair_up
 from larkframe.plans.base import *
-from larkframe.tables import ORDERS_NULLS_SQL, SCORED_SQL
-
-C = ["c_custkey", "c_mktsegment"]
-O = ["o_orderkey", "o_totalprice"]
-ON = "c_custkey = o_custkey"
+from larkframe.tables import ORDERS_NULLS_SQL, PLACED_SQL, SCORED_SQL, u_sql
 
 
 def sides(t):
-    """Some customers and some orders, so that both sides have unmatched rows."""
-    c = t.customer.where(col("c_acctbal") > 0).select(*C)
-    o = t.orders.where(col("o_totalprice") > 400000).select(col("o_custkey").alias("c_custkey"), *O)
-    return c, o
+    """All customers and all orders; both have unmatched rows."""
+    return t.customer.select("c_custkey", "c_mktsegment"), t.placed.select("c_custkey", "o_orderkey", "o_totalprice")
 
 
-SIDES = """WITH c AS (SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal > 0),
-o AS (SELECT o_custkey AS c_custkey, o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 400000)"""
+SIDES = f"""WITH {PLACED_SQL}, c AS (SELECT c_custkey, c_mktsegment FROM customer),
+o AS (SELECT c_custkey, o_orderkey, o_totalprice FROM placed)"""
 
 
 @query("join_inner", SIDES + " SELECT * FROM c JOIN o USING (c_custkey)")
 def join_inner(t):
     c, o = sides(t)
-    return c.join(o, "c_custkey")
+    return match_join(c, o, ["c_custkey"])
 
 
 @query("join_left", SIDES + " SELECT * FROM c LEFT JOIN o USING (c_custkey)")
 def join_left(t):
     c, o = sides(t)
-    return c.join(o, "c_custkey", "left")
+    return match_join(c, o, ["c_custkey"], "left")
 
 
 @query("join_right", SIDES + " SELECT * FROM c RIGHT JOIN o USING (c_custkey)")
 def join_right(t):
     c, o = sides(t)
-    return c.join(o, "c_custkey", "right")
+    return match_join(c, o, ["c_custkey"], "right")
 
 
 @query("join_full", SIDES + " SELECT * FROM c FULL JOIN o USING (c_custkey)")
 def join_full(t):
     c, o = sides(t)
-    return c.join(o, "c_custkey", "full")
+    return match_join(c, o, ["c_custkey"], "full")
 
 
 @query("join_semi", SIDES + " SELECT * FROM c WHERE c_custkey IN (SELECT c_custkey FROM o)")
 def join_semi(t):
     c, o = sides(t)
-    return c.join(o, "c_custkey", "left_semi")
+    return match_join(c, o, ["c_custkey"], "left_semi")
 
 
 @query("join_anti", SIDES + " SELECT * FROM c WHERE c_custkey NOT IN (SELECT c_custkey FROM o)")
 def join_anti(t):
     c, o = sides(t)
-    return c.join(o, "c_custkey", "left_anti")
+    return match_join(c, o, ["c_custkey"], "left_anti")
 
 
 @query("join_null_keys", f"""WITH {ORDERS_NULLS_SQL}, p AS (SELECT o_orderpriority, count(*) AS n FROM orders_nulls GROUP BY 1)
@@ -66,9 +61,10 @@ def join_null_keys(t):
     return match_join(d, p, ["o_orderpriority"]).select("o_orderkey", "o_orderpriority", "n")
 
 
-@query("join_anti_all", "SELECT * FROM orders WHERE NOT (o_orderstatus = 'F' AND o_totalprice > 250000)")
+@query("join_anti_all", f"SELECT * FROM orders WHERE {u_sql('o_orderkey', 'picked')} >= 0.75")
 def join_anti_all(t):
-    picked = t.orders.where((col("o_orderstatus") == "F") & (col("o_totalprice") > 250000))
+    # the rows that a draw of three quarters left over
+    picked = t.orders.where(uniform(["o_orderkey"], "picked") < 0.75)
     return match_join(t.orders, picked, t.orders.columns, "left_anti")
 
 
@@ -107,33 +103,34 @@ def join_summary_four(t):
     return a.join(b, "l_suppkey").join(s, col("l_suppkey") == col("s_suppkey")).select("s_suppkey", "n_name", "lines", "qty", "parts", "top_type", "top_n")
 
 
-@query("join_reduce_full", """WITH a AS (SELECT c_nationkey AS k, count(*) AS customers FROM customer WHERE c_acctbal > 9000 GROUP BY 1),
-b AS (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier WHERE s_acctbal > 5000 GROUP BY 1),
-c AS (SELECT c_nationkey AS k, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 498000 GROUP BY 1)
+@query("join_reduce_full", """WITH a AS (SELECT c_nationkey AS k, count(*) AS customers FROM customer GROUP BY 1),
+b AS (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier GROUP BY 1),
+c AS (SELECT c_nationkey AS k, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
 SELECT k, customers, suppliers, orders FROM a FULL JOIN b USING (k) FULL JOIN c USING (k)""")
 def join_reduce_full(t):
     n = lambda d, key, name: d.groupBy(col(key).alias("k")).agg(F.count(F.lit(1)).alias(name))
     frames = [
-        n(t.customer.where(col("c_acctbal") > 9000), "c_nationkey", "customers"),
-        n(t.supplier.where(col("s_acctbal") > 5000), "s_nationkey", "suppliers"),
-        n(t.orders.where(col("o_totalprice") > 498000).join(t.customer, col("o_custkey") == col("c_custkey")), "c_nationkey", "orders"),
+        n(t.customer, "c_nationkey", "customers"),
+        n(t.supplier, "s_nationkey", "suppliers"),
+        n(t.orders.join(t.customer, col("o_custkey") == col("c_custkey")), "c_nationkey", "orders"),
     ]
     return reduce(lambda a, b: a.join(b, "k", "full"), frames)
 
 
-@query("join_sql_left_agg", """SELECT c_custkey, c_name, count(o_orderkey) AS n, round(coalesce(sum(o_totalprice), 0), 2) AS total FROM customer
-LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 300000 GROUP BY 1, 2""")
+@query("join_sql_left_agg", f"""WITH {PLACED_SQL} SELECT c_custkey, c_name, count(o_orderkey) AS n, round(coalesce(sum(o_totalprice), 0), 2) AS total FROM customer
+LEFT JOIN placed USING (c_custkey) GROUP BY 1, 2""")
 def join_sql_left_agg(t):
-    big = t.orders.where(col("o_totalprice") > 300000).groupBy(col("o_custkey").alias("c_custkey")).agg(
+    per = t.placed.groupBy("c_custkey").agg(
         F.count("o_orderkey").alias("n"), F.sum("o_totalprice").alias("total"))
-    d = t.customer.join(big, "c_custkey", "left").fillna({"n": 0, "total": 0.0})
+    d = t.customer.join(per, "c_custkey", "left").fillna({"n": 0, "total": 0.0})
     return d.select("c_custkey", "c_name", "n", r(col("total"), 2).alias("total"))
 
 
-@query("join_lookup_default", """SELECT c_custkey, coalesce(n_name, 'elsewhere') AS place FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) ON c_nationkey = n_nationkey""")
+@query("join_lookup_default", f"""WITH c AS (SELECT c_custkey, CASE WHEN {u_sql('c_custkey', 'unknown')} < 0.1 THEN -1 ELSE c_nationkey END AS k FROM customer)
+SELECT c_custkey, coalesce(n_name, 'elsewhere') AS place FROM c LEFT JOIN nation ON k = n_nationkey""")
 def join_lookup_default(t):
-    names = t.nation.where(col("n_regionkey") < 3)
-    j = t.customer.join(names, col("c_nationkey") == col("n_nationkey"), "left")
+    k = F.when(uniform(["c_custkey"], "unknown") < 0.1, -1).otherwise(col("c_nationkey"))
+    j = t.customer.select("c_custkey", k.alias("k")).join(t.nation, col("k") == col("n_nationkey"), "left")
     return j.select("c_custkey", F.coalesce("n_name", F.lit("elsewhere")).alias("place"))
 
 
@@ -189,38 +186,29 @@ def self_pair_join(t):
 
 # Set operations
 
-def _halves(t):
-    return t.orders.where(col("o_totalprice") < 200000), t.orders.where(col("o_totalprice") > 100000)
-
-
-@query("bind_rows", """SELECT o_orderkey, o_custkey, NULL::double AS o_totalprice FROM orders WHERE o_orderstatus = 'P'
-UNION ALL SELECT o_orderkey, NULL, o_totalprice FROM orders WHERE o_orderstatus = 'F'""")
+@query("bind_rows", "SELECT o_orderkey, o_custkey, NULL::double AS o_totalprice FROM orders UNION ALL SELECT o_orderkey, NULL, o_totalprice FROM orders")
 def bind_rows(t):
-    a = t.orders.where(col("o_orderstatus") == "P").select("o_orderkey", "o_custkey")
-    b = t.orders.where(col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice")
+    a, b = t.orders.select("o_orderkey", "o_custkey"), t.orders.select("o_orderkey", "o_totalprice")
     return a.unionByName(b, allowMissingColumns=True)
 
 
-@query("bind_rows_id", "SELECT 'low' AS g, o_orderkey FROM orders WHERE o_totalprice < 200000 UNION ALL SELECT 'high', o_orderkey FROM orders WHERE o_totalprice > 100000")
+@query("bind_rows_id", "SELECT 'orders' AS g, o_orderkey FROM orders UNION ALL SELECT 'lines', l_orderkey FROM lineitem")
 def bind_rows_id(t):
-    low, high = _halves(t)
-    frames = {"low": low, "high": high}
+    frames = {"orders": t.orders.select("o_orderkey"), "lines": t.lineitem.select(col("l_orderkey").alias("o_orderkey"))}
     return reduce(DataFrame.unionByName, [d.select(F.lit(g).alias("g"), "o_orderkey") for g, d in frames.items()])
 
 
-@query("set_intersect", """SELECT o_custkey FROM orders WHERE o_totalprice < 200000 INTERSECT SELECT o_custkey FROM orders WHERE o_totalprice > 100000
-INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'""")
+@query("set_intersect", f"""WITH {PLACED_SQL} SELECT o_custkey FROM orders INTERSECT SELECT c_custkey FROM placed
+INTERSECT SELECT c_custkey FROM customer""")
 def set_intersect(t):
-    sets = [d.select("o_custkey") for d in (*_halves(t), t.orders.where(col("o_orderstatus") == "P"))]
-    return reduce(DataFrame.intersect, sets)
+    return reduce(DataFrame.intersect, [t.orders.select("o_custkey"), t.placed.select("c_custkey"), t.customer.select("c_custkey")])
 
 
-@query("set_union", "SELECT p_type AS level FROM part WHERE p_size > 25 UNION SELECT p_brand FROM part WHERE p_size < 10")
+@query("set_union", "SELECT p_type AS level FROM part UNION SELECT p_brand FROM part")
 def set_union(t):
-    a = t.part.where(col("p_size") > 25).select(col("p_type").alias("level"))
-    return a.union(t.part.where(col("p_size") < 10).select("p_brand")).distinct()
+    return t.part.select(col("p_type").alias("level")).union(t.part.select("p_brand")).distinct()
 
 
-@query("set_diff", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 450000")
+@query("set_diff", f"WITH {PLACED_SQL} SELECT c_custkey AS k FROM customer EXCEPT SELECT c_custkey FROM placed")
 def set_diff(t):
-    return t.customer.select(col("c_custkey").alias("k")).subtract(t.orders.where(col("o_totalprice") > 450000).select("o_custkey"))
+    return t.customer.select(col("c_custkey").alias("k")).subtract(t.placed.select("c_custkey"))

@@ -176,9 +176,9 @@ def src_chunked(t):
         F.min("pos").alias("first_row"), F.count(F.lit(1)).alias("n"), r(F.avg("l_quantity")).alias("mean")).drop("chunk")
 
 
-@query("src_sql", "SELECT c_name, o_totalprice FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_totalprice > 480000")
+@query("src_sql", "SELECT c_name, o_totalprice FROM customer JOIN orders ON c_custkey = o_custkey")
 def src_sql(t):
-    return t.spark.sql("SELECT c_name, o_totalprice FROM {c} JOIN {o} ON c_custkey = o_custkey WHERE o_totalprice > 480000", c=t.customer, o=t.orders)
+    return t.spark.sql("SELECT c_name, o_totalprice FROM {c} JOIN {o} ON c_custkey = o_custkey", c=t.customer, o=t.orders)
 
 
 @query("src_lazy_table", "SELECT o_orderstatus, count(*) AS n, round(avg(o_totalprice), 4) AS mean FROM orders WHERE o_totalprice > 100000 GROUP BY 1 ORDER BY 3 DESC")

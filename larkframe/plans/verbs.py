@@ -7,7 +7,7 @@ from larkframe.operators.hashing import hash_positions, uniform
 from larkframe.operators.ordering import positions
 from larkframe.operators.quantiles import quantile_values
 from larkframe.plans.base import *
-from larkframe.tables import LINE_KEY_SQL, ORDERS_NULLS_SQL, line_key, u_sql
+from larkframe.tables import LINE_KEY_SQL, ORDERS_NULLS_SQL, PLACED_SQL, line_key, u_sql
 
 LINE_COLS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
@@ -214,13 +214,19 @@ def replace_na(t):
     return b.fillna({"status": "unknown", "price": mean}).withColumn("price", r(col("price"), 4))
 
 
-@query("drop_na", f"""WITH {ORDERS_NULLS_SQL}, j AS (SELECT c_custkey, o_orderkey, o_orderpriority FROM customer
-LEFT JOIN (SELECT * FROM orders_nulls WHERE o_totalprice > 400000) ON c_custkey = o_custkey)
+# every customer with its orders: no order for a tenth of the customers, no priority for a tenth of the orders
+WITH_GAPS = f"""WITH {PLACED_SQL}, j AS (SELECT c_custkey, o_orderkey, o_orderpriority FROM customer LEFT JOIN placed USING (c_custkey))"""
+
+
+def with_gaps(t) -> DataFrame:
+    return t.customer.select("c_custkey").join(t.placed, "c_custkey", "left").select("c_custkey", "o_orderkey", "o_orderpriority")
+
+
+@query("drop_na", WITH_GAPS + """
 SELECT 'any' AS rule, * FROM j WHERE o_orderkey IS NOT NULL AND o_orderpriority IS NOT NULL
 UNION ALL SELECT 'key' AS rule, * FROM j WHERE o_orderkey IS NOT NULL""")
 def drop_na(t):
-    big = t.orders_nulls.where(col("o_totalprice") > 400000)
-    j = t.customer.join(big, col("c_custkey") == col("o_custkey"), "left").select("c_custkey", "o_orderkey", "o_orderpriority")
+    j = with_gaps(t)
     rule = lambda d, name: d.select(F.lit(name).alias("rule"), "*")
     return rule(j.dropna(), "any").unionByName(rule(j.dropna(subset=["o_orderkey"]), "key"))
 
@@ -307,19 +313,10 @@ def arrange(t):
     return positions(d, [], [col("p_type").asc_nulls_last(), col("p_retailprice").desc_nulls_last(), col("p_partkey").asc()])
 
 
-NULL_LAST = f"""WITH {ORDERS_NULLS_SQL}, j AS (SELECT c_custkey, o_orderkey, o_orderpriority FROM customer
-LEFT JOIN (SELECT * FROM orders_nulls WHERE o_totalprice > 450000) ON c_custkey = o_custkey)"""
-
-
-def _late_orders(t):
-    big = t.orders_nulls.where(col("o_totalprice") > 450000)
-    return t.customer.join(big, col("c_custkey") == col("o_custkey"), "left").select("c_custkey", "o_orderkey", "o_orderpriority")
-
-
-@query("arrange_null_first", NULL_LAST + """ SELECT *, row_number() OVER (ORDER BY o_orderpriority IS NULL DESC, o_orderpriority, c_custkey, o_orderkey NULLS LAST) AS pos FROM j""")
+@query("arrange_null_first", WITH_GAPS + """ SELECT *, row_number() OVER (ORDER BY o_orderpriority IS NULL DESC, o_orderpriority, c_custkey, o_orderkey NULLS LAST) AS pos FROM j""")
 def arrange_null_first(t):
     p = col("o_orderpriority")
-    return positions(_late_orders(t), [], [p.isNull().desc(), p.asc_nulls_last(), col("c_custkey").asc(), col("o_orderkey").asc_nulls_last()])
+    return positions(with_gaps(t), [], [p.isNull().desc(), p.asc_nulls_last(), col("c_custkey").asc(), col("o_orderkey").asc_nulls_last()])
 
 
 @query("arrange_custom", """SELECT o_orderkey, o_orderpriority, row_number() OVER (ORDER BY CASE o_orderpriority WHEN '3-MEDIUM' THEN 1 WHEN '1-URGENT' THEN 2

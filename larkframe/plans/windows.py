@@ -4,10 +4,11 @@ Ranks and running totals over a whole table go through value tables and range pa
 the input is one row per calendar day, which stays small whatever the size of the source.
 """
 
+from larkframe.operators.hashing import uniform
 from larkframe.operators.ordering import positions, running
 from larkframe.operators.quantiles import value_table
 from larkframe.plans.base import *
-from larkframe.tables import DAILY_SQL
+from larkframe.tables import DAILY_SQL, u_sql
 
 KEY = ["p_partkey", "p_size"]
 
@@ -154,14 +155,14 @@ def win_group_share(t):
 
 
 FULL_SQL = f"""{DAILY_SQL}, dates AS (SELECT unnest(generate_series((SELECT min(d) FROM daily)::timestamp, (SELECT max(d) FROM daily)::timestamp, INTERVAL 1 DAY))::date AS d),
-full_days AS (SELECT dates.d, n, revenue FROM dates LEFT JOIN (SELECT * FROM daily WHERE n >= 5) g USING (d))"""
+full_days AS (SELECT dates.d, n, revenue FROM dates LEFT JOIN (SELECT * FROM daily WHERE {u_sql('d', 'gap')} >= 0.1) g USING (d))"""
 
 
 def full_days(t) -> DataFrame:
-    """Every calendar day; days with fewer than five orders are gaps."""
+    """Every calendar day; a tenth of the days, drawn by the digest of the date, are gaps."""
     span = t.daily.agg(F.min("d").alias("a"), F.max("d").alias("b"))
     dates = span.select(F.explode(F.sequence("a", "b")).alias("d"))
-    return dates.join(t.daily.where(col("n") >= 5), "d", "left")
+    return dates.join(t.daily.where(uniform(["d"], "gap") >= 0.1), "d", "left")
 
 
 @query("win_fill_down", f"""WITH {FULL_SQL} SELECT {DAY}, n, last_value(n IGNORE NULLS) OVER (ORDER BY d ROWS UNBOUNDED PRECEDING) AS filled FROM full_days""")

@@ -111,6 +111,15 @@ class Tables:
             "o_orderpriority", F.when(uniform(["o_orderkey"], "prio") >= 0.1, F.col("o_orderpriority"))
         )
 
+    @cached_property
+    def placed(self) -> DataFrame:
+        """All orders by customer; the keys of a tenth of the customers are negative, so that both sides have unmatched rows."""
+        unknown = uniform(["o_custkey"], "unknown") < 0.1
+        return self.orders_nulls.select(
+            F.when(unknown, -F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("c_custkey"),
+            "o_orderkey", "o_totalprice", "o_orderpriority",
+        )
+
 
 # The same derived tables as SQL, for the checking queries.
 
@@ -154,3 +163,7 @@ reg_nulls AS (SELECT key, cat, y, x1 AS t1, x2 AS t2, x3 AS t3,
 
 ORDERS_NULLS_SQL = f"""orders_nulls AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
   CASE WHEN {u_sql('o_orderkey', 'prio')} >= 0.1 THEN o_orderpriority END AS o_orderpriority FROM orders)"""
+
+PLACED_SQL = ORDERS_NULLS_SQL + f""",
+placed AS (SELECT CASE WHEN {u_sql('o_custkey', 'unknown')} < 0.1 THEN -o_custkey ELSE o_custkey END AS c_custkey,
+  o_orderkey, o_totalprice, o_orderpriority FROM orders_nulls)"""
