@@ -259,8 +259,8 @@ def across(members: DataFrame, sigs: DataFrame, of: DataFrame, tenths: int = 8,
     return left.join(of, "node").groupBy("pack").applyInPandas(compare, "a string, b string").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, k, node, class_id): one row per document row."""
+def classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, k, node, label, class_id): one row per document row; label is the key of the class, which class_id is not."""
     base = keyed(docs)
     sigs = written(signed(base), "bag-signatures")
     nodes = written(
@@ -286,16 +286,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = connected(links.unionByName(more))
     named = nodes.select("node", "least_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("least_id").alias("class_id"))
-    named = written(named.join(smallest, "label").select("node", "class_id"), "bag-classes")
-    return sigs.select("doc_id", "k", "node").join(named, "node", "left").withColumn(
-        "class_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")))
+    named = written(named.join(smallest, "label").select("node", "label", "class_id"), "bag-classes")
+    alone = F.col("node").isNull()
+    return sigs.select("doc_id", "k", "node").join(named, "node", "left").select(
+        "doc_id", "k", "node", F.when(alone, F.concat_ws("/", F.lit("none"), "doc_id", "k")).otherwise(F.col("label")).alias("label"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, k, node, class_id): one row per document row."""
+    return classes(docs).drop("label")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of every class: its smallest doc_id, and of rows that repeat it the first by text hash and one copy."""
-    got = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    chosen = got.groupBy(F.coalesce("node", F.concat_ws("/", F.lit("none"), "doc_id", "k")).alias("node"), "class_id").agg(F.min(place()).alias("p"))
-    chosen = chosen.groupBy("class_id").agg(F.min("p").alias("p")).select("p.doc_id", "p.k")
+    """One document of every class: its smallest doc_id, and of rows that repeat it the first by text hash and one copy.
+
+    Classes go by label: unrelated texts without doc_id, or under one doc_id, have one class_id and are still classes apart.
+    """
+    chosen = classes(docs).groupBy("label").agg(F.min(place()).alias("p")).select("p.doc_id", "p.k")
     whole = keyed(docs, whole=True).alias("d").join(chosen.alias("c"), same_doc("d", "c"), "left_semi")
     return whole.dropDuplicates(["doc_id", "k"]).select("row.*")
 

@@ -382,6 +382,18 @@ def test_near_duplicates_equal_brute_force(spark, docs, rows, nothing):
     assert m.near_duplicates(nothing).count() == 0
 
 
+def test_unrelated_texts_without_an_id_of_their_own_stay(spark):
+    from larkframe.llm import bag_minhash as m
+
+    rng = random.Random(12)
+    none, other, one, two, copied = (words(rng, 80) for _ in range(5))
+    data = [(None, none), (None, other), (None, other + " tail"), (7, one), (7, two), (7, two), (None, copied), (9, copied), (None, ""), (None, " "), (8, None)]
+    kept = m.keep_one_of_each(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()
+    got = Counter((r.doc_id, r.text) for r in kept)
+    assert got.keys() - {(None, other), (None, other + " tail")} == {(None, none), (7, one), (7, two), (9, copied), (None, ""), (None, " "), (8, None)}
+    assert len(got) == 8 and set(got.values()) == {1}  # of the two near copies without an id one stays
+
+
 def test_signature_estimates_weighted_jaccard():
     from larkframe.llm.bag_minhash import signatures
 
