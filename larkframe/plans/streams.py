@@ -8,7 +8,6 @@ from larkframe.plans.sqltext import fitted_sql, ols_sql
 from larkframe.streaming import jobs
 from larkframe.tables import u_sql
 
-LATE = "40 days"  # the files land in any order, and the events span one month
 SPAN = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -20,6 +19,12 @@ def arriving(t, extra: DataFrame | None = None) -> DataFrame:
     return jobs.stream(t.spark, path, d.schema)
 
 
+def lateness(t) -> str:
+    """More than the events span: the files land and are read in any order, and no row may be late for the watermark."""
+    low, high = t.events.agg(*[F.unix_micros(f(col("ts").cast("timestamp"))) for f in (F.min, F.max)]).first()
+    return f"{0 if low is None else (high - low) // 10**6 + 2} seconds"
+
+
 @query("st_chunk_agg", "SELECT cast(ts::date AS varchar) AS day, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1")
 def st_chunk_agg(t):
     """Per micro-batch partial sums by day, merged at the end."""
@@ -31,7 +36,7 @@ def st_chunk_agg(t):
 
 @query("st_event_counts", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def st_event_counts(t):
-    w = jobs.windowed(arriving(t), "ts", LATE, "1 hour", ["event_type"], n=F.count(F.lit(1)))
+    w = jobs.windowed(arriving(t), "ts", lateness(t), "1 hour", ["event_type"], n=F.count(F.lit(1)))
     d = jobs.latest(jobs.run(w, "update", "counts"), ["start", "event_type"])
     return d.select(F.date_format("start", SPAN).alias("start"), "event_type", "n")
 
@@ -53,7 +58,7 @@ def st_score(t):
 @query("st_monitor", "SELECT cast(ts::date AS varchar) AS d, count(*) AS requests, round(sqrt(avg((value - 10) ** 2)), 5) AS rmse, sqrt(avg((value - 10) ** 2)) > 10 AS alert FROM events GROUP BY 1")
 def st_monitor(t):
     e = col("value") - 10
-    w = jobs.windowed(arriving(t), "ts", LATE, "1 day", [], requests=F.count(F.lit(1)), rmse=F.sqrt(F.avg(e * e)))
+    w = jobs.windowed(arriving(t), "ts", lateness(t), "1 day", [], requests=F.count(F.lit(1)), rmse=F.sqrt(F.avg(e * e)))
     d = jobs.latest(jobs.run(w, "update", "monitor"), ["start"])
     return d.select(F.date_format("start", "yyyy-MM-dd").alias("d"), "requests", r(col("rmse"), 5).alias("rmse"), (col("rmse") > 10).alias("alert"))
 
@@ -64,7 +69,7 @@ def st_drift(t):
     """Category shares per day against the shares of the first week."""
     first = t.events.where(col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"))
     base = share_of(first, ["event_type"], [], "base").select("event_type", "base")
-    w = jobs.windowed(arriving(t), "ts", LATE, "1 day", ["event_type"], n=F.count(F.lit(1)))
+    w = jobs.windowed(arriving(t), "ts", lateness(t), "1 day", ["event_type"], n=F.count(F.lit(1)))
     d = jobs.latest(jobs.run(w, "update", "drift"), ["start", "event_type"])
     d = attach(d, ["start"], _t=F.sum("n")).join(base, "event_type")
     return d.select(F.date_format("start", "yyyy-MM-dd").alias("d"), "event_type", "n", r(col("n") / col("_t") - col("base")).alias("shift"))
@@ -74,13 +79,13 @@ def st_drift(t):
 def st_dedup_requests(t):
     """Some requests arrive twice; the first row per id is kept."""
     again = t.events.withColumn("ts", col("ts").cast("timestamp")).where(uniform(["event_id"], "twice") < 0.2)
-    d = jobs.deduplicated(arriving(t, again), "ts", LATE, ["event_id"]).select("event_id", "user_id", "value")
+    d = jobs.deduplicated(arriving(t, again), "ts", lateness(t), ["event_id"]).select("event_id", "user_id", "value")
     return jobs.run(d, "append", "dedup").drop("batch")
 
 
 @query("st_rate_limit_state", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, user_id, count(*) AS calls FROM events GROUP BY 1, 2 HAVING count(*) > 1")
 def st_rate_limit_state(t):
     """Users with more calls in an hour than allowed."""
-    w = jobs.windowed(arriving(t), "ts", LATE, "1 hour", ["user_id"], calls=F.count(F.lit(1)))
+    w = jobs.windowed(arriving(t), "ts", lateness(t), "1 hour", ["user_id"], calls=F.count(F.lit(1)))
     d = jobs.latest(jobs.run(w.where(col("calls") > 1), "update", "limits"), ["start", "user_id"])
     return d.select(F.date_format("start", SPAN).alias("start"), "user_id", "calls")

@@ -216,3 +216,23 @@ def test_stream_without_files_is_empty(spark, tmp_path):
 
     rows = jobs.stream(spark, str(tmp_path), "a long, b string")
     assert jobs.run(rows, "append", "none").count() == 0
+
+
+def test_streams_count_a_long_history(spark):
+    """Half a year of events in files that each hold old and new rows: no query may drop a row as late."""
+    from types import SimpleNamespace
+
+    from larkframe import plans
+
+    start = datetime.datetime(2024, 1, 1)
+    data = [(i, start + datetime.timedelta(hours=12 * (i // 2), minutes=i % 2), i // 2 % 5, "ab"[i // 2 % 2], 1.0, "{}") for i in range(720)]
+    events = spark.createDataFrame(data, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").repartition(12)
+    t = SimpleNamespace(spark=spark, events=events)
+    got = {n: plans.QUERIES[n](t).collect() for n in ("st_event_counts", "st_monitor", "st_drift", "st_dedup_requests", "st_rate_limit_state")}
+    assert sum(r.n for r in got["st_event_counts"]) == 720
+    assert sum(r.requests for r in got["st_monitor"]) == 720 and len(got["st_monitor"]) == 180
+    assert sum(r.n for r in got["st_drift"]) == 720
+    assert sorted(r.event_id for r in got["st_dedup_requests"]) == list(range(720))
+    assert len(got["st_rate_limit_state"]) == 360 and {r.calls for r in got["st_rate_limit_state"]} == {2}
+    none = SimpleNamespace(spark=spark, events=events.limit(0))
+    assert plans.QUERIES["st_event_counts"](none).count() == 0
