@@ -4,8 +4,9 @@ Every word gets a score per language from its affixes, its character n-grams and
 neighbouring words, and forward-backward gives each word its posterior over the languages, so that a text that switches
 language is labelled part by part. A document's language is the one with the largest sum of word posteriors.
 
-Training: the words of a labelled document carry its label. The sample is bounded by ``rows_per_label`` documents of at
-most ``train_chars`` characters each, chosen by hash order; everything else sees all rows and whole texts.
+Training: the words of a labelled document carry its label. The sample is bounded by ``rows_per_label`` documents a language,
+chosen by hash order, those of at most ``train_chars`` characters first, and so many characters of longer ones; everything
+else sees all rows and whole texts.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; ties go to the alphabetically first language;
 without any labelled row every text is ``und``; repeated rows are predicted row by row; other columns are not looked at.
@@ -223,31 +224,42 @@ def fit(texts: list[str], langs: list[str], epochs: int = 12, step: float = 0.5,
     return model
 
 
-def train(
-    docs: DataFrame, rows_per_label: int = 150, train_chars: int = 5_000, max_labels: int = 256, folds: int = 3, held_out: int = 1,
-) -> Model | None:
-    """Fit on labelled documents outside the held-out fold; None without any.
+def sampled(
+    docs: DataFrame, rows_per_label: int, train_chars: int, max_labels: int, folds: int, held_out: int, calibrate: bool,
+) -> tuple[list[tuple], list[tuple]]:
+    """(doc_id, text, lang) of the training and, with ``calibrate``, of the held-out documents, at most rows_per_label a language each.
 
-    The sample is rows_per_label documents of each language, first by hash; the window limit is applied inside the input
-    tasks already, so a language that holds most rows is no hot group. More than ``max_labels`` languages are an error.
+    Documents come by hash, those of at most train_chars characters first; of longer ones the first train_chars are taken, where
+    a language has too few short ones. Rows that repeat are one. More than ``max_labels`` languages are an error.
     """
+    held = fold(folds) == held_out
+    key = F.xxhash64("doc_id", "lang", "text")
+    labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
+    labelled = labelled if calibrate else labelled.where(~held)
+    order = Window.partitionBy("lang", "held").orderBy("long", "h", "key")
     chosen = (
-        docs.select("doc_id", "lang", F.length("text").alias("size"), F.xxhash64("doc_id").alias("h"))
-        .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.col("size") > 0) & (F.col("size") <= train_chars))
-        .where(fold(folds) != held_out)
-        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
-        .where(F.col("place") <= rows_per_label)
-        .select("doc_id")
+        labelled.select("lang", held.alias("held"), (F.length("text") > train_chars).alias("long"), F.xxhash64("doc_id").alias("h"), key.alias("key"))
         .distinct()
+        .withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= rows_per_label)
     )
-    ids = [r[0] for r in chosen.limit(max_labels * rows_per_label + 1).collect()]
-    if not ids:
-        return None
-    if len(ids) > max_labels * rows_per_label:
+    most = max_labels * rows_per_label * (1 + calibrate)
+    keys = [r[0] for r in chosen.select("key").limit(most + 1).collect()]
+    if len(keys) > most:
         raise ValueError(f"more than {max_labels} languages")
-    rows = docs.where(F.col("doc_id").isin(ids) & F.col("lang").isNotNull() & (F.length("text") <= train_chars)).select("doc_id", "text", "lang").collect()
-    rows = sorted({tuple(r) for r in rows})
-    return fit([r[1] for r in rows], [r[2] for r in rows])
+    if not keys:
+        return [], []
+    got = labelled.where(key.isin(keys)).select("doc_id", F.substring("text", 1, train_chars).alias("text"), "lang", held.alias("held")).distinct()
+    rows = sorted(tuple(r) for r in got.collect())
+    return [r[:3] for r in rows if not r[3]], [r[:3] for r in rows if r[3]]
+
+
+def train(
+    docs: DataFrame, rows_per_label: int = 150, train_chars: int = 5_000, max_labels: int = 256, folds: int = 3, held_out: int = 1,
+) -> Model | None:
+    """Fit on labelled documents outside the held-out fold; None without any."""
+    rows, _ = sampled(docs, rows_per_label, train_chars, max_labels, folds, held_out, False)
+    return fit([r[1] for r in rows], [r[2] for r in rows]) if rows else None
 
 
 def fold(folds: int = 3):

@@ -424,6 +424,20 @@ def test_language(spark, docs, nothing):
     assert m.identify(nothing, m.train(nothing)).count() == 0 and m.train(given.withColumn("lang", F.lit(None).cast("string"))) is None
 
 
+def test_language_of_long_or_repeated_documents_is_learned(spark):
+    from larkframe.llm import language_crf as m
+
+    docs = [(i, f"the house and the river number {'abcdefghij'[i % 10]} " * 3, "en") for i in range(40)]
+    docs += [(100 + i, "la maison et le fleuve sont verts " * 40, "fr") for i in range(12)]  # all longer than train_chars
+    docs += [(300, "das haus und der fluss sind grau", "de")] * 200 + [(400 + i, f"der baum und die katze {'abcdefghij'[i % 10]}", "de") for i in range(30)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    rows, held = m.sampled(table, 20, 500, 256, 3, 1, True)
+    by = Counter(r[2] for r in rows)
+    assert by["en"] == 20 and by["fr"] >= 4 and by["de"] >= 15 and max(len(r[1]) for r in rows) == 500 and len(set(rows)) == len(rows)
+    assert {r[2] for r in held} == {"en", "fr", "de"} and {r[0] for r in rows}.isdisjoint({r[0] for r in held})
+    assert "fr" in m.train(table, rows_per_label=20, train_chars=500).labels
+
+
 def test_blocked_passes_equal_plain_ones():
     from larkframe.llm.language_crf import forward_backward
 
