@@ -327,9 +327,81 @@ def label_runs(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(runs, "doc_id long, run long, first_word long, n_words long, lang string, probability double")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """Documents whose language is known with a mean word posterior of at least ``least``; the columns stay."""
-    return identify(docs, train(docs)).where((F.col("lang_pred") != UND) & (F.col("score") >= least)).select(*docs.columns)
+@dataclass
+class Background:
+    """What words weigh against a text of no learned language."""
+
+    evidence: np.ndarray  # (2 ** BITS, labels): log share of each three-gram in the language, less the language's bar
+    spread: float  # deviation of one three-gram's log share in its own language
+
+
+def background(texts: list[str], langs: list[str], held_texts: list[str], held_langs: list[str], labels: list[str]) -> Background:
+    """Log shares of three-grams from the training texts, and each language's bar from the held-out ones.
+
+    The bar of a language lies halfway between the mean log shares of its own held-out texts (the low end, without the last
+    fiftieth) and those of the other languages' (the high end), which stand for languages that were not learned; it is never over
+    the low end of its own. A single language has the share of a three-gram never seen as the other end. Without a held-out
+    text nothing is known of a language, and it rejects nothing.
+    """
+    seen = np.zeros((1 << BITS, len(labels)))
+    for j, label in enumerate(labels):
+        codes = words_of([t for t, x in zip(texts, langs) if x == label])[0]
+        seen[:, j] = np.bincount(grams(codes)[codes != 32], minlength=1 << BITS)
+    kinds = np.count_nonzero(seen.any(axis=1)) + 1
+    share = np.log((seen + 0.5) / (seen.sum(axis=0) + 0.5 * kinds))
+    codes, first, length, per_text = words_of(held_texts)
+    by_word = gathered(share[grams(codes)], first, length) if len(first) else np.zeros((0, len(labels)))
+    total, ends = np.concatenate([np.zeros((1, len(labels))), np.cumsum(by_word, axis=0)]), np.cumsum(per_text)
+    letters = np.concatenate([[0], np.cumsum(length)])
+    n = letters[ends] - letters[ends - per_text]
+    mean = (total[ends] - total[ends - per_text]) / np.maximum(n, 1)[:, None]
+    lang, bars, spread = np.array(held_langs), np.full(len(labels), -np.inf), 0.0
+    for j, label in enumerate(labels):
+        own, other = mean[(lang == label) & (n > 0), j], mean[(lang != label) & (n > 0), j]
+        if len(own):
+            low = np.quantile(own, 0.02)
+            bars[j] = min(low, (low + (np.quantile(other, 0.98) if len(other) else share[:, j].min())) / 2)
+            own_share = seen[:, j] / seen[:, j].sum()
+            spread = max(spread, float(np.sqrt(own_share @ (share[:, j] - own_share @ share[:, j]) ** 2)))
+    return Background(np.where(np.isfinite(bars), share - bars, 0).astype(np.float32), spread)
+
+
+def known(model: Model, back: Background, texts: list[str | None], allow: float = 3.0) -> np.ndarray:
+    """Whether a text has words, and they are words of the learned languages.
+
+    Every word weighs by its posterior over the languages, so that a text may switch between them. Short texts may fall under
+    the bar by ``allow`` deviations of a mean of so many three-grams.
+    """
+    out = np.zeros(len(texts), dtype=bool)
+    for part in slices([len(t or "") for t in texts], SLICE_CHARS):
+        codes, first, length, per_text = words_of([t or "" for t in texts[part]])
+        if not len(first):
+            continue
+        new = np.zeros(len(first), dtype=bool)
+        new[(np.cumsum(per_text) - per_text)[per_text > 0]] = True
+        post = forward_backward(emissions(model, codes, first, length), new, model.trans, model.start)[0]
+        by_word = (post * gathered(back.evidence[grams(codes)], first, length)).sum(axis=1)
+        total, letters, ends = np.concatenate([[0], np.cumsum(by_word)]), np.concatenate([[0], np.cumsum(length)]), np.cumsum(per_text)
+        n = letters[ends] - letters[ends - per_text]
+        out[part] = (per_text > 0) & (total[ends] - total[ends - per_text] >= -allow * back.spread * np.sqrt(n))
+    return out
+
+
+def keep_identified(
+    docs: DataFrame, rows_per_label: int = 150, train_chars: int = 5_000, max_labels: int = 256, folds: int = 3, held_out: int = 1,
+) -> DataFrame:
+    """Documents in the learned languages, by a bar that the labelled documents of the held-out fold set; the columns stay."""
+    rows, held = sampled(docs, rows_per_label, train_chars, max_labels, folds, held_out, True)
+    if not rows:
+        return docs.where(F.lit(False))
+    model = fit([r[1] for r in rows], [r[2] for r in rows])
+    back = background([r[1] for r in rows], [r[2] for r in rows], [r[1] for r in held], [r[2] for r in held], model.labels)
+
+    @F.pandas_udf("boolean")
+    def keep(text: pd.Series) -> pd.Series:
+        return pd.Series(known(model, back, [t if isinstance(t, str) else None for t in text]))
+
+    return docs.where(keep("text"))
 
 
 @query("op8_language_crf")

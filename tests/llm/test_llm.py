@@ -438,6 +438,23 @@ def test_language_of_long_or_repeated_documents_is_learned(spark):
     assert "fr" in m.train(table, rows_per_label=20, train_chars=500).labels
 
 
+def test_texts_of_unlearned_languages_go(spark):
+    from larkframe.llm import language_crf as m
+
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text is not null and length(text) > 0")
+    for learned in (("de", "en", "fr"), ("en", "es"), ("de",)):
+        table = given.withColumn("lang", F.when(F.col("lang").isin(*learned), F.col("lang")))
+        kept = Counter(r.doc_id for r in m.keep_identified(table).collect())
+        own, other = Counter(), Counter()
+        for r in given.collect():
+            (own if r.lang in learned else other)[r.doc_id] += 1
+        assert sum((kept & own).values()) >= 0.99 * sum(own.values()) and sum((kept & other).values()) <= 0.1 * sum(other.values())
+    short = [" ".join(r.text.split()[:3]) for r in given.where("lang = 'en'").orderBy("doc_id").limit(40).collect()]
+    more = [(10_000 + i, x, None) for i, x in enumerate([*short, "Привет мир это русский текст", "12 34", None])]
+    kept = {r.doc_id for r in m.keep_identified(given.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(more, "doc_id long, text string, lang string"))).collect()}
+    assert {i for i in kept if i >= 10_000} == {10_000 + i for i in range(40)}
+
+
 def test_blocked_passes_equal_plain_ones():
     from larkframe.llm.language_crf import forward_backward
 
