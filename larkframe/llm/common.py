@@ -51,6 +51,14 @@ def slices(sizes: Iterable[int], most: int) -> Iterator[slice]:
         yield slice(begin, at + 1)
 
 
+def lengths_of(rows: DataFrame, most: int = 10_000) -> list[int]:
+    """The different numbers in dims, one pass for each; more than ``most`` are an error, so that none is left out."""
+    got = sorted(r[0] for r in rows.select("dims").distinct().limit(most + 1).collect())
+    if len(got) > most:
+        raise ValueError(f"more than {most} lengths of vectors")
+    return got
+
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, dtype=bool)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkframe.llm.bag_minhash import forest
-from larkframe.llm.common import connected, written
+from larkframe.llm.common import connected, lengths_of, written
 from larkframe.llm.registry import query, table
 from larkframe.operators.ordering import chunked
 
@@ -105,7 +105,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tile: int = TILE)
         base.groupBy("node").agg(F.first("label").alias("label"), F.first("v").alias("v"), F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least_id"))
         .withColumn("dims", F.size("v")), "cosine-nodes")
     turned = []
-    for (dims,) in nodes.select("dims").distinct().limit(10_000).collect():
+    for dims in lengths_of(nodes):
         some = nodes.where(F.col("dims") == dims)
         turn = axes(some, dims)
 

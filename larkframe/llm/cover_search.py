@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkframe.llm.common import written
+from larkframe.llm.common import lengths_of, written
 from larkframe.llm.registry import query, table
 
 SCALE = 256
@@ -231,7 +231,7 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows of every query row; ``is_query`` is a condition on vec_id."""
     rows = whole_numbers(vectors)
     out = None
-    for (dims,) in rows.select("dims").distinct().limit(10_000).collect():
+    for dims in lengths_of(rows):
         found = _one_length(rows.where(F.col("dims") == dims).select("vec_id", "v"), is_query, k)
         out = found if out is None else out.unionByName(found)
     if out is None:

@@ -149,6 +149,15 @@ def test_top_products_equal_brute_force(vectors, monkeypatch):
     assert m.top_products(vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_too_many_vector_lengths_are_an_error(spark):
+    from larkframe.llm.common import lengths_of
+
+    rows = spark.createDataFrame([(i % 7,) for i in range(50)], "dims int")
+    assert lengths_of(rows, 7) == list(range(7)) and lengths_of(rows.limit(0)) == []
+    with pytest.raises(ValueError):
+        lengths_of(rows, 6)
+
+
 def test_trees_prune_clustered_points():
     from larkframe.llm.cover_search import search
 
