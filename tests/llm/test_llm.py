@@ -500,6 +500,71 @@ def test_pipeline(spark):
     assert [n for n, _ in c.STAGES] == ["language", "lines", "near_copies", "passages", "packing"]
 
 
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    """The stages after the learned one, on rows with nulls, repeats, copied lines, near copies and copied passages."""
+    import corpus_pipeline as c
+    from larkframe.llm.common import keyed
+    from larkframe.llm.suffix_dedup import LEAST
+
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) between 400 and 2500").orderBy("doc_id").limit(60).collect()
+    data = [(r.doc_id, r.text, r.lang) for r in given[:40]]
+    extra = [r.text for r in given[40:]]
+    data += [data[3], data[3], (data[5][0], extra[0], None), (None, None, None), (900, "12 34", None)]
+    data += [(None, x, None) for x in extra[1:6]] + [(None, extra[1], None), (901, extra[2] + " und", None)]
+    lines = "\n".join(" ".join(extra[6].split()[i : i + 6]) for i in range(0, 24, 6))
+    data += [(902, lines + "\n" + extra[7], None), (903, extra[8] + "\n" + lines, None), (904, lines, None)]
+    passage = " ".join((extra[9] + " " + extra[10]).split()[:LEAST + 12])
+    data += [(905, extra[11] + " " + passage, None), (None, passage + " " + extra[12], None)]
+    spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    now = [(r.doc_id, r.text) for r in c.language(spark, table, None).collect()]
+    assert len(now) >= len(data) - 5
+
+    def ordered(rows):
+        k = {(r.doc_id, r.text): r.k for r in keyed(spark.createDataFrame(rows, "doc_id long, text string")).distinct().collect()}
+        return sorted(k, key=lambda r: (r[0] is None, r[0] or 0, k[r]))
+
+    seen, left = set(), {}
+    for key in ordered(now):
+        three = key[1].split("\n")
+        gone = set()
+        for j in range(len(three) - 2):
+            w = tuple(three[j : j + 3])
+            if any(x.strip(" ") for x in w):
+                gone |= set(range(j, j + 3)) if w in seen else set()
+                seen.add(w)
+        left[key] = "\n".join(x for i, x in enumerate(three) if i not in gone) if len(gone) < len(three) else None
+    assert any(a[1] != b for a, b in left.items())
+    now = [(a[0], left[a]) for a in now if left[a] is not None]
+
+    classes, before = [], len(now)  # lists of (place, row, bag); the first of a list is the one that stays
+    for i, key in enumerate(ordered(now)):
+        bag = shingle_bag(key[1])
+        met = [x for x in classes if any(10 * sum((bag & y[2]).values()) >= 8 * sum((bag | y[2]).values()) for y in x)]
+        classes = [x for x in classes if x not in met] + [sorted([y for x in met for y in x] + [(i, key, bag)], key=lambda y: y[0])]
+    now = [x[0][1] for x in classes]
+    assert len(now) < before
+
+    seen, out = set(), Counter()
+    for key in ordered(now):
+        found = list(re.finditer(r"[^ \t\n\r\f\v]+", key[1]))
+        w, gone, text = [x.group() for x in found], set(), key[1]
+        for j in range(len(w) - LEAST + 1):
+            window = tuple(w[j : j + LEAST])
+            gone |= set(range(j, j + LEAST)) if window in seen else set()
+            seen.add(window)
+        for j in sorted(gone, reverse=True):
+            text = text[: found[j - 1].end() if j - 1 in gone else found[j].start()] + text[found[j].end() :]
+        if blank(text) or not gone:
+            out[key[0], text] += 1
+    assert sum(out[k] for k in out) >= 40 and set(out) - set(now)
+    tok = Tokenizer.from_file(BYTE)
+    want = Counter((i, tuple([*tok.encode(t, add_special_tokens=False).ids, 0])) for i, t in out.elements())
+    packed = c.run(spark, str(tmp_path)).collect()
+    assert all(r.piece == 0 for r in packed)
+    assert Counter((r.doc_id, tuple(np.frombuffer(bytes(r.ids), "<u4").tolist())) for r in packed) == want
+
+
 def test_queries_match_sql(spark):
     from compare import check, connect
 
