@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from larkframe.session import new_folder
 
 
-def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+def written(df: DataFrame, name: str, *partition_by: str, dense: bool = False) -> DataFrame:
     """The rows as a Parquet table in the shared folder, read back: costly steps run once, and a lost executor loses none."""
     path = new_folder(df.sparkSession, name)
-    out = df.write
+    out = df.write.option("compression", "zstd") if dense else df.write
     if partition_by:
         out = out.partitionBy(*partition_by)
     out.parquet(path)

@@ -260,7 +260,7 @@ def compared(docs: DataFrame) -> DataFrame:
     # The number of the row splits rows that are equal otherwise; it is the place in the file, so the same on every run of a task.
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_id", F.monotonically_increasing_id())
     ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text", F.spark_partition_id().alias("part"))
-    found = written(ranged.mapInArrow(walk, schema), "walked")
+    found = written(ranged.mapInArrow(walk, schema), "walked", dense=True)
     # The parts with rows, each with the next one; after the last comes the first. One row per part.
     heads = found.where("first").select(F.col("part").alias("head_part"), F.col("text").alias("head_text"), F.col("fingerprint").alias("head_print"))
     parts = found.where("first").select("part")
