@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from larkframe.llm.common import keyed
 from larkframe.llm.registry import query, table
-from larkframe.llm.tokens import LowerWordEncoder, description_of
+from larkframe.llm.tokens import description_of, word_encoder
 from larkframe.session import new_folder
 
 BLOCK_IDS = 1 << 19
@@ -140,7 +140,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2, block_id
     description = description_of(path)
 
     def run(batches):
-        encoder, shard, number = LowerWordEncoder(description), TaskContext.get().partitionId(), 0
+        encoder, shard, number = word_encoder(description), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype=_U4).tobytes()
         names, parts, held = [], [], 0
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import struct
+from functools import lru_cache
 
 import numpy as np
 import regex
@@ -119,12 +120,12 @@ class LowerWordEncoder:
         return pack_ids([t.id for t in self.model.tokenize(word)])
 
     def _part(self, part: str) -> bytes:
-        if not part.isascii():
+        if not _PLAIN(part) or "\u0130" in part:
             return pack_ids(self.library.encode(part, add_special_tokens=False).ids)
-        low = part.lower()
-        if low.isalpha():
+        low = part.lower()  # below U+0250 composed already, and lower-cased alike but for U+0130
+        if low.isascii() and low.isalpha():
             return self.words[low]
-        return b"".join([self.words[w.translate(_LETTERS)] for w in self._SPLIT(low)])
+        return b"".join([self.words[w.encode("utf-8").decode("latin-1").translate(_LETTERS)] for w in self._SPLIT(low)])
 
     def encode(self, text: str) -> bytes:
         if any(mark in text for mark in self.added) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
@@ -132,6 +133,12 @@ class LowerWordEncoder:
         return b"".join(map(self.parts.__getitem__, text.split()))
 
 
+@lru_cache(maxsize=1)
+def word_encoder(description: str) -> LowerWordEncoder:
+    """One encoder per Python worker: its tables are loaded once, and its cache stays warm from task to task."""
+    return LowerWordEncoder(description)
+
+
 def description_of(path: str) -> str:
     """The tokenizer file as text, read by the driver and sent along, so that tasks need no file."""
     with open(path, encoding="utf-8") as f:
