@@ -1,26 +1,29 @@
-"""Exact k nearest neighbours by pivots and the triangle inequality.
+"""Exact k nearest neighbours by a recursive metric partition and bounds in two rounds.
 
-Points go to the cell of their nearest pivot. From the few smallest pivot distances of every cell each query gets an
-upper bound of its k-th neighbour distance, and visits only cells that can hold a point within that bound. A cell is
-split into chunks of bounded size and its queries are salted, so a hot cell is many tasks; a task returns the k best of
-its chunk, never all pairs, and a last per-query pass keeps the k best of all chunks. No candidate is capped or sampled.
-Copies of one vector are searched once.
+The points are split into cells by their nearest pivot, cells above ``LEAF`` points are split again by pivots of their own, level by level: the
+number of pivots grows with the points, and no list of them goes through the driver. Round one takes every query down to its nearest leaf; the
+k-th distance found there (or, where the leaf is too small, the farthest point of the smallest cell around it) bounds the true k-th distance.
+Round two sends keys of leaves down the tree: a leaf of queries with its radius and its largest bound meets only cells that the
+triangle inequality leaves open. Each query then goes to those leaves that its own bound leaves open. The result is exact.
+
+Cells are dealt in chunks and their queries salted, so a hot cell is many tasks; a task returns the k best of its chunk, never all pairs, and a
+last pass per query keeps the k best of all chunks. No candidate is capped or sampled. Copies of one vector are searched once.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkframe.operators.hashing import digest
 from larkframe.session import shared_folder
 
 CHUNK = 20_000
-MAX_PIVOTS = 4096
+LEAF = 512
+FAN = 256
+DEPTH = 7  # numbers of cells fit 63 bits; what is left above LEAF then is searched in chunks
 
 
 def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
@@ -35,13 +38,14 @@ def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
 
 def knn(
     points: DataFrame, queries: DataFrame, k: int, key: str = "id", vec: str = "vec", same: bool = True, metric: str = "l2",
-    pivots: int | None = None, chunk: int = CHUNK,
+    leaf: int = LEAF, chunk: int = CHUNK, tally: dict | None = None,
 ) -> DataFrame:
     """For every query the k nearest points: (``qid``, ``nid``, ``dist``, ``place``), ties by point key.
 
     ``same`` says that both frames hold the same keys and a row is not its own neighbour. Keys are whole numbers or
     text, ``vec`` is an array of doubles. The search runs on distinct vectors, each with its first few keys, so any
-    number of copies of one vector is one point of the search.
+    number of copies of one vector is one point of the search. ``tally`` is given the number of distinct (query, point)
+    pairs in visited leaves and of all pairs.
     """
     shared_folder(points.sparkSession)
     need = k + 1 if same else k
@@ -52,7 +56,7 @@ def knn(
     reps = keys.groupBy("pv").agg(F.min("nid").alias("nid"))
     members = keys.join(reps.withColumnRenamed("nid", "rep"), "pv").select("rep", "nid")
     asked = qs.groupBy("qv").agg(F.min("qid").alias("qid")).checkpoint()
-    near = _search(reps, asked, need, metric, pivots, chunk).withColumnRenamed("nid", "rep").join(members, "rep")
+    near = _search(reps, asked, need, metric, leaf, chunk, tally).withColumnRenamed("nid", "rep").join(members, "rep")
     w = Window.partitionBy("qid").orderBy("dist", "nid")  # at most need x need rows per distinct query
     near = near.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= need).select(F.col("qid").alias("_q"), "nid", "dist")
     owners = qs.join(asked.withColumnRenamed("qid", "_q"), "qv").select("qid", "_q")
@@ -62,73 +66,96 @@ def knn(
     return out.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
-def _search(pts: DataFrame, qs: DataFrame, need: int, metric: str, pivots: int | None, chunk: int) -> DataFrame:
+def _meet(left: DataFrame, right: DataFrame, fn, schema: str, chunk: int, whole: bool = False) -> DataFrame:
+    """fn(rows of left, rows of right) for the rows of each cell, in parts of at most about ``chunk`` rows of either side.
+
+    With ``whole`` every call sees all rows of right in its cell, which are at most FAN.
+    """
+    def parts(rows: DataFrame, name: str, most: int) -> DataFrame:
+        return rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name))
+
+    shape = parts(left, "_salts", chunk).join(parts(right, "_parts", FAN if whole else chunk), "cell", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+
+    def deal(n: str, columns: list[str]) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.col(n)).cast("int")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    a = left.join(shape, "cell").withColumn("_salt", deal("_salts", left.columns)).withColumn("_part", every("_parts"))
+    b = right.join(shape, "cell").withColumn("_part", deal("_parts", right.columns)).withColumn("_salt", every("_salts"))
+    group = ["cell", "_part", "_salt"]
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small tables, much work: not fewer tasks
+    a, b = (x.select(*[F.col(c).alias(c) for c in (*rows.columns, "_part", "_salt")]).repartition(n, *group) for x, rows in ((a, left), (b, right)))
+    return a.groupBy(*group).cogroup(b.groupBy(*group)).applyInPandas(fn, schema)
+
+
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy())
+
+
+def _tree(points: DataFrame, kind: str, metric: str, leaf: int, chunk: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(nid, pv, cell) of the points in their leaves, and per level the nodes (cell: parent, child, at, n, radius)."""
+
+    def nearest(p: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        if p.empty:
+            return pd.DataFrame({"nid": p["nid"][:0], "pv": [], "cell": [], "d": []})
+        c = c.sort_values("child")
+        d = distances(_matrix(p["pv"]), _matrix(c["at"]), metric)
+        best = d.argmin(axis=1)
+        return pd.DataFrame({"nid": p["nid"].to_numpy(), "pv": p["pv"].to_numpy(), "cell": c["child"].to_numpy()[best], "d": d[np.arange(len(d)), best]})
+
+    left, done, levels = points.withColumn("cell", F.lit(0).cast("long")).checkpoint(), [], []  # cut, so that no join is on a constant
+    for depth in range(DEPTH):
+        counts = left.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+        if counts.where(F.col("n") > leaf).isEmpty():
+            break
+        sized = left.join(counts, "cell")
+        done.append(sized.where(F.col("n") <= leaf).select("nid", "pv", "cell"))
+        more = sized.where(F.col("n") > leaf)
+        first = Window.partitionBy("cell").orderBy(digest(["nid"], f"pivot{depth}"), "nid")  # the row limit is applied before the shuffle too
+        drawn = more.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= FAN).where(F.col("_r") <= F.greatest(F.lit(2), F.ceil(F.col("n") * 4 / leaf)))
+        pivots = drawn.select("cell", (F.col("cell") * FAN + F.col("_r")).alias("child"), F.col("pv").alias("at")).checkpoint()
+        left = _meet(more.select("cell", "nid", "pv"), pivots, nearest, f"nid {kind}, pv array<double>, cell long, d double", chunk, whole=True).checkpoint()
+        stats = left.groupBy(F.col("cell").alias("child")).agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("radius"))
+        levels.append(pivots.join(stats, "child").select("cell", "child", "at", "n", "radius").checkpoint())
+        left = left.drop("d")
+    for more in done:
+        left = left.unionByName(more)
+    return left, levels
+
+
+def _search(pts: DataFrame, qs: DataFrame, need: int, metric: str, leaf: int, chunk: int, tally: dict | None) -> DataFrame:
     """The ``need`` nearest of the distinct points for every distinct query."""
-    spark = pts.sparkSession
     kind = dict(pts.dtypes)["nid"]
-    n = pts.count()
-    want = pivots or min(MAX_PIVOTS, max(1, int(math.sqrt(n))))
-    rows = pts.orderBy(digest(["nid"], "pivot")).limit(want).select("pv").collect()  # at most MAX_PIVOTS rows
-    if not rows:
-        return spark.createDataFrame([], f"qid {kind}, nid {kind}, dist double")
-    pivot = np.array([row["pv"] for row in rows], dtype=float)
-
-    @F.pandas_udf("cell int, d double")
-    def assign(v: pd.Series) -> pd.DataFrame:
-        d = distances(np.stack(v.to_numpy()), pivot, metric)
+    placed, levels = _tree(pts, kind, metric, max(leaf, need), chunk)
+    down = f"cell long, qid {kind}, qv array<double>, bound double, d double"
+
+    def descend(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or c.empty:  # the query is in its leaf
+            return q[["cell", "qid", "qv", "bound", "d"]]
+        c = c.sort_values("child")
+        d = distances(_matrix(q["qv"]), _matrix(c["at"]), metric)
         best = d.argmin(axis=1)
-        return pd.DataFrame({"cell": best.astype("int32"), "d": d[np.arange(len(d)), best]})
-
-    placed = pts.withColumn("_a", assign("pv")).select("nid", "pv", "_a.cell", "_a.d").checkpoint()
-    # per cell: size, radius and the few smallest pivot distances (top-k with a group limit before the shuffle)
-    near = Window.partitionBy("cell").orderBy("d")
-    small = placed.select("cell", "d").withColumn("_r", F.row_number().over(near)).where(F.col("_r") <= need)
-    small = small.groupBy("cell").agg(F.sort_array(F.collect_list("d")).alias("small"))  # at most k + 1 numbers
-    stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("radius")).join(small, "cell").collect()
-    cells = np.array([s["cell"] for s in stats])
-    radius = np.array([s["radius"] for s in stats])
-    bounds = np.full((len(stats), need), np.inf)
-    for i, s in enumerate(stats):
-        bounds[i, : len(s["small"])] = s["small"]
-
-    @F.pandas_udf("array<int>")
-    def visit(v: pd.Series) -> pd.Series:
-        out = []
-        x = np.stack(v.to_numpy())
-        for i in range(0, len(x), 1024):
-            d = distances(x[i:i + 1024], pivot[cells], metric)
-            ub = (d[:, :, None] + bounds[None, :, :]).reshape(len(d), -1)
-            at = min(need, ub.shape[1]) - 1
-            limit = np.partition(ub, at, axis=1)[:, at]
-            hit = d - radius[None, :] <= limit[:, None] * (1 + 1e-12) + 1e-12
-            out += [cells[h] for h in hit]
-        return pd.Series(out)
-
-    routed = qs.withColumn("cell", F.explode(visit("qv"))).checkpoint()
-    load = {r["cell"]: r["n"] for r in routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per pivot
-    shape = spark.createDataFrame(
-        [(int(s["cell"]), max(1, math.ceil(s["n"] / chunk)), max(1, math.ceil(load.get(s["cell"], 0) / chunk))) for s in stats],
-        "cell int, chunks int, salts int")
-    shape = F.broadcast(shape)  # one row per pivot
-    left = routed.join(shape, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn(
-        "salt", F.pmod(F.xxhash64("qid"), F.col("salts")).cast("int"))
-    right = placed.drop("d").join(shape, "cell").withColumn("part", F.pmod(F.xxhash64("nid"), F.col("chunks")).cast("int")).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    group = ["cell", "part", "salt"]
+        full = ((d + c["radius"].to_numpy()) * (1 + 1e-12) + 1e-12)[:, c["n"].to_numpy() >= need]
+        bound = q["bound"].to_numpy()
+        if full.shape[1]:
+            bound = np.minimum(bound, full.min(axis=1))
+        return pd.DataFrame({"cell": c["child"].to_numpy()[best], "qid": q["qid"].to_numpy(), "qv": q["qv"].to_numpy(), "bound": bound, "d": d[np.arange(len(d)), best]})
 
     def best(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if q.empty or p.empty:
             return pd.DataFrame({"qid": q["qid"][:0], "nid": p["nid"][:0], "dist": np.empty(0)})
         p = p.sort_values("nid", kind="stable")
-        pv, pid = np.stack(p["pv"].to_numpy()), p["nid"].to_numpy()
-        qv, qid = np.stack(q["qv"].to_numpy()), q["qid"].to_numpy()
+        pv, pid = _matrix(p["pv"]), p["nid"].to_numpy()
+        qv, qid, bound = _matrix(q["qv"]), q["qid"].to_numpy(), q["bound"].to_numpy()
         top = min(need, len(pid))
         parts = []
         step = max(1, int(2e6 // len(pid)))
         for i in range(0, len(qid), step):
             d = distances(qv[i:i + step], pv, metric)
             # values up to the top-th smallest, ties included; then order only those by (distance, point key)
-            last = np.partition(d, top - 1, axis=1)[:, top - 1]
+            last = np.minimum(np.partition(d, top - 1, axis=1)[:, top - 1], bound[i:i + step])
             i_q, i_p = np.nonzero(d <= last[:, None])
             dist = d[i_q, i_p]
             o = np.lexsort((i_p, dist, i_q))
@@ -138,7 +165,62 @@ def _search(pts: DataFrame, qs: DataFrame, need: int, metric: str, pivots: int |
             parts.append(pd.DataFrame({"qid": qid[i:i + step][i_q[keep]], "nid": pid[i_p[keep]], "dist": dist[keep]}))
         return pd.concat(parts)
 
-    cand = left.select(*group, "qid", "qv").groupBy(*group).cogroup(right.select(*group, "nid", "pv").groupBy(*group)).applyInPandas(
-        best, f"qid {kind}, nid {kind}, dist double")
+    def found(q: DataFrame) -> DataFrame:
+        return _meet(q.select("cell", "qid", "qv", "bound"), placed, best, f"qid {kind}, nid {kind}, dist double", chunk)
+
     w = Window.partitionBy("qid").orderBy("dist", "nid")  # at most need rows per visited chunk
-    return cand.withColumn("_p", F.row_number().over(w)).where(F.col("_p") <= need).drop("_p")
+
+    def nearest(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_p", F.row_number().over(w)).where(F.col("_p") <= need).drop("_p")
+
+    home = qs.select(F.lit(0).cast("long").alias("cell"), "qid", "qv", F.lit(float("inf")).alias("bound"), F.lit(0.0).alias("d")).checkpoint()
+    for nodes in levels:
+        home = _meet(home, nodes, descend, down, chunk, whole=True)
+    home = home.checkpoint() if levels else home
+    first = nearest(found(home)).checkpoint()
+    if not levels:
+        _count(tally, home, placed, qs)
+        return first
+    # rounding may lift a computed distance over the bound it must meet
+    last = first.groupBy("qid").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_last"))
+    limit = F.when(F.col("_n") >= need, F.least("_last", "bound")).otherwise(F.col("bound")) * (1 + 1e-12) + 1e-12
+    home = home.join(last, "qid", "left").withColumn("bound", limit).drop("_n", "_last").checkpoint()
+
+    every = levels[0]
+    for nodes in levels[1:]:
+        every = every.unionByName(nodes)
+    leaves = every.select(F.col("child").alias("cell"), "at", "radius", "n")
+    groups = home.groupBy("cell").agg((F.max("d") + F.max("bound")).alias("reach")).join(leaves.select("cell", "at"), "cell")
+    pairs = groups.select(F.lit(0).cast("long").alias("cell"), F.col("cell").alias("own"), F.col("at").alias("gat"), "reach").checkpoint()
+
+    def open_cells(g: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        if g.empty or c.empty:
+            return g[["cell", "own", "gat", "reach"]]
+        d = distances(_matrix(g["gat"]), _matrix(c["at"]), metric)
+        reach = g["reach"].to_numpy()[:, None]
+        i, j = np.nonzero(d - c["radius"].to_numpy() <= reach * (1 + 1e-12))
+        return pd.DataFrame({"cell": c["child"].to_numpy()[j], "own": g["own"].to_numpy()[i], "gat": g["gat"].to_numpy()[i], "reach": reach[i, 0]})
+
+    for nodes in levels:
+        pairs = _meet(pairs, nodes, open_cells, "cell long, own long, gat array<double>, reach double", chunk)
+    visits = pairs.where("cell <> own").select("cell", "own").join(leaves.select("cell", "at", "radius"), "cell").select(
+        F.col("own").alias("cell"), F.col("cell").alias("target"), "at", "radius").checkpoint()
+
+    def sent(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or c.empty:
+            return pd.DataFrame({"cell": [], "qid": q["qid"][:0], "qv": [], "bound": []})
+        at, radius, target = _matrix(c["at"]), c["radius"].to_numpy(), c["target"].to_numpy()
+        d = distances(_matrix(q["qv"]), at, metric)
+        i, j = np.nonzero(d - radius <= q["bound"].to_numpy()[:, None])
+        return pd.DataFrame({"cell": target[j], "qid": q["qid"].to_numpy()[i], "qv": q["qv"].to_numpy()[i], "bound": q["bound"].to_numpy()[i]})
+
+    routed = _meet(home.select("cell", "qid", "qv", "bound"), visits, sent, f"cell long, qid {kind}, qv array<double>, bound double", LEAF).checkpoint()
+    _count(tally, home.select("cell").unionByName(routed.select("cell")), placed, qs)
+    return nearest(first.unionByName(found(routed)))
+
+
+def _count(tally: dict | None, visits: DataFrame, placed: DataFrame, qs: DataFrame) -> None:
+    if tally is not None:
+        sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+        tally["visited"] = visits.join(sizes, "cell").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        tally["all"] = placed.count() * qs.count()

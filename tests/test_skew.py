@@ -92,11 +92,11 @@ def brute_knn(x, q, k, same, l1=False):
     return out
 
 
-@pytest.mark.parametrize("dims,grid,metric,chunk", [(2, None, "l2", 20000), (2, 0.5, "l2", 50), (8, None, "l1", 30), (3, 1.0, "l1", 20000)])
-def test_knn_equals_brute_force(spark, dims, grid, metric, chunk):
+@pytest.mark.parametrize("dims,grid,metric,chunk,leaf", [(2, None, "l2", 20000, 512), (2, 0.5, "l2", 50, 16), (8, None, "l1", 30, 20), (3, 1.0, "l1", 20000, 6)])
+def test_knn_equals_brute_force(spark, dims, grid, metric, chunk, leaf):
     d, x = points(spark, dims=dims, grid=grid)
     got = {}
-    for r in knn(d, d, 4, metric=metric, chunk=chunk).collect():
+    for r in knn(d, d, 4, metric=metric, chunk=chunk, leaf=leaf).collect():
         got.setdefault(r["qid"], []).append((r["place"], r["nid"], round(r["dist"], 9)))
     want = brute_knn(x, x, 4, True, metric == "l1")
     assert {i: [(j, e) for _, j, e in sorted(v)] for i, v in got.items()} == want
@@ -107,11 +107,26 @@ def test_knn_few_points(spark):
     assert knn(d, d, 5).count() == 6  # fewer points than neighbours: all others are returned
 
 
-def test_knn_other_queries(spark):
+@pytest.mark.parametrize("dims,spread", [(2, None), (4, None), (16, 0.2)])
+def test_knn_visits_few_points(spark, dims, spread):
+    rng = np.random.default_rng(dims)
+    x = rng.random((6000, dims)) if spread is None else rng.normal(size=(40, dims))[rng.integers(0, 40, 6000)] * 4 + rng.normal(size=(6000, dims)) * spread
+    d = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, vec array<double>")
+    tally = {}
+    got = {(r["qid"], r["place"]): r["nid"] for r in knn(d, d, 5, leaf=96, tally=tally).collect()}
+    print(f"{dims} dimensions, spread {spread}: {tally['visited'] / tally['all']:.3f} of all pairs visited")
+    assert len(got) == 30_000 and tally["all"] == 36_000_000 and tally["visited"] < 0.2 * tally["all"]
+    for i in rng.integers(0, 6000, 40):
+        dist = np.sqrt(((x - x[i]) ** 2).sum(1))
+        assert [got[i, p] for p in range(1, 6)] == [j for j in np.lexsort((np.arange(6000), dist)) if j != i][:5]
+
+
+@pytest.mark.parametrize("leaf", [512, 12])
+def test_knn_other_queries(spark, leaf):
     d, x = points(spark, n=200)
     q, y = points(spark, n=50, seed=9)
     got = {}
-    for r in knn(d, q, 3, same=False).collect():
+    for r in knn(d, q, 3, same=False, leaf=leaf).collect():
         got.setdefault(r["qid"], []).append((r["place"], r["nid"]))
     want = {i: [j for j, _ in v] for i, v in brute_knn(x, y, 3, False).items()}
     assert {i: [j for _, j in sorted(v)] for i, v in got.items()} == want
