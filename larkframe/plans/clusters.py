@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 
 from larkframe.learning import clustering as cu
 from larkframe.learning.features import levels_of
+from larkframe.learning.medoids import assigned, k_medoids
 from larkframe.learning.resample import bootstraps
 from larkframe.operators import hypothesis as hy
 from larkframe.operators.components import components
@@ -260,6 +261,22 @@ def un_gower(t):
     return knn(d, d, 3, metric="l1").select(col("qid").alias("s_suppkey"), "nid", "place", r(col("dist") / 2).alias("gower"))
 
 
+# All pairs of rows as medoids: with two clusters the best pair can be found by trying all.
+GOWER2_SQL = """s AS (SELECT s_suppkey, s_nationkey, s_acctbal / (SELECT max(s_acctbal) - min(s_acctbal) FROM supplier) AS a FROM supplier),
+k AS (SELECT p.s_suppkey AS i, q.s_suppkey AS m, (abs(p.a - q.a) + (p.s_nationkey <> q.s_nationkey)::int) / 2 AS g FROM s p, s q),
+c AS (SELECT a.m AS m1, b.m AS m2, sum(least(a.g, b.g)) AS cost FROM k a JOIN k b ON a.i = b.i AND a.m < b.m GROUP BY 1, 2),
+best AS (SELECT m1, m2, cost FROM c ORDER BY round(cost, 9), m1, m2 LIMIT 1)"""
+
+
+@query("un_gower_medoids", f"""WITH {GOWER2_SQL} SELECT a.i AS s_suppkey, CASE WHEN a.g <= b.g THEN m1 ELSE m2 END AS medoid, round(least(a.g, b.g), 6) AS gower, round(cost, 5) AS cost
+FROM best JOIN k a ON a.m = m1 JOIN k b ON b.m = m2 AND b.i = a.i""")
+def un_gower_medoids(t):
+    """Two clusters of suppliers around medoids under the mixed distance, and the total distance of all rows."""
+    args = (t.supplier, "s_suppkey", ["s_acctbal"], ["s_nationkey"])
+    model = k_medoids(*args, 2, candidates=1024)
+    return assigned(*args, model).select("s_suppkey", "medoid", r(col("dist")).alias("gower"), F.lit(round(model.cost, 5)).alias("cost"))
+
+
 EC_SQL = f"""WITH RECURSIVE {MULTI_SQL}, m AS (SELECT vec_id, label AS a, cls AS b, {SIGNS} AS c FROM multi), tp AS (SELECT DISTINCT a, b, c, a * 100 + b * 10 + c AS id FROM m),
 ed AS (SELECT x.id AS i, y.id AS j FROM tp x JOIN tp y ON (x.a = y.a)::int + (x.b = y.b)::int + (x.c = y.c)::int >= 2),
 rc AS (SELECT id AS root, id AS node FROM tp UNION SELECT rc.root, ed.j FROM rc JOIN ed ON rc.node = ed.i), lb AS (SELECT node, min(root) AS root FROM rc GROUP BY 1)
