@@ -12,7 +12,6 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larkframe.functions import tails
 from larkframe.learning import metrics as mt
 
 
@@ -81,62 +80,6 @@ def table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     return spark.createDataFrame([[r[n] for n in names] for r in rows], schema)
 
 
-def race(scores: Callable[[str, int], float], configs: list[str], folds: list[int], burn_in: int = 3, alpha: float = 0.05) -> tuple[list[dict], int]:
-    """After the burn-in folds, candidates significantly worse than the best (paired one-sided t) are not fitted further."""
-    got = {c: [] for c in configs}
-    alive, fits = list(configs), 0
-    for i, f in enumerate(folds, 1):
-        for c in alive:
-            got[c].append(scores(c, f))
-            fits += 1
-        if i >= burn_in and len(alive) > 1:
-            best = min(alive, key=lambda c: np.mean(got[c]))
-            keep = []
-            for c in alive:
-                d = np.array(got[c]) - np.array(got[best])
-                sd = d.std(ddof=1)
-                t = d.mean() / (sd / math.sqrt(len(d))) if sd > 0 else (math.inf if d.mean() > 0 else 0.0)
-                p = 1.0 if t <= 0 else (0.0 if math.isinf(t) else tails.t_two_sided(t, len(d) - 1) / 2)
-                if c == best or p > alpha:
-                    keep.append(c)
-            alive = keep
-    rows = [{"config": c, "mean": float(np.mean(v)), "n": len(v), "finished": int(c in alive)} for c, v in got.items()]
-    return rows, fits
-
-
-def bayes(score: Callable[[np.ndarray], float], dims: int, initial: int, iters: int, no_improve: int, seed: int) -> list[dict]:
-    """Search in the unit cube: a Gaussian process on the scores so far proposes the point of largest expected improvement."""
-    rng = np.random.default_rng(seed)
-    xs = [(rng.permutation(initial) + rng.random(initial)) / initial for _ in range(dims)]
-    pts = [np.array(p) for p in zip(*xs)]
-    ys = [score(p) for p in pts]
-    rows = [{"iter": 0, "u": p, "mean": y} for p, y in zip(pts, ys)]
-    stale = 0
-    for it in range(1, iters + 1):
-        y = np.array(ys)
-        scale = y.std() or 1.0
-        z = (y - y.mean()) / scale
-        kern = lambda a, b: np.exp(-((a[:, None, :] - b[None, :, :]) ** 2).sum(2) / (2 * 0.3**2))
-        x = np.array(pts)
-        cand = rng.random((500, dims))
-        k = kern(x, x) + 1e-6 * np.eye(len(x))
-        kc = kern(cand, x)
-        mu = kc @ np.linalg.solve(k, z)
-        sd = np.sqrt(np.maximum(1e-12, 1 - np.einsum("ij,ji->i", kc, np.linalg.solve(k, kc.T))))
-        g = (z.min() - mu) / sd
-        cdf = 0.5 * (1 + np.vectorize(math.erf)(g / math.sqrt(2)))
-        ei = (z.min() - mu) * cdf + sd * np.exp(-0.5 * g * g) / math.sqrt(2 * math.pi)
-        p = cand[int(ei.argmax())]
-        s = score(p)
-        stale = 0 if s < min(ys) else stale + 1
-        pts.append(p)
-        ys.append(s)
-        rows.append({"iter": it, "u": p, "mean": s})
-        if stale >= no_improve:
-            break
-    return rows
-
-
 def anneal(score: Callable[[np.ndarray], float], dims: int, iters: int, seed: int, cooling: float = 0.02) -> list[dict]:
     """Random walk in the unit cube; worse points are accepted less and less often."""
     rng = np.random.default_rng(seed)

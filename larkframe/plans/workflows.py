@@ -11,6 +11,7 @@ from larkframe.learning import linear as ln
 from larkframe.learning import metrics as mt
 from larkframe.learning import models as md
 from larkframe.learning import resample as rs
+from larkframe.learning import search as se
 from larkframe.learning import tuning as tn
 from larkframe.operators.moments import Moments, collect_moments, fit_ols, solve
 from larkframe.plans.base import *
@@ -239,21 +240,44 @@ def tune_select(t):
 
 @query("tune_bayes")
 def tune_bayes(t):
-    total, per = ln.fold_moments(folds(t), "fold", XS + ["y"])
-    score = lambda u: float(np.mean(list(ln.cv_rmse(total, per, "y", XS, 10 ** (4 * u[0] - 2), u[1]).values())))
-    rows = tn.bayes(score, 2, initial=5, iters=10, no_improve=6, seed=3)
-    return t.spark.createDataFrame([(x["iter"], round(10 ** (4 * float(x["u"][0]) - 2), 5), round(float(x["u"][1]), 5), round(x["mean"], 5)) for x in rows], f"iter int, {PM}, mean double")
+    """Forest settings by expected improvement: 5 random points, up to 10 more, two at a time; every point and fold is a Spark fit."""
+    d = folds(t, 3)
+    points = [{"mtry": m, "min_n": n} for m in range(1, len(XS) + 1) for n in range(5, 31)]
+
+    def fit(i, train):
+        model = md.forest_reg(train, "y", XS, trees=20, mtry=str(points[i]["mtry"]), min_n=points[i]["min_n"])
+        return lambda df: md.predict(model, df)
+
+    rows = se.bayes(se.fold_fits(d, "fold", "y", fit, threads=6), points, [1, 2, 3], initial=5, iters=10, no_improve=5, uncertain=5, seed=456)
+    return tn.table(t.spark, [{**x, "mean": round(x["mean"], 4)} for x in rows], "iter int, how string, mtry int, min_n int, mean double")
+
+
+RACE = "n int, finished int"
 
 
 @query("tune_race")
 def tune_race(t):
-    """Candidates that fall behind after the burn-in folds are dropped; the others run on."""
-    grid = tn.grid_regular(penalty=tn.log_levels(0.01, 300, 8), mixture=[0.0, 1.0])
+    """50 penalties and mixtures race over 5 folds; those behind after 3 folds are fitted no further. Fits solve the moments of their fold."""
+    grid = tn.grid_latin(50, 8, penalty=(1e-4, 1.0, "log"), mixture=(0.0, 1.0))
     by = {c["config"]: c for c in grid}
-    total, per = ln.fold_moments(folds(t, 10), "fold", XS + ["y"])
-    score = lambda c, f: ln.cv_rmse(total, {f: per[f]}, "y", XS, by[c]["penalty"], by[c]["mixture"])[f]
-    rows, _ = tn.race(score, list(by), list(range(1, 11)))
-    return tn.table(t.spark, [{**x, "mean": round(x["mean"], 5), **{k: by[x["config"]][k] for k in ("penalty", "mixture")}} for x in rows], f"config string, {PM}, mean double, n int, finished int")
+    total, per = ln.fold_moments(folds(t), "fold", XS + ["y"])
+    run = lambda tasks: [ln.cv_rmse(total, {f: per[f]}, "y", XS, by[c]["penalty"], by[c]["mixture"])[f] for c, f in tasks]
+    rows, fits = se.race(run, list(by), sorted(per))
+    return tn.table(t.spark, [{**by[x["config"]], **x, "mean": round(x["mean"], 5), "fits": fits} for x in rows], f"config string, {PM}, mean double, {RACE}, fits int")
+
+
+@query("tune_race_trees")
+def tune_race_trees(t):
+    """Tree settings race over 5 folds, each a Spark fit: those behind after 3 folds are not fitted on the others."""
+    grid = tn.grid_regular(depth=[1, 2, 4, 6], min_n=[5, 30])
+    by = {c["config"]: c for c in grid}
+
+    def fit(name, train):
+        model = md.tree_reg(train, "y", XS, by[name]["depth"], by[name]["min_n"])
+        return lambda df: md.predict(model, df)
+
+    rows, fits = se.race(se.fold_fits(folds(t), "fold", "y", fit, threads=6), list(by), [1, 2, 3, 4, 5])
+    return tn.table(t.spark, [{**by[x["config"]], **x, "mean": round(x["mean"], 4), "fits": fits} for x in rows], f"config string, depth int, min_n int, mean double, {RACE}, fits int")
 
 
 @query("tune_anneal")
