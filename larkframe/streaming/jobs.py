@@ -22,14 +22,28 @@ def landed(df: DataFrame, name: str, *partition: str) -> str:
     return path
 
 
+def landed_in_order(df: DataFrame, time: str, unit: str, name: str) -> str:
+    """Rows as files that arrive one ``unit`` of time (day, week, ...) after the other; inside a unit they are in any order.
+
+    So no row is later than one unit, which is the bound a watermark needs. Rows without a time come first.
+    """
+    path = new_folder(df.sparkSession, name)
+    slices = df.withColumn("_unit", F.date_trunc(unit, time))
+    for (begin,) in slices.select("_unit").distinct().orderBy(F.col("_unit").asc_nulls_first()).collect():  # one row per unit
+        slices.where(F.col("_unit").eqNullSafe(F.lit(begin))).drop("_unit").write.mode("append").parquet(path)
+    if not slices.take(1):
+        df.write.mode("append").parquet(path)
+    return path
+
+
 def stream(spark: SparkSession, path: str, schema, files: int = 4) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def run(df: DataFrame, mode: str, name: str) -> DataFrame:
+def run(df: DataFrame, mode: str, name: str, state: str | None = None) -> DataFrame:
     """Run the stream over all present files; the result is every emitted row with its batch number."""
     spark = df.sparkSession
-    out, state = new_folder(spark, name), new_folder(spark, f"{name}-state")
+    out, state = new_folder(spark, name), state or new_folder(spark, f"{name}-state")
 
     written = []
 
