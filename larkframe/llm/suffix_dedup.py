@@ -33,7 +33,7 @@ LEAST = 50  # words of the shortest repeat
 GRAM = 8
 SPREAD = 36  # neighbouring grams of which the smallest is kept
 CORE = LEAST - SPREAD + 1  # words after a kept place that every window with it holds
-SLICE_CHARS = 1 << 21
+SLICE_CHARS = 1 << 19
 
 
 def _sliding(x: np.ndarray, size: int, least) -> np.ndarray:
@@ -207,15 +207,17 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 def keep_new_passages(docs: DataFrame) -> DataFrame:
     """The documents without their repeats; those without a word left go. n_chars, where present, is renewed."""
-    spans = repeats(docs).groupBy("doc_id", "k").agg(F.collect_list(F.struct("start", "n_words")).alias("spans"))
+    spans = written(repeats(docs).groupBy("doc_id", "k").agg(F.collect_list(F.struct("start", "n_words")).alias("spans")), "passages")
     base = keyed(docs, whole=True).alias("d").join(spans.alias("s"), same_doc("d", "s"), "left").select("d.row", "d.text", "s.spans")
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans_: pd.Series) -> pd.Series:
-        return pd.Series([without(t, [(s["start"], s["n_words"]) for s in sp]) for t, sp in zip(text, spans_)], dtype=object)
+        """Only texts with spans are sent; the others are null here and stay as they are."""
+        return pd.Series([None if t is None else without(t, [(s["start"], s["n_words"]) for s in sp]) for t, sp in zip(text, spans_)], dtype=object)
 
-    hit = base.where("spans is not null").withColumn("text", cut("text", "spans")).where(F.trim(F.translate("text", "\t\n\r\f\u000b", "     ")) != "")
-    left = base.where("spans is null").unionByName(hit)
+    whole = F.col("spans").isNull()
+    left = base.withColumn("text", F.when(whole, F.col("text")).otherwise(cut(F.when(~whole, F.col("text")), "spans")))
+    left = left.where(whole | (F.trim(F.translate("text", "\t\n\r\f\u000b", "     ")) != ""))
     columns = []
     for c in docs.columns:
         old = F.col("row").getField(c)
