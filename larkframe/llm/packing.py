@@ -13,6 +13,8 @@ are not looked at. Sequence numbers hold the task's number and are unique, not d
 
 from __future__ import annotations
 
+from contextlib import closing
+
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
@@ -73,17 +75,17 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, size: int = LENGTH, most_o
     description = description_of(path)
 
     def run(batches):
-        encoder = ByteLevelEncoder(description)
         bins = Bins(size, most_open, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = encoder.encode(text if isinstance(text, str) else "") + end
-                for piece, (start, length) in enumerate(pieces_of(len(ids) // 4, size)):
-                    rows.append((doc_id, piece, start, length, ids[4 * start : 4 * (start + length)], *bins.put(length)))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"])
-            yield out.astype({"doc_id": "Int64"})
+        with closing(ByteLevelEncoder(description)) as encoder:
+            for batch in batches:
+                rows = []
+                for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                    ids = encoder.encode(text if isinstance(text, str) else "") + end
+                    for piece, (start, length) in enumerate(pieces_of(len(ids) // 4, size)):
+                        rows.append((doc_id, piece, start, length, ids[4 * start : 4 * (start + length)], *bins.put(length)))
+                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"])
+                yield out.astype({"doc_id": "Int64"})
 
     return docs.select("doc_id", "text").mapInPandas(run, PIECES)
 

@@ -71,6 +71,13 @@ class ByteLevelEncoder:
         self.after_blank = Parts(self._after_blank)
         self.exact = Parts(self._exact)
 
+    def close(self) -> None:
+        """Give the caches and the tables back at once: the caches refer to the encoder, so it would wait for the cycle collector."""
+        for parts in (self.words, self.after_blank, self.exact):
+            parts.clear()
+            parts.encode = None
+        self.word = None
+
     def _by_model(self, word: str) -> list[int]:
         return [t.id for t in self.model.tokenize(word)]
 
