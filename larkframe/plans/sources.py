@@ -3,14 +3,16 @@
 import pandas as pd
 
 from larkframe.operators.hashing import uniform
-from larkframe.operators.ordering import positions
 from larkframe.plans.base import *
 from larkframe.plans.verbs import poisson_copies
 from larkframe.session import new_folder
 from larkframe.sources import readers as rd
+from larkframe.sources import records as rec
 from larkframe.sources import writers as wr
 from larkframe.tables import line_key, u_sql
 
+LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+LINE_SCHEMA = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double"
 ORD = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
 ORD_SQL = ", ".join(ORD)
 
@@ -69,8 +71,10 @@ def src_csv_select(t):
 
 @query("src_csv_preview", "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice LIMIT 5")
 def src_csv_preview(t):
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    return t.lineitem.orderBy(*keys).limit(5).select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    """The head of a delimited file, read from its front."""
+    path = wr.write_delim(t.lineitem.select(*LINE).orderBy(*LINE), new_folder(t.spark, "sorted"))
+    d = rec.preview(t.spark, path, LINE_SCHEMA, 5)
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
 @query("src_csv_blank_rows", "SELECT o_orderkey, o_orderstatus, nullif(o_totalprice, 0) AS price FROM orders")
@@ -124,9 +128,10 @@ PROPS = "struct<k:bigint>"
 
 @query("src_json", "SELECT event_id, user_id, (props->>'k')::bigint AS k FROM events")
 def src_json(t):
-    d = t.events.select("event_id", F.struct("user_id", F.from_json("props", PROPS).alias("props")).alias("who"))
-    path = wr.write_json(d, new_folder(t.spark, "json"))
-    back = t.spark.read.schema("event_id long, who struct<user_id:bigint,props:struct<k:bigint>>").json(path)
+    """Files that hold one JSON array each, with nested objects; read in splits."""
+    who = F.struct("user_id", F.from_json("props", PROPS).alias("props")).alias("who")
+    path = wr.write_json_arrays(t.events.select("event_id", who), new_folder(t.spark, "arrays"))
+    back = rec.read_json_records(t.spark, path, "event_id long, who struct<user_id:bigint,props:struct<k:bigint>>")
     return back.select("event_id", "who.user_id", col("who.props.k").alias("k"))
 
 
@@ -165,15 +170,17 @@ def src_by_extension(t):
     return out
 
 
-LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-
-
 @query("src_chunked", f"""WITH n AS (SELECT l_quantity, row_number() OVER (ORDER BY {', '.join(LINE)}) AS pos FROM lineitem)
 SELECT min(pos) AS first_row, count(*) AS n, round(avg(l_quantity), 6) AS mean FROM n GROUP BY (pos - 1) // 10000""")
 def src_chunked(t):
-    d = positions(t.lineitem.select(*LINE, "l_quantity"), [], LINE)
-    return d.groupBy(F.floor((col("pos") - 1) / 10000).alias("chunk")).agg(
-        F.min("pos").alias("first_row"), F.count(F.lit(1)).alias("n"), r(F.avg("l_quantity")).alias("mean")).drop("chunk")
+    """Chunks of 10,000 rows of a delimited file, each given to a function with the number of its first row."""
+    path = wr.write_delim(t.lineitem.select(*LINE, "l_quantity").orderBy(*LINE), new_folder(t.spark, "sorted"))
+
+    def summary(rows: pd.DataFrame, pos: int) -> pd.DataFrame:
+        return pd.DataFrame({"first_row": [pos], "n": [len(rows)], "mean": [rows["l_quantity"].mean()]})
+
+    d = rec.read_chunked(t.spark, path, f"{LINE_SCHEMA}, l_quantity double", summary, "first_row long, n long, mean double", 10_000)
+    return d.select("first_row", "n", r(col("mean")).alias("mean"))
 
 
 @query("src_sql", "SELECT c_name, o_totalprice FROM customer JOIN orders ON c_custkey = o_custkey")
@@ -206,9 +213,6 @@ def src_inline(t):
     return t.orders.join(F.broadcast(words), "o_orderstatus", "left").select("o_orderkey", "word")  # two literal rows
 
 
-POIS = [0.1353352832366127, 0.40600584970983794, 0.6766764161830634, 0.857123460498547, 0.947346982656289, 0.9834363915193856, 0.9954661944737513, 0.998903281032141]
-
-
 @query("src_generate", f"""WITH u AS (SELECT o_orderkey AS id, {u_sql('o_orderkey', 'g1')} AS a, {u_sql('o_orderkey', 'g2')} AS b FROM orders)
 SELECT id, round(a, 6) AS unif, round(10 + 2 * sqrt(-2 * ln(1 - a)) * cos(2 * pi() * b), 6) AS norm, round(-ln(1 - a) / 0.5, 6) AS expo,
 round(exp(sqrt(-2 * ln(1 - a)) * cos(2 * pi() * b)), 5) AS lnorm, CASE WHEN b < 0.5 THEN 'x' WHEN b < 0.8 THEN 'y' ELSE 'z' END AS choice FROM u""")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,3 +18,21 @@ def write_delim(df: DataFrame, path: str, sep: str = ",", decimal: str = ".", en
 def write_json(df: DataFrame, path: str) -> str:
     df.write.json(path)
     return path
+
+
+def write_json_arrays(df: DataFrame, path: str) -> str:
+    """One JSON array of objects per file."""
+
+    def framed(batches):
+        first = True
+        for batch in batches:
+            if len(batch):
+                objects = ",\n" + batch["value"]
+                if first:
+                    objects.iloc[0] = "[\n" + batch["value"].iloc[0]
+                first = False
+                yield pd.DataFrame({"value": objects})
+        yield pd.DataFrame({"value": ["[]" if first else "]"]})
+
+    df.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(framed, "value string").write.option("lineSep", "\n").text(path)
+    return path
