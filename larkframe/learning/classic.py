@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkframe.operators.moments import moment_table, row_moments
+from larkframe.operators.moments import independent, inverse_on, moment_table, row_moments
 from larkframe.operators.neighbors import knn
 
 
@@ -22,12 +22,15 @@ def argmax(scores: dict) -> Column:
 
 
 def discriminant(train: DataFrame, y: str, xs: list[str]):
-    """Linear discriminant: class means and the pooled covariance from one moment row per class."""
+    """Linear discriminant: class means and the pooled covariance from one moment row per class.
+
+    Columns that are constant within classes, or given by those before them, take no part.
+    """
     k = len(xs)
     per = {r[y]: row_moments(r, xs) for r in moment_table(train, xs, [y]).collect()}  # one row per class
     n = sum(m.n for m in per.values())
     pooled = sum(m.n * m.cov for m in per.values()) / (n - len(per))
-    inv = np.linalg.inv(pooled)
+    inv = inverse_on(pooled, independent(pooled, sum(m.n * m.mean for m in per.values()) / n))
 
     def apply(df: DataFrame) -> DataFrame:
         out = df

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkframe.operators.grouping import match_join, one_row
-from larkframe.operators.hashing import digest
 from larkframe.operators.neighbors import knn
+from larkframe.session import materialized
 
 SEED = 7
 
@@ -112,8 +112,6 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def lof(df: DataFrame, key: str, vec: str, k: int) -> DataFrame:
     """Local outlier factor from exact neighbours: reach distance, local density, ratio of densities."""
-    from larkframe.session import materialized
-
     pts = df.select(key, vec)
     near = materialized(knn(pts, pts, k, key=key, vec=vec))
     kd = near.groupBy("qid").agg(F.max("dist").alias("kd"))
@@ -147,26 +145,42 @@ def _depth(tree: list, x: np.ndarray, idx: np.ndarray, depth: int, out: np.ndarr
     _depth(tree[3], x, idx[~low], depth + 1, out)
 
 
-def isolation_forest(df: DataFrame, key: str, xs: list[str], trees: int = 50, sample: int = 256) -> DataFrame:
-    """Isolation score per row. Each tree grows from its own sample of fixed size, the trees in parallel tasks;
+def tree_samples(df: DataFrame, key: str, xs: list[str], n: int, trees: int, sample: int) -> DataFrame:
+    """(tree, key, xs, _h): for every tree its own sample of the whole table, the ``sample`` smallest 64-bit hashes of (key, tree).
+
+    One pass over the rows keeps, per tree, the hashes under a bar that some 1.6 x sample + 50 rows pass whatever n is;
+    only those are shuffled. That a tree gets less than its sample is ten deviations away, and the bar is doubled then.
+    """
+    want = min(sample, n)
+    share = min(1.0, (sample + 10 * math.sqrt(sample) + 50) / max(n, 1))
+    rows = df.select(key, *[F.col(x).cast("double").alias(x) for x in xs]).withColumn("tree", F.explode(F.sequence(F.lit(1), F.lit(trees))))
+    rows = rows.withColumn("_h", F.xxhash64(key, "tree"))
+    w = Window.partitionBy("tree").orderBy("_h", key)
+    while True:
+        under = rows.where(F.col("_h") < int(-(2**63) + share * 2**64)) if share < 1 else rows
+        drawn = materialized(under.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= want).drop("_r"))
+        if share >= 1 or drawn.groupBy("tree").count().where(F.col("count") == want).count() == trees:
+            return drawn
+        share *= 2
+
+
+def isolation_forest(df: DataFrame, key: str, xs: list[str], trees: int = 100, sample: int = 256) -> DataFrame:
+    """Isolation score per row. Each tree grows from its own sample of the whole table, the trees in parallel tasks;
     the grown trees (bounded by trees x sample nodes) go back to the scoring tasks."""
     import json
 
-    # one pass keeps a pool of trees x sample rows (a fixed number); each tree then takes its own sample of the pool
-    pool = df.select(key, *[F.col(x).cast("double").alias(x) for x in xs]).orderBy(digest([key], "iforest"), key).limit(trees * sample)
-    many = pool.withColumn("tree", F.explode(F.sequence(F.lit(1), F.lit(trees))))
-    w = Window.partitionBy("tree").orderBy(digest([key, "tree"], "iforest"), key)
-    drawn = many.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample)
+    n = df.count()
+    drawn = tree_samples(df, key, xs, n, trees, sample)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("_r")[xs].to_numpy(float)
+        x = pdf.sort_values(["_h", key])[xs].to_numpy(float)
         t = int(pdf["tree"].iloc[0])
         grown = _grow(x, np.random.default_rng(t), 0, math.ceil(math.log2(max(2, len(x)))))
         return pd.DataFrame({"tree": [t], "body": [json.dumps(grown)]})
 
     bodies = drawn.groupBy("tree").applyInPandas(grow, "tree int, body string").orderBy("tree").collect()  # one row per tree
     forest = [json.loads(b["body"]) for b in bodies]
-    size = _path(min(sample, df.count()))
+    size = _path(min(sample, n))
 
     @F.pandas_udf("double")
     def score(*cols: pd.Series) -> pd.Series:

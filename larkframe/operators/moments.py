@@ -61,9 +61,14 @@ class Fit:
     centre: np.ndarray
     tss: float
 
+    @property
+    def rank(self) -> int:
+        """Number of predictors with a coefficient; aliased ones have NaN."""
+        return int((~np.isnan(self.coef)).sum())
+
     @property
     def sigma2(self) -> float:
-        return self.rss / (self.n - len(self.coef) - 1)
+        return self.rss / (self.n - self.rank - 1)
 
     @property
     def r2(self) -> float:
@@ -73,30 +78,87 @@ class Fit:
         """The fitted line as a column expression."""
         out = F.lit(float(self.intercept))
         for name, b in zip(self.names, self.coef):
-            out = out + F.lit(float(b)) * F.col(name)
+            if not np.isnan(b):
+                out = out + F.lit(float(b)) * F.col(name)
         return out
 
     def leverage(self):
         """x'(X'X)^-1 x of a row, as a column expression."""
         out = F.lit(1.0 / self.n)
         d = [F.col(c) - F.lit(float(m)) for c, m in zip(self.names, self.centre)]
-        for i in range(len(d)):
-            for j in range(len(d)):
+        own = np.flatnonzero(~np.isnan(self.coef))
+        for i in own:
+            for j in own:
                 out = out + F.lit(float(self.inv[i, j])) * d[i] * d[j]
         return out
 
 
+#: Share of a column's variance that the columns before it must leave, for it to count as one of its own. Moments in double
+#: precision cannot tell less from rounding.
+ALIAS = 1e-10
+
+
+def independent(cov: np.ndarray, mean: np.ndarray | None = None, tol: float = ALIAS) -> list[int]:
+    """Columns that are no linear combination of those before them, by a Cholesky factor that passes over the others.
+
+    A column whose variance is rounding of its mean is constant. Order decides which of several dependent columns stay: the first.
+    """
+    var = np.diag(cov)
+    noise = 1e-24 * np.square(mean) if mean is not None else np.zeros(len(var))
+    some = var > noise
+    sd = np.sqrt(np.where(some, var, 1.0))
+    corr = cov / np.outer(sd, sd)
+    kept: list[int] = []
+    low = np.zeros((len(var), len(var)))
+    for j in np.flatnonzero(some):
+        row = np.zeros(len(var))
+        for k, i in enumerate(kept):
+            row[k] = (corr[j, i] - row[:k] @ low[k, :k]) / low[k, k]
+        left = corr[j, j] - row @ row
+        if left > tol:
+            row[len(kept)] = np.sqrt(left)
+            low[len(kept)] = row
+            kept.append(int(j))
+    return kept
+
+
+def inverse_on(cov: np.ndarray, kept: list[int]) -> np.ndarray:
+    """Inverse over the kept columns, zero elsewhere: a generalised inverse of the whole."""
+    out = np.zeros_like(cov, dtype=float)
+    at = np.ix_(kept, kept)
+    sd = np.sqrt(np.diag(cov)[kept])
+    out[at] = np.linalg.inv(cov[at] / np.outer(sd, sd)) / np.outer(sd, sd)
+    return out
+
+
 def solve(m: Moments, y: str, xs: list[str], ridge: float = 0.0) -> Fit:
-    """Least squares of y on xs; ``ridge`` adds n * ridge to the diagonal of the centred cross products."""
+    """Least squares of y on xs; ``ridge`` adds n * ridge to the diagonal of the centred cross products.
+
+    Without a ridge, constant columns and combinations of earlier columns are aliased: their coefficient is NaN.
+    """
     ix = [m.cols.index(x) for x in xs]
     iy = m.cols.index(y)
     sxx = m.n * m.cov[np.ix_(ix, ix)]
     sxy = m.n * m.cov[ix, iy]
-    inv = np.linalg.inv(sxx + ridge * m.n * np.eye(len(ix)))
+    kept = independent(sxx, np.sqrt(m.n) * m.mean[ix]) if ridge == 0 else list(range(len(ix)))
+    inv = inverse_on(sxx + ridge * m.n * np.eye(len(ix)), kept)
     coef = inv @ sxy
     tss = m.n * m.cov[iy, iy]
     rss = float(tss - 2 * coef @ sxy + coef @ sxx @ coef)
-    return Fit(float(m.mean[iy] - coef @ m.mean[ix]), coef, rss, m.n, xs, inv, m.mean[ix], float(tss))
+    intercept = float(m.mean[iy] - coef @ m.mean[ix])
+    coef[[i for i in range(len(ix)) if i not in kept]] = np.nan
+    return Fit(intercept, coef, rss, m.n, xs, inv, m.mean[ix], float(tss))
+
+
+def inflation(m: Moments) -> list[float | None]:
+    """1 / (1 - R2) of every column on the others; null for a constant column or one that the others give exactly."""
+    out: list[float | None] = []
+    for j in range(len(m.cols)):
+        rest = [i for i in range(len(m.cols)) if i != j]
+        cov = m.cov[np.ix_(rest + [j], rest + [j])]
+        kept = independent(cov, m.mean[rest + [j]])
+        out.append(float(inverse_on(cov, kept)[-1, -1] * m.cov[j, j]) if len(rest) in kept else None)
+    return out
 
 
 def fit_ols(df: DataFrame, y: str, xs: list[str]) -> Fit:

@@ -33,9 +33,24 @@ def coefs(t, model, xs=XS) -> DataFrame:
     return t.spark.createDataFrame(rows, "term string, estimate double")
 
 
+def estimates(t, fit) -> DataFrame:
+    rows = [("(Intercept)", round(fit.intercept, 4))] + [(x, None if np.isnan(b) else round(float(b), 5)) for x, b in zip(fit.names, fit.coef)]
+    return t.spark.createDataFrame(rows, "term string, estimate double")
+
+
 @query("ml_lm", f"WITH {REG_SQL}, {ols_sql('reg', 'y', XS)} {COEF_SQL}")
 def ml_lm(t):
-    return coefs(t, md.linear(t.reg, "y", XS, solver="normal"))
+    return estimates(t, fit_ols(t.reg, "y", XS))
+
+
+ALIASED = ["x1", "x2", "twice", "one", "x3", "all"]
+
+
+@query("ml_lm_aliased", f"WITH {REG_SQL}, {ols_sql('reg', 'y', XS)} {COEF_SQL} UNION ALL SELECT unnest(['twice', 'one', 'all']), NULL::double")
+def ml_lm_aliased(t):
+    """Predictors that earlier ones give exactly, and a constant, have no estimate; the others are as without them."""
+    d = t.reg.withColumns({"twice": 2 * col("x1"), "one": F.lit(7.0), "all": 3 + col("x1") - 0.5 * col("x2") + 4 * col("x3")})
+    return estimates(t, fit_ols(d, "y", ALIASED))
 
 
 @query("ml_ridge", f"WITH {REG_SQL}, {ols_sql('reg', 'y', XS, ridge=ridge_sql('5.0::double'))} {COEF_SQL}")

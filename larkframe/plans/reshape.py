@@ -220,7 +220,7 @@ def group_fits(df: DataFrame, by: str, y: str, xs: list[str]) -> DataFrame:
                     continue
                 f = solve(m, y, xs)
                 out.append((row[by], "(Intercept)", f.intercept))
-                out += [(row[by], x, float(b)) for x, b in zip(xs, f.coef)]
+                out += [(row[by], x, None if np.isnan(b) else float(b)) for x, b in zip(xs, f.coef)]
             yield pd.DataFrame(out, columns=[by, "term", "estimate"])
 
     kind = dict(df.dtypes)[by]

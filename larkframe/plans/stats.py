@@ -7,7 +7,7 @@ import numpy as np
 from larkframe.functions import tails
 from larkframe.operators import hypothesis as hy
 from larkframe.operators.hashing import digest
-from larkframe.operators.moments import collect_moments, correlations, fit_ols, solve
+from larkframe.operators.moments import collect_moments, fit_ols, inflation, solve
 from larkframe.operators.ordering import positions
 from larkframe.operators.quantiles import quantiles
 from larkframe.plans.aggregates import guarded_corr
@@ -151,16 +151,16 @@ X4 = "x4 AS (SELECT *, x1 + 2 * x2 AS mix FROM reg)"
     ols_sql("d", x, [o for o in ("x1", "x2", "x3", "mix") if o != x], name=f"o_{x}") for x in ("x1", "x2", "x3", "mix")) + " " + " UNION ALL ".join(
     f"SELECT '{x}' AS term, round(tss / rss, 6) AS vif FROM o_{x}" for x in ("x1", "x2", "x3", "mix")))
 def stat_vif(t):
-    """Diagonal of the inverse correlation matrix; the matrix is one k x k row set from one pass."""
+    """Diagonal of the inverse correlation matrix; the matrix is one k x k row set from one pass. Exact dependencies give null."""
     xs = ["x1", "x2", "x3", "mix"]
     d = t.reg.withColumn("mix", col("x1") + col("x2") + col("x3") * col("x3"))
-    vif = np.diag(np.linalg.inv(correlations(collect_moments(d, xs)[None])))
-    return t.spark.createDataFrame([(x, round(float(v), 6)) for x, v in zip(xs, vif)], "term string, vif double")
+    vif = inflation(collect_moments(d, xs)[None])
+    return t.spark.createDataFrame([(x, None if v is None else round(v, 6)) for x, v in zip(xs, vif)], "term string, vif double")
 
 
 def glance(f) -> tuple:
     """r2, adjusted r2, AIC, BIC, sigma of a fit (Gaussian likelihood; the error variance counts as a parameter)."""
-    k = len(f.coef)
+    k = f.rank
     ll = -f.n / 2 * (math.log(2 * math.pi) + math.log(f.rss / f.n) + 1)
     adj = 1 - (1 - f.r2) * (f.n - 1) / (f.n - k - 1)
     return f.r2, adj, -2 * ll + 2 * (k + 2), -2 * ll + math.log(f.n) * (k + 2), math.sqrt(f.sigma2)
