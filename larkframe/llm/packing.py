@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkframe.llm.registry import query, table
-from larkframe.llm.tokens import ByteLevelEncoder, description_of
+from larkframe.llm.tokens import CACHE, ByteLevelEncoder, description_of
 
 LENGTH = 2048
 OPEN = 1024
@@ -70,14 +70,14 @@ def pieces_of(n: int, size: int = LENGTH) -> list[tuple[int, int]]:
     return [(0, first), *((s, size) for s in range(first, n, size))]
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 0, size: int = LENGTH, most_open: int = OPEN) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 0, size: int = LENGTH, most_open: int = OPEN, cache: int = CACHE) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), sequence_id, offset."""
     description = description_of(path)
 
     def run(batches):
         bins = Bins(size, most_open, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], dtype="<u4").tobytes()
-        with closing(ByteLevelEncoder(description)) as encoder:
+        with closing(ByteLevelEncoder(description, cache=cache)) as encoder:
             for batch in batches:
                 rows = []
                 for doc_id, text in zip(batch["doc_id"], batch["text"]):

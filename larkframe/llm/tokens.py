@@ -44,32 +44,34 @@ def pack_ids(ids: list[int]) -> bytes:
 class Parts(dict):
     """Part of a text to the bytes of its ids, filled by ``encode`` (which gives bytes) and emptied when full."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int = CACHE):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
 
     def __missing__(self, part: str) -> bytes:
         ids = self.encode(part)
         if len(part) <= KEPT_LENGTH:
-            if len(self) >= CACHE:
+            if len(self) >= self.most:
                 self.clear()
             self[part] = ids
         return ids
 
 
 class ByteLevelEncoder:
-    """Ids of whole texts under a byte-level BPE tokenizer without normaliser; ``word`` may replace the model's merging."""
+    """Ids of whole texts under a byte-level BPE tokenizer without normaliser; ``word`` may replace the model's merging.
 
-    def __init__(self, description: str, word=None):
+    ``cache`` bounds each of three caches; an entry takes some 200 bytes."""
+
+    def __init__(self, description: str, word=None, cache: int = CACHE):
         self.library = Tokenizer.from_str(description)
         self.library.no_truncation()
         self.library.no_padding()
         self.model, self.split = self.library.model, self.library.pre_tokenizer
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.word = word or self._by_model
-        self.words = Parts(lambda w: pack_ids(self.word(w)))
-        self.after_blank = Parts(self._after_blank)
-        self.exact = Parts(self._exact)
+        self.words = Parts(lambda w: pack_ids(self.word(w)), cache)
+        self.after_blank = Parts(self._after_blank, cache)
+        self.exact = Parts(self._exact, cache)
 
     def close(self) -> None:
         """Give the caches and the tables back at once: the caches refer to the encoder, so it would wait for the cycle collector."""
