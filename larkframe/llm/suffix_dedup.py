@@ -159,17 +159,17 @@ def repeats(docs: DataFrame) -> DataFrame:
     Every window of LEAST words that occurred earlier lies in one of them.
     """
     base = keyed(docs)
-    kept = written(suffixes(base), "suffixes")
+    kept = written(suffixes(base), "suffixes", dense=True)
     spot = place("pos", "before", "after")
     classes = written(
-        kept.groupBy("core", "context").agg(F.min(spot).alias("head"), F.count(F.lit(1)).alias("n")), "suffix-classes")
+        kept.groupBy("core", "context").agg(F.min(spot).alias("head"), F.count(F.lit(1)).alias("n")), "suffix-classes", dense=True)
     inner = kept.join(classes.where("n > 1").select("core", "context", "head"), ["core", "context"]).where(spot > F.col("head")).select(
         "doc_id", "k", (F.col("pos") - F.col("before")).alias("start"), (F.col("pos") + F.col("after")).alias("end"),
         F.col("head.doc_id").alias("source_doc_id"), F.col("head.k").alias("source_k"), (F.col("head.pos") - F.col("before")).alias("source_start"))
-    heads = written(border_heads(classes), "suffix-heads")
-    near = written(windows(base, heads), "suffix-windows")
+    heads = written(border_heads(classes), "suffix-heads", dense=True)
+    near = written(windows(base, heads), "suffix-windows", dense=True)
     firsts = near.groupBy("h1", "h2").agg(F.min(place("start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    firsts = written(firsts.drop("n"), "suffix-firsts")
+    firsts = written(firsts.drop("n"), "suffix-firsts", dense=True)
     border = near.join(firsts, ["h1", "h2"]).where(place("start") > F.col("first")).select(
         "doc_id", "k", "start", (F.col("start") + LEAST).alias("end"),
         F.col("first.doc_id").alias("source_doc_id"), F.col("first.k").alias("source_k"), F.col("first.start").alias("source_start"))
