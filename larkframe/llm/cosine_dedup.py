@@ -11,7 +11,7 @@ no more links than join its parts, never all pairs.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label, link with nothing;
 rows that repeat a vec_id each get a row, and a component's number is the smallest vec_id in it; rows with a null vec_id
-count as vectors but give no number. Vectors of unequal length do not link. Other columns are not looked at.
+count as vectors but give no number. Vectors of any finite size other than zero link. Vectors of unequal length do not link. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -39,14 +39,19 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.withColumn("node", node)
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """The rows at length one; by their largest component first, so that no square leaves the range of doubles."""
+    x = v / np.abs(v).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def axes(nodes: DataFrame, dims: int) -> np.ndarray:
     """Principal axes (rows, largest first) of the scaled vectors, from their moments summed inside the tasks."""
 
     def moments(batches):
         total = np.zeros((dims, dims))
         for batch in batches:
-            x = np.stack(batch["v"].to_numpy())
-            x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+            x = scaled(np.stack(batch["v"].to_numpy()))
             total += x.T @ x
         yield pd.DataFrame({"i": np.repeat(np.arange(dims), dims), "j": np.tile(np.arange(dims), dims), "s": total.ravel()})
 
@@ -88,6 +93,7 @@ def compare(g: pd.DataFrame, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     once = i < j if right is left else np.ones(len(i), dtype=bool)
     i, j = i[once], j[once]
     v = np.stack(g["v"].to_numpy())
+    v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])  # by a power of two: no bit of the cosine changes
     norm = np.sqrt((v * v).sum(axis=1))
     cosine = np.concatenate([(v[i[k : k + 65536]] * v[j[k : k + 65536]]).sum(axis=1) for k in range(0, len(i), 65536)] or [np.zeros(0)])
     ok = cosine / (norm[i] * norm[j]) >= threshold
@@ -111,8 +117,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tile: int = TILE)
 
         def rotate(batches, turn=turn):
             for batch in batches:
-                x = np.stack(batch["v"].to_numpy())
-                x = (x / np.sqrt((x * x).sum(axis=1, keepdims=True))) @ turn.T
+                x = scaled(np.stack(batch["v"].to_numpy())) @ turn.T
                 yield batch.assign(w=list(x), first=x[:, 0])
 
         turned.append(some.select("node", "label", "dims", "n", "v").mapInPandas(
