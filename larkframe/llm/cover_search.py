@@ -4,14 +4,15 @@ Every row goes to the cell of its nearest pivot (pivots are chosen farthest firs
 indexed, and a cell's radius is over all its rows). Query groups first meet the cells that promise the highest products, which gives
 each query a kth score; then they meet every other cell whose bound still reaches the group's worst kth score. Inside a pair
 of query group and data block both sides get a cover tree: children are centres chosen farthest first, so centres of a node
-are at least as far apart as the radius that covers its points. A pair of nodes with centres q, p and radii Q, P is
-skipped when q.p + Q|p| + P|q| + QP is below the worst kth score among the queries of the node.
+are at least as far apart as the radius that covers its points. Each query first takes a kth score from the leaf whose centre promises
+most. A pair of nodes with centres q, p and radii Q, P is skipped when q.p + Q|p| + P|q| + QP is below the worst kth score among the
+queries of the node; in a leaf of queries each query's own vector is held against the data leaves that are left.
 
 Components are turned into floor(256 * x), so scores are whole numbers and ties are exact; they go to the smaller vec_id.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part, nor do rows without vec_id; rows that
 repeat vec_id and vector are one; a query is never its own answer, whatever its vector; vectors of unequal length are not
-compared; scores must fit 63 bits. Other columns are not looked at.
+compared; a component of which floor(256 * x), or an answer of which the score, does not fit 63 bits is an error. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -32,9 +33,12 @@ CELLS = 256  # most pivots
 BLOCK = 8192  # data rows of one task's tree
 GROUP = 2048  # queries of one task's tree
 LEAF = 64  # data points of a leaf
-ASKING = 16  # queries of a leaf: their worst kth score prunes, so leaves are small
+ASKING = 32  # queries of a leaf: their worst kth score prunes, so leaves are small
 FANOUT = 48
+RUN = 8  # data leaves that a query leaf meets at a time
 EXACT = float(2**53)
+LIMIT = float(2**62)
+TOP = 2**63 - 1  # a score of this size is an error
 
 
 @dataclass
@@ -45,85 +49,182 @@ class Node:
     length: float
     radius: float
     children: list
+    ball: tuple  # centres, lengths and radii of the children
 
 
 def _centres(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Farthest-first centres (row numbers), the centre of every row, and its distance to it."""
     rows = [0]
+    size = (x * x).sum(axis=1)
     best = np.sqrt(((x - x[0]) ** 2).sum(axis=1))
     owner = np.zeros(len(x), dtype=np.int64)
     while len(rows) < most:
         far = int(best.argmax())
         if best[far] == 0:
             break
-        d = np.sqrt(((x - x[far]) ** 2).sum(axis=1))
+        d = np.sqrt(np.maximum(size + size[far] - 2 * (x @ x[far]), 0))
+        d[far] = 0
         nearer = d < best
         owner[nearer], best[nearer] = len(rows), d[nearer]
         rows.append(far)
     return np.array(rows), owner, best
 
 
+def balls(nodes: list[Node]) -> tuple:
+    return np.stack([n.center for n in nodes]), np.array([n.length for n in nodes]), np.array([n.radius for n in nodes])
+
+
 def cover_tree(x: np.ndarray, leaf: int = LEAF) -> tuple[Node, np.ndarray]:
-    """The root, and the row numbers in tree order."""
+    """The root, and the row numbers in tree order. A node has as many children as leaves would hold its rows, at most FANOUT."""
     order = np.arange(len(x))
 
     def build(low: int, high: int, center: np.ndarray) -> Node:
         rows = order[low:high]
-        node = Node(low, high, center, float(np.sqrt((center**2).sum())), float(np.sqrt(((x[rows] - center) ** 2).sum(axis=1).max())), [])
+        node = Node(low, high, center, float(np.sqrt((center**2).sum())), float(np.sqrt(((x[rows] - center) ** 2).sum(axis=1).max())), [], ())
         if high - low > leaf and node.radius > 0:
-            centres, owner, _ = _centres(x[rows], FANOUT)
+            centres, owner, _ = _centres(x[rows], min(FANOUT, -(-(high - low) // leaf)))
             by = np.argsort(owner, kind="stable")
             order[low:high] = rows[by]
             cut = np.searchsorted(owner[by], np.arange(len(centres) + 1))
             where = x[rows[centres]]
-            node.children = [build(low + int(cut[i]), low + int(cut[i + 1]), where[i]) for i in range(len(centres))]
+            parts = [i for i in range(len(centres)) if cut[i] < cut[i + 1]]
+            if len(parts) > 1:  # distances that round to nothing leave a node whole
+                node.children = [build(low + int(cut[i]), low + int(cut[i + 1]), where[i]) for i in parts]
+                node.ball = balls(node.children)
         return node
 
     return build(0, len(x), x.mean(axis=0)), order
 
 
+def bounds(center: np.ndarray, length, radius, ball: tuple) -> np.ndarray:
+    """Most that an inner product of a point of each left ball and a point of each right ball can be."""
+    centres, lengths, radii = ball
+    far, near = np.asarray(radius)[..., None], np.asarray(length)[..., None]
+    return center @ centres.T + far * lengths + radii * near + far * radii + 1e-9 * (1 + (near + far) * (lengths + radii))
+
+
 def bound(a: Node, b: Node) -> float:
-    top = float(a.center @ b.center) + a.radius * b.length + b.radius * a.length + a.radius * b.radius
-    return top + 1e-9 * (1 + (a.length + a.radius) * (b.length + b.radius))
+    return float(bounds(a.center, a.length, a.radius, balls([b]))[0])
+
+
+def products(q: np.ndarray, p: np.ndarray, most: float) -> np.ndarray:
+    """Exact inner products of whole numbers, those beyond TOP as TOP; ``most`` is no less than any absolute sum of products."""
+    if most < EXACT:
+        return q @ p.T  # doubles hold them
+    if most < LIMIT:
+        return q.astype(np.int64) @ p.astype(np.int64).T
+    return np.clip(q.astype(object) @ p.astype(object).T, -TOP, TOP).astype(np.int64)  # numbers of any size
+
+
+class Best:
+    """The k best (score, data row) of every query so far, ties to the smaller id, and the kth score."""
+
+    def __init__(self, n: int, k: int, ids: np.ndarray, kth: np.ndarray):
+        self.k, self.ids, self.kth = k, ids, kth
+        self.scores = np.zeros((n, k), dtype=np.int64)
+        self.rows = np.full((n, k), -1, dtype=np.int64)
+
+    def take(self, low: int, at: np.ndarray, rows: np.ndarray, scores: np.ndarray) -> None:
+        """Pairs of the query ``low + at`` and a data row; the queries concerned are merged with what they have."""
+        mine = np.unique(at)
+        old, slot = np.nonzero(self.rows[low + mine] >= 0)
+        at = np.concatenate([mine[old], at])
+        rows = np.concatenate([self.rows[low + mine[old], slot], rows])
+        scores = np.concatenate([self.scores[low + mine[old], slot], scores])
+        by = np.lexsort((self.ids[rows], -scores, at))
+        at, rows, scores = at[by], rows[by], scores[by]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        ok = rank < self.k
+        at, rows, scores, rank = at[ok] + low, rows[ok], scores[ok], rank[ok]
+        self.rows[at, rank], self.scores[at, rank] = rows, scores
+        last = rank == self.k - 1
+        self.kth[at[last]] = np.maximum(self.kth[at[last]], scores[last])
+
+
+def leaves_of(node: Node) -> list[Node]:
+    return [x for c in node.children for x in leaves_of(c)] if node.children else [node]
+
+
+def _first_scores(q, queries, data, own, data_ids, leaves, po, most, kth, k) -> int:
+    """Raise each kth score to what the rows of the most promising leaf reach; gives the number of products computed."""
+    centres, _, _ = balls(leaves)
+    choice = (q @ centres.T).argmax(axis=1)
+    made = 0
+    for leaf in np.unique(choice):
+        rows, cols = np.flatnonzero(choice == leaf), po[leaves[leaf].low : leaves[leaf].high]
+        s = products(queries[rows], data[cols], most).astype(np.float64)  # rounding keeps the order, so no tie is lost
+        made += s.size
+        s[own[rows][:, None] == data_ids[cols][None, :]] = -np.inf
+        if len(cols) >= k:
+            kth[rows] = np.maximum(kth[rows], np.partition(s, len(cols) - k, axis=1)[:, len(cols) - k])
+    return made
 
 
 def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_ids: np.ndarray, k: int, floor: np.ndarray):
-    """(query row, data row, score) triples that may belong to the k best; floor holds scores known to be reached k times."""
+    """(query row, data row, score) triples that may belong to the k best, and the number of products computed.
+
+    floor holds scores known to be reached k times. The walk goes down the query tree; each node hands its children the data
+    nodes that its bound leaves over. A query leaf meets the data leaves best first, RUN at a time, those that a query's own vector still reaches.
+    """
     q, p = queries.astype(np.float64), data.astype(np.float64)
-    exact = np.abs(q).max(initial=0) * np.abs(p).max(initial=0) * q.shape[1] < EXACT
+    most = float(np.abs(q).max(initial=0)) * float(np.abs(p).max(initial=0)) * q.shape[1]
+    if most < EXACT:
+        queries, data = q, p
     (qt, qo), (pt, po) = cover_tree(q, ASKING), cover_tree(p)
-    kth = floor[qo].astype(np.float64)
-    best: list[list[tuple]] = [[] for _ in range(len(q))]
-    stack = [(qt, pt)]
-    compared = 0
+    kth = floor.astype(np.float64).copy()
+    compared = _first_scores(q, queries, data, query_ids, data_ids, leaves_of(pt), po, most, kth, k)
+    best = Best(len(q), k, data_ids, kth[qo])  # queries in tree order
+
+    def reached(a: Node, nodes: list[Node], ball: tuple) -> list[Node]:
+        worst = best.kth[a.low : a.high].min()
+        return [nodes[i] for i in np.flatnonzero(bounds(a.center, a.length, a.radius, ball) >= worst)]
+
+    def opened(a: Node, nodes: list[Node], larger_than: float) -> list[Node]:
+        """The nodes with those of a larger radius opened, again and again, and dropped where the bound is too low."""
+        done = []
+        while nodes:
+            done += [n for n in nodes if not n.children or n.radius <= larger_than]
+            nodes = [c for n in nodes if n.children and n.radius > larger_than for c in reached(a, n.children, n.ball)]
+        return done
+
+    stack = [(qt, [pt])]
     while stack:
-        a, b = stack.pop()
-        if bound(a, b) < kth[a.low : a.high].min():
+        a, met = stack.pop()
+        met = reached(a, met, balls(met)) if met else met
+        if a.children:
+            met = opened(a, met, a.radius)
+            stack += [(c, met) for c in a.children]
+            continue
+        met = opened(a, met, -1.0)
+        if not met:
             continue
-        if a.children and (a.radius >= b.radius or not b.children):
-            stack += sorted(((c, b) for c in a.children), key=lambda t: bound(*t))
-        elif b.children:
-            stack += sorted(((a, c) for c in b.children), key=lambda t: bound(*t))
-        else:
-            rows, cols = qo[a.low : a.high], po[b.low : b.high]
-            s = q[rows] @ p[cols].T if exact else queries[rows].astype(np.int64) @ data[cols].astype(np.int64).T
+        rows = qo[a.low : a.high]
+        size = np.sqrt((q[rows] ** 2).sum(axis=1))
+        reach = bounds(q[rows], size, np.zeros(len(rows)), balls(met))
+        turn = np.argsort(-reach.max(axis=0), kind="stable")
+        for at in range(0, len(turn), RUN):
+            some = turn[at : at + RUN]
+            some = some[(reach[:, some] >= best.kth[a.low : a.high, None]).any(axis=0)]
+            if not len(some):
+                continue
+            cols = np.concatenate([po[met[i].low : met[i].high] for i in some])
+            s = products(queries[rows], data[cols], most)
             compared += s.size
-            ok = (s >= kth[a.low : a.high, None]) & (query_ids[rows][:, None] != data_ids[cols][None, :])
-            for i in np.flatnonzero(ok.any(axis=1)):
-                at = a.low + int(i)
-                js = np.flatnonzero(ok[i])
-                best[at] = sorted(best[at] + [(-int(s[i, j]), int(data_ids[cols[j]]), int(cols[j])) for j in js])[:k]
-                if len(best[at]) == k:
-                    kth[at] = max(kth[at], -best[at][-1][0])
-    triples = [(int(qo[at]), row, -score) for at, found in enumerate(best) for score, _, row in found]
-    return np.array(triples, dtype=np.int64).reshape(-1, 3), compared
+            i, j = np.nonzero((s >= best.kth[a.low : a.high, None]) & (query_ids[rows][:, None] != data_ids[cols][None, :]))
+            if len(i):
+                best.take(a.low, i, cols[j], s[i, j].astype(np.int64))
+    i, slot = np.nonzero(best.rows >= 0)
+    return np.stack([qo[i], best.rows[i, slot], best.scores[i, slot]], axis=1).astype(np.int64), compared
 
 
 def whole_numbers(vectors: DataFrame) -> DataFrame:
     """(vec_id, v, dims) of the rows that take part."""
     sound: Column = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     rows = vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.coalesce(sound, F.lit(False)))
-    v = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
+    fits = lambda x: F.abs(x.cast("double") * SCALE) < F.lit(float(2**63))
+    whole = lambda x: F.when(fits(x), F.floor(x.cast("double") * SCALE).cast("long")).otherwise(
+        F.raise_error(F.lit("floor(256 * x) of a component does not fit 63 bits")).cast("long"))
+    v = F.transform("embedding", whole)
     return rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"), F.size("embedding").alias("dims")).dropDuplicates(["vec_id", "v"])
 
 
@@ -202,7 +303,7 @@ def _one_length(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
     split = F.element_at(F.create_map(*[F.lit(y) for c, (_, s) in first.items() for y in (c, s)]), F.col("cell"))
     queries = data.where(is_query).select("vec_id", "v", (base + F.pmod(F.xxhash64("vec_id", "v"), split)).cast("int").alias("grp"))
     queries = written(queries, "search-queries")
-    nodes = {c: Node(0, 0, pivots[c], float(np.sqrt((pivots[c] ** 2).sum())), r.far, []) for c, r in stats.items()}
+    nodes = {c: Node(0, 0, pivots[c], float(np.sqrt((pivots[c] ** 2).sum())), r.far, [], ()) for c, r in stats.items()}
     near: list[tuple] = []
     for g, cells in groups.items():
         chosen = set()
@@ -236,7 +337,9 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = vectors.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
-    return _ranked(out, k).select("query_id", "rank", "vec_id", "score")
+    score = F.when((F.col("score") < TOP) & (F.col("score") > -TOP), F.col("score")).otherwise(
+        F.raise_error(F.lit("an inner product of floor(256 * x) does not fit 63 bits")).cast("long"))
+    return _ranked(out, k).select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) AS e FROM embeddings WHERE embedding IS NOT NULL),

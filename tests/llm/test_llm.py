@@ -135,6 +135,15 @@ def test_near_vectors_equal_brute_force(spark, vectors):
     assert near_vectors(vectors.limit(0)).count() == 0
 
 
+def test_vectors_of_any_size_link(spark):
+    from larkframe.llm.cosine_dedup import near_vectors
+
+    got = [[x, 2 * x, 0.0] for x in (1e-200, 1e200, 5e-324, 1.0, 8e307)] + [[0.0, 0.0, 1e-310], [-1e200, -2e200, 0.0], [1e200, 2e200, 1e199]]
+    rows = spark.createDataFrame([(i, v, 1) for i, v in enumerate(got)], "vec_id long, embedding array<double>, label int")
+    want = {0, 1, 2, 3, 4, 7}
+    assert {tuple(r) for r in near_vectors(rows).collect()} == {(i, 5 * (i in want), 0 if i in want else i, i == 0 or i not in want) for i in range(8)}
+
+
 def test_top_products_equal_brute_force(vectors, monkeypatch):
     from larkframe.llm import cover_search as m
 
@@ -168,6 +177,45 @@ def test_trees_prune_clustered_points():
     assert len(got) == 4000 and compared < 0.3 * 800 * 4000
 
 
+@pytest.mark.parametrize("kind", ["clusters", "spread", "ties", "large"])
+def test_walk_equals_plain_products(kind):
+    from larkframe.llm.cover_search import search
+
+    rng = np.random.default_rng(5)
+    x = {
+        "clusters": lambda: rng.normal(size=(60, 64))[rng.integers(60, size=8192)] * 256 + rng.normal(size=(8192, 64)) * 26,
+        "spread": lambda: rng.normal(size=(1500, 64)) * 256,
+        "ties": lambda: rng.integers(-2, 3, size=(1500, 3)).astype(float),
+        "large": lambda: rng.normal(size=(600, 4)) * 2.0**28,
+    }[kind]()
+    x, ids = np.floor(x).astype(np.int64), rng.permutation(len(x))
+    some = np.arange(0, len(x), 20)
+    got, compared = search(x[some], ids[some], x, ids, 5, np.full(len(some), -np.inf))
+    s = x[some] @ x.T
+    want = set()
+    for i, at in enumerate(some):
+        by = np.lexsort((ids, -s[i]))
+        want |= {(i, int(j), int(s[i, j])) for j in by[by != at][:5]}
+    assert {tuple(r) for r in got.tolist()} == want
+    share = compared / s.size
+    print(f"{kind}: {share:.3f} of all products computed")
+    assert share < (0.3 if kind == "clusters" else 1.1)
+
+
+def test_scores_beyond_63_bits_are_an_error(spark):
+    from larkframe.llm.cover_search import top_products
+
+    def best(*vectors):
+        rows = spark.createDataFrame([(i, list(v)) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+        return {tuple(r) for r in top_products(rows, F.col("vec_id") == 0, 1).collect()}
+
+    big = 2.0**30
+    assert best([big, 1.0], [1.0, 2.0], [0.5, 1.0]) == {(0, 1, 1, 2**46 + 2**17)}  # its product with itself would not fit
+    for bad in ([[1e300, 1.0], [1e300, 2.0]], [[big, big], [big, big]]):
+        with pytest.raises(Exception, match="does not fit 63 bits"):
+            best(*bad)
+
+
 # 4 ------------------------------------------------------------------------------------------------------------------
 
 def test_lines(docs, rows, nothing):
