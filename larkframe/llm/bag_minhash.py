@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkframe.llm.common import connected, keyed, mix, place, run_hashes, same_doc, slices, word_hashes, written
+from larkframe.llm.common import connected, keyed, lean, mix, place, run_hashes, same_doc, slices, word_hashes, written
 from larkframe.llm.registry import query, table
 
 SHINGLE = 5
@@ -104,6 +104,7 @@ def signatures(owner: np.ndarray, shingle: np.ndarray, count: np.ndarray, texts:
 def signed(docs: DataFrame) -> DataFrame:
     """(doc_id, k, node, sig): the node is a digest of the words; null for texts without words."""
 
+    @lean
     def sign(batches):
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
@@ -118,6 +119,7 @@ def signed(docs: DataFrame) -> DataFrame:
 def bags(texts: DataFrame) -> DataFrame:
     """(node, shingles, counts) of (node, text): the multiset as 64-bit and 32-bit little-endian numbers in rising order."""
 
+    @lean
     def fill(batches):
         for batch in batches:
             text = list(batch["text"])
@@ -146,6 +148,7 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 def verified(pairs: DataFrame, of: DataFrame, tenths: int = 8) -> DataFrame:
     """The pairs (a, b) whose multiset Jaccard similarity is at least tenths / 10; a may be the same node very often."""
 
+    @lean
     def test(batches):
         for batch in batches:
             hit = []

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +61,29 @@ def lengths_of(rows: DataFrame, most: int = 10_000) -> list[int]:
     return got
 
 
+def release() -> None:
+    """Freed memory goes back to the system: Python workers stay for later stages, and would keep it beside what those need."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux has it
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of batches, with freed memory given back after each batch and at the end of the task."""
+
+    def go(batches):
+        def each():
+            for batch in batches:
+                yield batch
+                release()
+
+        yield from run(each())
+        release()
+
+    return go
+
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, dtype=bool)

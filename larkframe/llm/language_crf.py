@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkframe.llm.common import slices
+from larkframe.llm.common import release, slices
 from larkframe.llm.registry import query, table
 
 UND = "und"
@@ -299,6 +299,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     @F.pandas_udf("lang_pred string, score double")
     def predict(text: pd.Series) -> pd.DataFrame:
         lang, score = judge(model, [t if isinstance(t, str) else None for t in text])
+        release()
         return pd.DataFrame({"lang_pred": lang, "score": score})
 
     got = clean.withColumn("_crf", predict("text"))
@@ -399,7 +400,9 @@ def keep_identified(
 
     @F.pandas_udf("boolean")
     def keep(text: pd.Series) -> pd.Series:
-        return pd.Series(known(model, back, [t if isinstance(t, str) else None for t in text]))
+        out = known(model, back, [t if isinstance(t, str) else None for t in text])
+        release()
+        return pd.Series(out)
 
     return docs.where(keep("text"))
 

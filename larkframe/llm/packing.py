@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkframe.llm.common import lean
 from larkframe.llm.registry import query, table
 from larkframe.llm.tokens import CACHE, ByteLevelEncoder, description_of
 
@@ -74,6 +75,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, size: int = LENGTH, most_o
     """One row per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), sequence_id, offset."""
     description = description_of(path)
 
+    @lean
     def run(batches):
         bins = Bins(size, most_open, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], dtype="<u4").tobytes()

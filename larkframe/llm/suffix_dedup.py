@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkframe.llm.common import keyed, mix, place, powers, run_hashes, same_doc, slices, word_hashes, written
+from larkframe.llm.common import keyed, lean, mix, place, powers, run_hashes, same_doc, slices, word_hashes, written
 from larkframe.llm.common import _INVERSE, _ODD
 from larkframe.llm.registry import query, table
 
@@ -63,6 +63,7 @@ def suffixes(docs: DataFrame) -> DataFrame:
     have a window of LEAST words around them are left out.
     """
 
+    @lean
     def keep(batches):
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
@@ -96,6 +97,7 @@ def border_heads(classes: DataFrame) -> DataFrame:
     The first and last head of a task's part of the order are given too, as their neighbour is in another task.
     """
 
+    @lean
     def compare(batches):
         held = None
         for batch in batches:
@@ -124,6 +126,7 @@ def windows(docs: DataFrame, heads: DataFrame) -> DataFrame:
     places = heads.groupBy("doc_id", "k").agg(F.collect_set("pos").alias("places"))
     rows = docs.alias("d").join(places.alias("p"), same_doc("d", "p")).select("d.doc_id", "d.k", "d.text", "p.places").dropDuplicates(["doc_id", "k"])
 
+    @lean
     def spread(batches):
         for batch in batches:
             for doc_id, k, text, places_ in zip(batch["doc_id"], batch["k"], batch["text"], batch["places"]):
@@ -176,6 +179,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     spans = inner.distinct().unionByName(border).groupBy("doc_id", "k").agg(
         F.collect_list(F.struct("start", "end", "source_doc_id", "source_k", "source_start")).alias("spans"))
 
+    @lean
     def merge(batches):
         for batch in batches:
             rows = [(d, k, s, e - s, *rest) for d, k, spans_ in zip(batch["doc_id"], batch["k"], batch["spans"]) for s, e, *rest in _joined(spans_)]
