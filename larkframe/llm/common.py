@@ -23,6 +23,17 @@ def written(df: DataFrame, name: str, *partition_by: str, dense: bool = False) -
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Remove the tables under these frames, all made by ``written``, once nothing still to be run reads them."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if folder.rsplit("/", 2)[1] != "larkframe":
+                raise ValueError(f"not a table of this package: {folder}")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keyed(docs: DataFrame, whole: bool = False) -> DataFrame:
     """(doc_id, text, k), and with ``whole`` the row as a struct, so that no column of the table can clash with ours.
 

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkframe.llm.common import keyed, lean, mix, place, powers, run_hashes, same_doc, slices, word_hashes, written
+from larkframe.llm.common import dropped, keyed, lean, mix, place, powers, run_hashes, same_doc, slices, word_hashes, written
 from larkframe.llm.common import _INVERSE, _ODD
 from larkframe.llm.registry import query, table
 
@@ -122,9 +122,12 @@ def border_heads(classes: DataFrame) -> DataFrame:
 
 
 def windows(docs: DataFrame, heads: DataFrame) -> DataFrame:
-    """(h1, h2, doc_id, k, start): the windows of LEAST words that hold a head within their first SPREAD grams."""
+    """(h1, h2, doc_id, k, start): the windows of LEAST words that hold a head within their first SPREAD grams.
+
+    A document in several rows gives its windows several times; whole texts are not shuffled once more to prevent it.
+    """
     places = heads.groupBy("doc_id", "k").agg(F.collect_set("pos").alias("places"))
-    rows = docs.alias("d").join(places.alias("p"), same_doc("d", "p")).select("d.doc_id", "d.k", "d.text", "p.places").dropDuplicates(["doc_id", "k"])
+    rows = docs.alias("d").join(places.alias("p"), same_doc("d", "p")).select("d.doc_id", "d.k", "d.text", "p.places")
 
     @lean
     def spread(batches):
@@ -169,15 +172,18 @@ def repeats(docs: DataFrame) -> DataFrame:
     inner = kept.join(classes.where("n > 1").select("core", "context", "head"), ["core", "context"]).where(spot > F.col("head")).select(
         "doc_id", "k", (F.col("pos") - F.col("before")).alias("start"), (F.col("pos") + F.col("after")).alias("end"),
         F.col("head.doc_id").alias("source_doc_id"), F.col("head.k").alias("source_k"), (F.col("head.pos") - F.col("before")).alias("source_start"))
+    inner = written(inner, "suffix-inner", dense=True)
     heads = written(border_heads(classes), "suffix-heads", dense=True)
+    dropped(kept, classes)
     near = written(windows(base, heads), "suffix-windows", dense=True)
+    dropped(heads)
     firsts = near.groupBy("h1", "h2").agg(F.min(place("start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     firsts = written(firsts.drop("n"), "suffix-firsts", dense=True)
     border = near.join(firsts, ["h1", "h2"]).where(place("start") > F.col("first")).select(
         "doc_id", "k", "start", (F.col("start") + LEAST).alias("end"),
         F.col("first.doc_id").alias("source_doc_id"), F.col("first.k").alias("source_k"), F.col("first.start").alias("source_start"))
-    spans = inner.distinct().unionByName(border).groupBy("doc_id", "k").agg(
-        F.collect_list(F.struct("start", "end", "source_doc_id", "source_k", "source_start")).alias("spans"))
+    spans = inner.unionByName(border).groupBy("doc_id", "k").agg(
+        F.collect_set(F.struct("start", "end", "source_doc_id", "source_k", "source_start")).alias("spans"))
 
     @lean
     def merge(batches):
@@ -211,7 +217,9 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 def keep_new_passages(docs: DataFrame) -> DataFrame:
     """The documents without their repeats; those without a word left go. n_chars, where present, is renewed."""
-    spans = written(repeats(docs).groupBy("doc_id", "k").agg(F.collect_list(F.struct("start", "n_words")).alias("spans")), "passages")
+    found = repeats(docs)
+    spans = written(found.groupBy("doc_id", "k").agg(F.collect_list(F.struct("start", "n_words")).alias("spans")), "passages")
+    dropped(found)  # reads written tables only
     base = keyed(docs, whole=True).alias("d").join(spans.alias("s"), same_doc("d", "s"), "left").select("d.row", "d.text", "s.spans")
 
     @F.pandas_udf("string")

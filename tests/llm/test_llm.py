@@ -79,6 +79,21 @@ def test_repeats_equal_brute_force(docs, rows, nothing):
     assert m.repeats(nothing).count() == 0
 
 
+def test_only_written_tables_are_dropped(spark, tmp_path):
+    from larkframe.llm.common import dropped, written
+
+    rows = spark.range(5)
+    a, b = written(rows, "here"), written(rows, "there")
+    dropped(a)
+    assert b.count() == 5
+    with pytest.raises(Exception):
+        spark.read.schema(a.schema).parquet(*a.inputFiles()).count()
+    rows.write.parquet(str(tmp_path / "own"))
+    with pytest.raises(ValueError):
+        dropped(spark.read.parquet(str(tmp_path / "own")))
+    assert spark.read.parquet(str(tmp_path / "own")).count() == 5
+
+
 def test_passages_are_cut(docs, nothing):
     from larkframe.llm import suffix_dedup as m
 
