@@ -69,7 +69,7 @@ def curve(df: DataFrame, by: list[str], score: str, event: str) -> DataFrame:
     if by:
         return match_join(t, t.groupBy(*by).agg(F.sum("n").alias("n_all"), F.sum("e").alias("e_all")), by)
     s = t.agg(F.sum("n").alias("a"), F.sum("e").alias("b")).first()
-    return t.withColumns({"n_all": F.lit(s["a"]), "e_all": F.lit(s["b"])})
+    return t.withColumns({"n_all": F.lit(s["a"]).cast("long"), "e_all": F.lit(s["b"]).cast("long")})
 
 
 def roc_points(c: DataFrame, by: list[str]) -> DataFrame:
@@ -79,11 +79,11 @@ def roc_points(c: DataFrame, by: list[str]) -> DataFrame:
 
 
 def roc_auc(c: DataFrame, by: list[str]) -> DataFrame:
-    """Share of event/non-event pairs in the right order, ties counting half, from the curve."""
+    """Share of event/non-event pairs in the right order, ties counting half, from the curve. Pairs are counted in doubles, as their number may leave 63 bits."""
     neg_at = F.col("n") - F.col("e")
     neg_all = F.col("n_all") - F.col("e_all")
     neg_below = neg_all - (F.col("cum") - F.col("cum_e"))
-    return c.groupBy(*by).agg(F.try_divide(F.sum(F.col("e") * (neg_below + neg_at / 2)), F.max(F.col("e_all") * neg_all)).alias("auc"))
+    return c.groupBy(*by).agg(F.try_divide(F.sum(F.col("e") * (neg_below + neg_at / 2)), F.max(F.col("e_all").cast("double") * neg_all)).alias("auc"))
 
 
 def pr_auc(c: DataFrame, by: list[str]) -> DataFrame:
