@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkframe.operators.grouping import match_join, one_row
+from larkframe.operators.grouping import group_join, one_row
 from larkframe.operators.neighbors import knn
 from larkframe.session import materialized
 
@@ -80,7 +80,7 @@ def indices(df: DataFrame, xs: list[str], cluster: str) -> dict:
     Cluster sizes, centroids and mean radii are one row per cluster; every index follows from them.
     """
     cen = centroid_table(df, xs, cluster)
-    j = match_join(df.select(cluster, *xs), cen, [cluster])
+    j = group_join(df.select(cluster, *xs), cen, [cluster])
     d2 = sum(((F.col(x) - F.col(f"m_{x}")) * (F.col(x) - F.col(f"m_{x}")) for x in xs[1:]), (F.col(xs[0]) - F.col(f"m_{xs[0]}")) * (F.col(xs[0]) - F.col(f"m_{xs[0]}")))
     radius = {r[cluster]: r["s"] for r in j.groupBy(cluster).agg(F.avg(F.sqrt(d2)).alias("s")).collect()}
     rows = cen.collect()

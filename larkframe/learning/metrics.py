@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkframe.operators.grouping import match_join
+from larkframe.operators.grouping import group_join
 from larkframe.operators.quantiles import value_table
 
 
@@ -67,7 +67,7 @@ def curve(df: DataFrame, by: list[str], score: str, event: str) -> DataFrame:
     """One row per distinct score, highest first: n and e at the score, cum and cum_e down to it, totals n_all and e_all."""
     t = value_table(df, by, score, descending=True, e=F.col(event).cast("long"))
     if by:
-        return match_join(t, t.groupBy(*by).agg(F.sum("n").alias("n_all"), F.sum("e").alias("e_all")), by)
+        return group_join(t, t.groupBy(*by).agg(F.sum("n").alias("n_all"), F.sum("e").alias("e_all")), by)
     s = t.agg(F.sum("n").alias("a"), F.sum("e").alias("b")).first()
     return t.withColumns({"n_all": F.lit(s["a"]).cast("long"), "e_all": F.lit(s["b"]).cast("long")})
 

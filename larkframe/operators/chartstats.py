@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkframe.operators.grouping import attach, match_join, one_row
+from larkframe.operators.grouping import attach, group_join, match_join, one_row
 from larkframe.operators.quantiles import quantiles
 
 
@@ -34,7 +34,7 @@ def density(df: DataFrame, by: list[str], x: str, points: int) -> DataFrame:
     s = df.groupBy(*by).agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"), F.max(x).alias("hi"))
     q = quantiles(df, by, x, {"q1": 0.25, "q3": 0.75})
     if by:
-        v = match_join(v, match_join(s, q, by), by)
+        v = group_join(v, match_join(s, q, by), by)
     else:
         v = v.withColumns({k: F.lit(z) for k, z in {**s.first().asDict(), **q.first().asDict()}.items()})
     v = v.withColumn("h", bandwidth(F.col("n"), F.col("sd"), F.col("q3") - F.col("q1")))
@@ -48,7 +48,7 @@ def density(df: DataFrame, by: list[str], x: str, points: int) -> DataFrame:
 def boxplot(df: DataFrame, by: list[str], x: str) -> DataFrame:
     """Quartiles, whiskers at the last values within 1.5 IQR, and the number of outliers."""
     q = quantiles(df, by, x, {"q1": 0.25, "med": 0.5, "q3": 0.75})
-    d = match_join(df.select(*by, x), q, by)
+    d = group_join(df.select(*by, x), q, by)
     iqr = F.col("q3") - F.col("q1")
     inside = F.col(x).between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)
     w = d.groupBy(*by).agg(F.min(F.when(inside, F.col(x))).alias("lo"), F.max(F.when(inside, F.col(x))).alias("hi"), F.count_if(~inside).alias("outliers"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkframe.functions import tails
-from larkframe.operators.grouping import attach, match_join
+from larkframe.operators.grouping import attach, group_join
 from larkframe.operators.quantiles import long_form, value_table
 
 
@@ -52,7 +52,7 @@ def ks(df: DataFrame, cols: list[str], second: Column) -> DataFrame:
     long = long_form(df.withColumn("_s", second.cast("int")), ["_s"], cols)
     t = value_table(long, ["measure"], "value", a=1 - F.col("_s"), b=F.col("_s"))
     size = t.groupBy("measure").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
-    j = match_join(t, size, ["measure"])
+    j = group_join(t, size, ["measure"])
     s = j.groupBy("measure").agg(
         F.max(F.abs(F.col("cum_a") / F.col("na") - F.col("cum_b") / F.col("nb"))).alias("d"), F.max("na").alias("na"), F.max("nb").alias("nb"))
     return s.withColumn("p", tail(tails.ks_upper, F.col("d"), F.col("na"), F.col("nb")))

@@ -74,7 +74,7 @@ def agg_quantile(t):
 SELECT event_type, round(quantile_cont(value, 0.75) - quantile_cont(value, 0.25), 6) AS iqr, round(1.4826::double * median(abs(value - med)), 6) AS mad FROM m GROUP BY 1""")
 def agg_iqr_mad(t):
     q = quantiles(t.events, ["event_type"], "value", {"a": 0.25, "med": 0.5, "b": 0.75})
-    dev = match_join(t.events, q, ["event_type"]).withColumn("dev", F.abs(col("value") - col("med")))
+    dev = group_join(t.events, q, ["event_type"]).withColumn("dev", F.abs(col("value") - col("med")))
     mad = quantiles(dev, ["event_type"], "dev", {"m": 0.5})
     return match_join(q, mad, ["event_type"]).select("event_type", r(col("b") - col("a")).alias("iqr"), r(1.4826 * col("m")).alias("mad"))
 

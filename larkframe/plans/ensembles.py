@@ -134,7 +134,7 @@ def ens_region_select(t):
     g = blends(t).withColumn("region", (col("x1") > 25).cast("int") * 2 + (col("x2") > 5).cast("int"))
     e = g.groupBy("region").agg(*[mt.rmse("y", p).alias(p) for p in PS]).unpivot(["region"], PS, "model", "rmse")
     best = e.groupBy("region").agg(F.min_by("model", "rmse").alias("model"))
-    d = match_join(g, best, ["region"])
+    d = group_join(g, best, ["region"])
     pred = F.when(col("model") == "p1", col("p1")).when(col("model") == "p2", col("p2")).otherwise(col("p3"))
     return d.select("key", "region", "model", r(pred, 5).alias("pred"))
 

@@ -236,6 +236,6 @@ def nested_lm_coefs(t):
 @query("nested_augment", f"WITH {REG_SQL}, {TWO_X} SELECT key, round(b0 + b1 * x1 + b2 * x2, 4) AS fitted, round(y - (b0 + b1 * x1 + b2 * x2), 4) AS resid FROM reg JOIN f USING (cat)")
 def nested_augment(t):
     terms = group_fits(t.reg, "cat", "y", ["x1", "x2"]).groupBy("cat").pivot("term", ["(Intercept)", "x1", "x2"]).agg(F.first("estimate"))
-    d = t.reg.join(terms.toDF("cat", "b0", "b1", "b2"), "cat")
+    d = group_join(t.reg.where(col("cat").isNotNull()), terms.toDF("cat", "b0", "b1", "b2"), ["cat"])
     fitted = col("b0") + col("b1") * col("x1") + col("b2") * col("x2")
     return d.select("key", r(fitted, 4).alias("fitted"), r(col("y") - fitted, 4).alias("resid"))

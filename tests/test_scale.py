@@ -4,8 +4,34 @@ import pytest
 from pyspark.sql import functions as F
 
 from larkframe.learning import metrics as mt
+from larkframe.learning.resample import initial_split, vfold
+from larkframe.operators.grouping import attach
+from larkframe.operators.hashing import hash_positions, hash_ranges
 
 
 def test_auc_counts_pairs_beyond_32_bits(spark):
     d = spark.range(200_000).select((F.col("id") % 10 / 10).alias("p"), (F.col("id") % 2).cast("int").alias("event"))
     assert mt.roc_auc(mt.curve(d, [], "p", "event"), []).first()["auc"] == pytest.approx(0.6)
+
+
+@pytest.mark.parametrize("edges, by", [([0, 3, 3, 70], None), ([40], ["g"]), ([2, 500], ["g"])])
+def test_ranges_equal_places(spark, edges, by):
+    rows = [(i if i % 11 else None, f"g{i % 3}" if i % 4 else None, i) for i in range(200)] + [(7, "g1", 1000 + i) for i in range(30)]
+    d = spark.createDataFrame(rows, "id long, g string, row long").repartition(5)
+    cuts = lambda n: [F.least(F.lit(e), n) for e in edges]
+    for rows in (d, d.dropDuplicates(["id"]), d.limit(0)):
+        got = hash_ranges(rows, ["id"], "s", cuts, by, "x")
+        sizes = {tuple(r[:-1]): r[-1] for r in got.groupBy(*(by or []), "x").count().collect()}
+        placed = hash_positions(rows, ["id"], "s", by, "p", "n").withColumn("x", sum((F.when(F.col("p") > F.least(F.lit(e), F.col("n")), 1).otherwise(0) for e in edges), F.lit(1)))
+        assert sizes == {tuple(r[:-1]): r[-1] for r in placed.groupBy(*(by or []), "x").count().collect()}
+    one = d.dropDuplicates(["id"])
+    want = {r.row: r.x for r in hash_positions(one, ["id"], "s", by, "p", "n").withColumn("x", sum((F.when(F.col("p") > F.least(F.lit(e), F.col("n")), 1).otherwise(0) for e in edges), F.lit(1))).collect()}
+    assert {r.row: r.x for r in hash_ranges(one, ["id"], "s", cuts, by, "x").collect()} == want
+
+
+def test_splits_and_group_joins_do_not_shuffle_rows(spark):
+    d = spark.range(2000).withColumn("g", F.col("id") % 3)
+    for out in (vfold(d, ["id"], 5), initial_split(d, ["id"]), attach(d, ["g"], m=F.avg("id"))):
+        plan = out._jdf.queryExecution().toString().split("Physical Plan")[1]
+        assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" in plan
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
