@@ -4,7 +4,8 @@ The points are split into cells by their nearest pivot, cells above ``LEAF`` poi
 number of pivots grows with the points, and no list of them goes through the driver. Round one takes every query down to its nearest leaf; the
 k-th distance found there (or, where the leaf is too small, the farthest point of the smallest cell around it) bounds the true k-th distance.
 Round two sends keys of leaves down the tree: a leaf of queries with its radius and its largest bound meets only cells that the
-triangle inequality leaves open. Each query then goes to those leaves that its own bound leaves open. The result is exact.
+triangle inequality leaves open. Neighbouring leaves form blocks of about ``CHUNK`` points; each query goes once to every block that holds
+a leaf within its own bound, however many such leaves there are, and visits only those. The result is exact.
 
 Cells are dealt in chunks and their queries salted, so a hot cell is many tasks; a task returns the k best of its chunk, never all pairs, and a
 last pass per query keeps the k best of all chunks. No candidate is capped or sampled. Copies of one vector are searched once.
@@ -66,10 +67,10 @@ def knn(
     return out.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
-def _meet(left: DataFrame, right: DataFrame, fn, schema: str, chunk: int, whole: bool = False) -> DataFrame:
+def _meet(left: DataFrame, right: DataFrame, fn, schema: str, chunk: int, whole: bool = False, together: str | None = None) -> DataFrame:
     """fn(rows of left, rows of right) for the rows of each cell, in parts of at most about ``chunk`` rows of either side.
 
-    With ``whole`` every call sees all rows of right in its cell, which are at most FAN.
+    With ``whole`` every call sees all rows of right in its cell, which are at most FAN. Rows of right with one value of ``together`` stay together.
     """
     def parts(rows: DataFrame, name: str, most: int) -> DataFrame:
         return rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name))
@@ -83,7 +84,7 @@ def _meet(left: DataFrame, right: DataFrame, fn, schema: str, chunk: int, whole:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
     a = left.join(shape, "cell").withColumn("_salt", deal("_salts", left.columns)).withColumn("_part", every("_parts"))
-    b = right.join(shape, "cell").withColumn("_part", deal("_parts", right.columns)).withColumn("_salt", every("_salts"))
+    b = right.join(shape, "cell").withColumn("_part", deal("_parts", [together] if together else right.columns)).withColumn("_salt", every("_salts"))
     group = ["cell", "_part", "_salt"]
     n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small tables, much work: not fewer tasks
     a, b = (x.select(*[F.col(c).alias(c) for c in (*rows.columns, "_part", "_salt")]).repartition(n, *group) for x, rows in ((a, left), (b, right)))
@@ -94,12 +95,45 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy())
 
 
+def _none(**columns: str) -> pd.DataFrame:
+    """No rows; an empty list would have a type that cannot become an array column."""
+    return pd.DataFrame({name: pd.Series(dtype=kind) for name, kind in columns.items()})
+
+
+def _within(qv: np.ndarray, bound: np.ndarray, pv: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, point, distance) of the pairs within the query's bound.
+
+    For vectors of some length the expanded square leaves out what is farther than the bound and its rounding; the rest is from differences.
+    """
+    if metric == "l1" or qv.shape[1] < 8:
+        d = distances(qv, pv, metric)
+        i, j = np.nonzero(d <= bound[:, None])
+        return i, j, d[i, j]
+    q2, p2 = np.einsum("ij,ij->i", qv, qv), np.einsum("ij,ij->i", pv, pv)
+    room = bound * bound * (1 + 1e-9) + 1e-11 * (q2 + p2.max())
+    i, j = np.nonzero(q2[:, None] + p2[None, :] - 2 * (qv @ pv.T) <= room[:, None])
+    dist = np.empty(len(i))
+    step = max(1, int(4e6 // qv.shape[1]))
+    for k in range(0, len(i), step):
+        d = qv[i[k:k + step]] - pv[j[k:k + step]]
+        dist[k:k + step] = np.sqrt(np.einsum("ij,ij->i", d, d))
+    keep = dist <= bound[i]
+    return i[keep], j[keep], dist[keep]
+
+
+def _best_of(i: np.ndarray, nid: np.ndarray, dist: np.ndarray, most: int) -> np.ndarray:
+    """Places of the ``most`` nearest of every query i, ties by point key."""
+    o = np.lexsort((nid, dist, i))
+    first = np.searchsorted(i[o], np.arange(i.max() + 1 if len(i) else 0))
+    return o[np.arange(len(o)) - first[i[o]] < most] if len(o) else o
+
+
 def _tree(points: DataFrame, kind: str, metric: str, leaf: int, chunk: int) -> tuple[DataFrame, list[DataFrame]]:
     """(nid, pv, cell) of the points in their leaves, and per level the nodes (cell: parent, child, at, n, radius)."""
 
     def nearest(p: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if p.empty:
-            return pd.DataFrame({"nid": p["nid"][:0], "pv": [], "cell": [], "d": []})
+            return _none(nid=p["nid"].dtype, pv="object", cell="int64", d="float64")
         c = c.sort_values("child")
         d = distances(_matrix(p["pv"]), _matrix(c["at"]), metric)
         best = d.argmin(axis=1)
@@ -125,6 +159,23 @@ def _tree(points: DataFrame, kind: str, metric: str, leaf: int, chunk: int) -> t
     return left, levels
 
 
+def _blocks(levels: list[DataFrame], leaf: int, chunk: int) -> DataFrame:
+    """(child, block) of all cells: cells with one parent are put together up to about ``chunk`` points, cells below them inherit the block."""
+    out, above = None, None
+    for depth, nodes in enumerate(levels):
+        if depth == 0:
+            total = nodes.groupBy("cell").agg(F.sum("n").alias("_pn"))
+            above = total.select("cell", "_pn", F.lit(-1).cast("long").alias("_pb"))
+        fan = F.least(F.lit(FAN), F.greatest(F.lit(2), F.ceil(F.col("_pn") * 4 / leaf)))
+        bucket = F.floor((F.col("child") - F.col("cell") * FAN - 1) * F.ceil(F.col("_pn") / chunk) / fan)
+        merged = -(F.col("cell") * FAN + bucket + 1)
+        block = F.when(F.col("_pn") <= chunk, F.col("_pb")).when(F.col("n") <= chunk, merged).otherwise(F.col("child"))
+        here = nodes.select("cell", "child", "n").join(above, "cell").select("child", "n", block.cast("long").alias("block")).checkpoint()
+        above = here.select(F.col("child").alias("cell"), F.col("n").alias("_pn"), F.col("block").alias("_pb"))
+        out = here if out is None else out.unionByName(here)
+    return out.select("child", "block")
+
+
 def _search(pts: DataFrame, qs: DataFrame, need: int, metric: str, leaf: int, chunk: int, tally: dict | None) -> DataFrame:
     """The ``need`` nearest of the distinct points for every distinct query."""
     kind = dict(pts.dtypes)["nid"]
@@ -133,7 +184,7 @@ def _search(pts: DataFrame, qs: DataFrame, need: int, metric: str, leaf: int, ch
 
     def descend(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:  # the query is in its leaf
-            return q[["cell", "qid", "qv", "bound", "d"]]
+            return q[["cell", "qid", "qv", "bound", "d"]].astype({"qv": "object"})
         c = c.sort_values("child")
         d = distances(_matrix(q["qv"]), _matrix(c["at"]), metric)
         best = d.argmin(axis=1)
@@ -145,7 +196,7 @@ def _search(pts: DataFrame, qs: DataFrame, need: int, metric: str, leaf: int, ch
 
     def best(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if q.empty or p.empty:
-            return pd.DataFrame({"qid": q["qid"][:0], "nid": p["nid"][:0], "dist": np.empty(0)})
+            return _none(qid=q["qid"].dtype, nid=p["nid"].dtype, dist="float64")
         p = p.sort_values("nid", kind="stable")
         pv, pid = _matrix(p["pv"]), p["nid"].to_numpy()
         qv, qid, bound = _matrix(q["qv"]), q["qid"].to_numpy(), q["bound"].to_numpy()
@@ -195,28 +246,68 @@ def _search(pts: DataFrame, qs: DataFrame, need: int, metric: str, leaf: int, ch
 
     def open_cells(g: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if g.empty or c.empty:
-            return g[["cell", "own", "gat", "reach"]]
-        d = distances(_matrix(g["gat"]), _matrix(c["at"]), metric)
-        reach = g["reach"].to_numpy()[:, None]
-        i, j = np.nonzero(d - c["radius"].to_numpy() <= reach * (1 + 1e-12))
-        return pd.DataFrame({"cell": c["child"].to_numpy()[j], "own": g["own"].to_numpy()[i], "gat": g["gat"].to_numpy()[i], "reach": reach[i, 0]})
+            return g[["cell", "own", "gat", "reach"]].astype({"gat": "object"})
+        at, radius, child, parts = _matrix(c["at"]), c["radius"].to_numpy(), c["child"].to_numpy(), []
+        gat, own, reach = _matrix(g["gat"]), g["own"].to_numpy(), g["reach"].to_numpy()
+        for k in range(0, len(g), LEAF):
+            i, j = np.nonzero(distances(gat[k:k + LEAF], at, metric) - radius <= reach[k:k + LEAF, None] * (1 + 1e-12))
+            parts.append(pd.DataFrame({"cell": child[j], "own": own[k + i], "gat": g["gat"].to_numpy()[k + i], "reach": reach[k + i]}))
+        return pd.concat(parts)
 
     for nodes in levels:
         pairs = _meet(pairs, nodes, open_cells, "cell long, own long, gat array<double>, reach double", chunk)
-    visits = pairs.where("cell <> own").select("cell", "own").join(leaves.select("cell", "at", "radius"), "cell").select(
-        F.col("own").alias("cell"), F.col("cell").alias("target"), "at", "radius").checkpoint()
-
-    def sent(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:
-            return pd.DataFrame({"cell": [], "qid": q["qid"][:0], "qv": [], "bound": []})
-        at, radius, target = _matrix(c["at"]), c["radius"].to_numpy(), c["target"].to_numpy()
-        d = distances(_matrix(q["qv"]), at, metric)
-        i, j = np.nonzero(d - radius <= q["bound"].to_numpy()[:, None])
-        return pd.DataFrame({"cell": target[j], "qid": q["qid"].to_numpy()[i], "qv": q["qv"].to_numpy()[i], "bound": q["bound"].to_numpy()[i]})
-
-    routed = _meet(home.select("cell", "qid", "qv", "bound"), visits, sent, f"cell long, qid {kind}, qv array<double>, bound double", LEAF).checkpoint()
-    _count(tally, home.select("cell").unionByName(routed.select("cell")), placed, qs)
-    return nearest(first.unionByName(found(routed)))
+    blocks = _blocks(levels, max(leaf, need), chunk).checkpoint()
+    aim = leaves.join(blocks.withColumnRenamed("child", "cell"), "cell")
+    visits = pairs.where("cell <> own").select("cell", "own").join(aim.select("cell", "at", "radius", "block"), "cell").select(
+        F.col("own").alias("cell"), F.col("cell").alias("target"), "at", "radius", "block").checkpoint()
+
+    def to(goal: str):
+        def sent(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+            if q.empty or c.empty:
+                return _none(cell="int64", own="int64", qid=q["qid"].dtype, qv="object", bound="float64")
+            c = c.sort_values(goal)
+            goals, first = np.unique(c[goal].to_numpy(), return_index=True)
+            at, radius, parts = _matrix(c["at"]), c["radius"].to_numpy(), []
+            qv, bound, own, qid = _matrix(q["qv"]), q["bound"].to_numpy(), q["cell"].to_numpy(), q["qid"].to_numpy()
+            for k in range(0, len(q), LEAF):
+                near = distances(qv[k:k + LEAF], at, metric) - radius <= bound[k:k + LEAF, None]
+                i, j = np.nonzero(np.logical_or.reduceat(near, first, axis=1))
+                parts.append(pd.DataFrame({"cell": goals[j], "own": own[k + i], "qid": qid[k + i], "qv": q["qv"].to_numpy()[k + i], "bound": bound[k + i]}))
+            return pd.concat(parts)
+
+        return _meet(home.select("cell", "qid", "qv", "bound"), visits, sent, f"cell long, own long, qid {kind}, qv array<double>, bound double", chunk, together=goal)
+
+    def visited(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
+        """The best of all leaves of a block but the query's own, which round one has searched."""
+        if q.empty or p.empty:
+            return _none(qid=q["qid"].dtype, nid=p["nid"].dtype, dist="float64")
+        p = p.sort_values(["leaf", "nid"], kind="stable")
+        pv, pid = _matrix(p["pv"]), p["nid"].to_numpy()
+        names, first = np.unique(p["leaf"].to_numpy(), return_index=True)
+        ends = np.append(first[1:], len(p))
+        centre = np.stack([pv[a:b].mean(axis=0) for a, b in zip(first, ends)])
+        radius = np.array([distances(pv[a:b], c[None], metric).max() for a, b, c in zip(first, ends, centre)])
+        parts = []
+        for k in range(0, len(q), 4 * LEAF):
+            s = slice(k, k + 4 * LEAF)
+            qv, bound, own, qid = _matrix(q["qv"].iloc[s]), q["bound"].to_numpy()[s], q["own"].to_numpy()[s], q["qid"].to_numpy()[s]
+            reach = (distances(qv, centre, metric) - radius) * (1 - 1e-12) - 1e-12
+            near = (reach <= bound[:, None]) & (own[:, None] != names[None, :])
+            got = [(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))]
+            for leaf_no in np.flatnonzero(near.any(axis=0)):
+                ask = np.flatnonzero(near[:, leaf_no])
+                i, j, dist = _within(qv[ask], bound[ask], pv[first[leaf_no]:ends[leaf_no]], metric)
+                got.append((ask[i], j + first[leaf_no], dist))
+            i, j, dist = (np.concatenate(x) for x in zip(*got))
+            keep = _best_of(i, pid[j], dist, need)
+            parts.append(pd.DataFrame({"qid": qid[i[keep]], "nid": pid[j[keep]], "dist": dist[keep]}))
+        return pd.concat(parts)
+
+    in_blocks = placed.withColumnRenamed("cell", "leaf").join(blocks.withColumnRenamed("child", "leaf"), "leaf").select(F.col("block").alias("cell"), "leaf", "nid", "pv")
+    more = _meet(to("block"), in_blocks, visited, f"qid {kind}, nid {kind}, dist double", chunk)
+    if tally is not None:
+        _count(tally, home.select("cell").unionByName(to("target").select("cell")), placed, qs)
+    return nearest(first.unionByName(more))
 
 
 def _count(tally: dict | None, visits: DataFrame, placed: DataFrame, qs: DataFrame) -> None:

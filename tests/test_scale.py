@@ -1,5 +1,6 @@
 """Steps that must hold beyond the small tables: large counts, hot keys, and plans that move few rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +8,7 @@ from larkframe.learning import metrics as mt
 from larkframe.learning.resample import initial_split, vfold
 from larkframe.operators.grouping import attach
 from larkframe.operators.hashing import hash_positions, hash_ranges
+from larkframe.operators.neighbors import distances, knn
 
 
 def test_auc_counts_pairs_beyond_32_bits(spark):
@@ -35,3 +37,21 @@ def test_splits_and_group_joins_do_not_shuffle_rows(spark):
         plan = out._jdf.queryExecution().toString().split("Physical Plan")[1]
         assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" in plan
         assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("dims, metric", [(2, "l2"), (3, "l1"), (16, "l2")])
+def test_neighbours_by_blocks(spark, dims, metric):
+    """Small leaves and blocks, so that all levels and many block pairs are met; few queries, so that some tasks have none."""
+    rng = np.random.default_rng(dims)
+    x = np.concatenate([rng.normal(0, 1, (500, dims)), rng.normal(8, 0.1, (200, dims))]).round(3)
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    for few, same in ((d, True), (d.where("id % 50 = 0"), False)):
+        got = knn(d, few, 4, same=same, metric=metric, leaf=16, chunk=90).collect()
+        by = {}
+        for r in got:
+            by.setdefault(r.qid, []).append((r.place, r.nid))
+        for q, found in by.items():
+            far = distances(x[q][None], x, metric)[0]
+            order = [i for i in np.lexsort((np.arange(len(x)), far)) if not same or i != q][:4]
+            assert [i for _, i in sorted(found)] == order
+        assert len(by) == few.count()
