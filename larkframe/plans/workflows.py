@@ -27,7 +27,12 @@ RIDGES = [{"config": f"{v:g}", "penalty": v} for v in LAMS]
 
 
 def folds(t, v: int = 5) -> DataFrame:
-    return materialized(rs.vfold(t.reg, ["key"], v))
+    return rs.vfold(t.reg, ["key"], v)
+
+
+def fold_rows(t, v: int = 5) -> DataFrame:
+    """What fits on Spark need of the folds, written once for all of them."""
+    return materialized(folds(t, v).select("fold", "y", *XS))
 
 
 FOLD_SQL = REG_SQL + ", fd AS (SELECT *, ntile(5) OVER (ORDER BY md5(concat_ws('-', key, 'fold')), key)::int AS fold FROM reg)"
@@ -123,7 +128,7 @@ def wf_last_fit(t):
 
 @query("wf_compare_models")
 def wf_compare_models(t):
-    d = folds(t, 3)
+    d = fold_rows(t, 3)
     fits = {"tree": lambda tr: (lambda m: lambda df: md.predict(m, df))(md.tree_reg(tr, "y", XS, 5)),
             "forest": lambda tr: (lambda m: lambda df: md.predict(m, df))(md.forest_reg(tr, "y", XS, trees=10, depth=5))}
     both = ln.cv_metrics(d, "fold", "y", XS, RIDGES[:2]).select("config", "fold", "metric", "estimate").unionByName(tn.fit_resamples(d, "fold", "y", fits))
@@ -212,7 +217,7 @@ def tune_grid_regular(t):
 @query("tune_grid_random")
 def tune_grid_random(t):
     """Random tree settings; every candidate and fold is a Spark fit, several at a time."""
-    d = folds(t, 3)
+    d = fold_rows(t, 3)
     grid = tn.grid_random(4, 21, depth=(2, 6), min_n=(1, 40))
     fits = {c["config"]: (lambda tr, c=c: (lambda m: lambda df: md.predict(m, df))(md.tree_reg(tr, "y", XS, c["depth"], c["min_n"]))) for c in grid}
     res = ln.collect_metrics(tn.fit_resamples(d, "fold", "y", fits)).where(col("metric") == "rmse")
@@ -241,7 +246,7 @@ def tune_select(t):
 @query("tune_bayes")
 def tune_bayes(t):
     """Forest settings by expected improvement: 5 random points, up to 10 more, two at a time; every point and fold is a Spark fit."""
-    d = folds(t, 3)
+    d = fold_rows(t, 3)
     points = [{"mtry": m, "min_n": n} for m in range(1, len(XS) + 1) for n in range(5, 31)]
 
     def fit(i, train):
@@ -276,7 +281,7 @@ def tune_race_trees(t):
         model = md.tree_reg(train, "y", XS, by[name]["depth"], by[name]["min_n"])
         return lambda df: md.predict(model, df)
 
-    rows, fits = se.race(se.fold_fits(folds(t), "fold", "y", fit, threads=6), list(by), [1, 2, 3, 4, 5])
+    rows, fits = se.race(se.fold_fits(fold_rows(t), "fold", "y", fit, threads=6), list(by), [1, 2, 3, 4, 5])
     return tn.table(t.spark, [{**by[x["config"]], **x, "mean": round(x["mean"], 4), "fits": fits} for x in rows], f"config string, depth int, min_n int, mean double, {RACE}, fits int")
 
 
@@ -293,7 +298,7 @@ def tune_nested(t):
     """Penalty chosen inside each outer fold, score on its outer rows: one moment table over outer x inner folds."""
     cols = XS + ["y"]
     d = rs.vfold(rs.vfold(t.reg, ["key"], 5, "outer", name="outer_fold"), ["key"], 4, "inner", name="inner_fold")
-    m = collect_moments(materialized(d).withColumn("cell", F.concat_ws("|", "outer_fold", "inner_fold")), cols, "cell")
+    m = collect_moments(d.withColumn("cell", F.concat_ws("|", "outer_fold", "inner_fold")), cols, "cell")
     merge = lambda ms: _merged(list(ms), cols)
     total = merge(m.values())
     rows = []
@@ -326,7 +331,7 @@ def tune_multi_metric(t):
 
 @query("tune_coarse_fine")
 def tune_coarse_fine(t):
-    d = folds(t)
+    d = fold_rows(t)
     coarse = [{"config": f"coarse{i}", "penalty": p, "mixture": 0.0} for i, p in enumerate(tn.log_levels(0.01, 100, 5))]
     a = scored_grid(t, coarse, d)
     best = min(coarse, key=lambda c: np.mean(list(a[c["config"]].values())))
