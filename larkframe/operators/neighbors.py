@@ -45,13 +45,14 @@ def knn(
 
     ``same`` says that both frames hold the same keys and a row is not its own neighbour. Keys are whole numbers or
     text, ``vec`` is an array of doubles. The search runs on distinct vectors, each with its first few keys, so any
-    number of copies of one vector is one point of the search. ``tally`` is given the number of distinct (query, point)
+    number of copies of one vector is one point of the search. Vectors that are null or hold null or NaN are at no distance from any. ``tally`` is given the number of distinct (query, point)
     pairs in visited leaves and of all pairs.
     """
     shared_folder(points.sparkSession)
     need = k + 1 if same else k
-    pts = points.select(F.col(key).alias("nid"), F.col(vec).alias("pv"))
-    qs = queries.select(F.col(key).alias("qid"), F.col(vec).alias("qv"))
+    whole = ~F.exists(vec, lambda x: x.isNull() | F.isnan(x))  # null for no vector
+    pts = points.where(whole).select(F.col(key).alias("nid"), F.col(vec).alias("pv"))
+    qs = queries.where(whole).select(F.col(key).alias("qid"), F.col(vec).alias("qv"))
     first = Window.partitionBy("pv").orderBy("nid")  # the row limit is applied before the shuffle too
     keys = pts.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= need).drop("_r").checkpoint()
     reps = keys.groupBy("pv").agg(F.min("nid").alias("nid"))
@@ -291,7 +292,7 @@ def _search(pts: DataFrame, qs: DataFrame, need: int, metric: str, leaf: int, ch
         for k in range(0, len(q), 4 * LEAF):
             s = slice(k, k + 4 * LEAF)
             qv, bound, own, qid = _matrix(q["qv"].iloc[s]), q["bound"].to_numpy()[s], q["own"].to_numpy()[s], q["qid"].to_numpy()[s]
-            reach = (distances(qv, centre, metric) - radius) * (1 - 1e-12) - 1e-12
+            reach = np.where(np.isfinite(radius), (distances(qv, centre, metric) - radius) * (1 - 1e-12) - 1e-12, -np.inf)
             near = (reach <= bound[:, None]) & (own[:, None] != names[None, :])
             got = [(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))]
             for leaf_no in np.flatnonzero(near.any(axis=0)):
