@@ -4,9 +4,11 @@ Every word gets a score per language from its affixes, its character n-grams and
 neighbouring words, and forward-backward gives each word its posterior over the languages, so that a text that switches
 language is labelled part by part. A document's language is the one with the largest sum of word posteriors.
 
-Training: the words of a labelled document carry its label. The sample is bounded by ``rows_per_label`` documents a language,
-chosen by hash order, those of at most ``train_chars`` characters first, and so many characters of longer ones; everything
-else sees all rows and whole texts.
+Training: the words of a labelled document carry its label. All labelled documents outside the held-out fold are learned from, whole
+texts. They are dealt by hash to shards of some SHARD_CHARS characters; every shard climbs its conditional likelihood by Adagrad, a step
+per slice, at least once through all its texts and at least STEPS steps, and the weights of the shards are averaged by how often
+each shard has met the feature. Sums are of fixed-point numbers, so the model depends on the rows only. A word is in a shard's lexicon when
+seen five times there. Only where ``train`` is given ``rows_per_label`` it fits a sample of so many documents a language.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; ties go to the alphabetically first language;
 without any labelled row every text is ``und``; repeated rows are predicted row by row; other columns are not looked at.
@@ -14,6 +16,7 @@ without any labelled row every text is ``und``; repeated rows are predicted row
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,8 +24,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkframe.llm.common import release, slices
+from larkframe.llm.common import lean, release, slices, written
 from larkframe.llm.registry import query, table
+from larkframe.operators.quantiles import quantiles
 
 UND = "und"
 BITS = 18  # hashed n-gram features
@@ -30,6 +34,10 @@ CHUNK = 128  # words per block of the blocked forward and backward passes
 RESCALE = 8  # steps between two rescalings
 SLICE_CHARS = 1 << 19
 LEXICON = 1 << 16  # slots; the most frequent word of a slot has it
+SHARD_CHARS = 1 << 23
+STEPS = 12  # at least, for every shard
+SEEN = 5
+FIXED = 1 << 20  # weights are averaged as whole numbers of this fraction
 _MUL = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint32)
 
 
@@ -174,56 +182,154 @@ def forward_backward(scores: np.ndarray, new: np.ndarray, trans: np.ndarray, sta
     return in_order(post), in_order(alpha), e, in_order(beta), t
 
 
-def fit(texts: list[str], langs: list[str], epochs: int = 12, step: float = 0.5, ridge: float = 1e-6, seen: int = 5) -> Model:
-    """Maximise the conditional likelihood of the words' labels by full-batch Adagrad."""
-    labels = sorted(set(langs))
+def unlearned(labels: list[str]) -> Model:
     m = len(labels)
-    codes, first, length, per_text = words_of(texts)
-    model = Model(labels, np.zeros((1 << BITS, m)), np.zeros(LEXICON, dtype=np.uint32), np.zeros((LEXICON, m)), np.zeros((m, m)), np.zeros(m))
-    if not len(first):
-        return model
-    prefix, suffix, word = affixes(codes, first, length)
-    three = grams(codes)
-    inside_word = codes != 32
-    hashes, often = np.unique(word, return_counts=True)
+    return Model(labels, np.zeros((1 << BITS, m)), np.zeros(LEXICON, dtype=np.uint32), np.zeros((LEXICON, m)), np.zeros((m, m)), np.zeros(m))
+
+
+def fill_lexicon(model: Model, hashes: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Give every slot to its most frequent word; which of the words stand in the lexicon."""
     rank = np.lexsort((hashes, often))  # the last write to a slot stays
-    rank = rank[often[rank] >= seen]
     model.lexicon[hashes[rank] & np.uint32(LEXICON - 1)] = hashes[rank]
+    return model.lexicon[hashes & np.uint32(LEXICON - 1)] == hashes
+
+
+def slopes(model: Model, words: tuple, langs: np.ndarray) -> dict[str, np.ndarray]:
+    """Gradient of the log-likelihood of the words' labels; ``words`` as from ``words_of``, one label number per text."""
+    codes, first, length, per_text = words
+    m = len(model.labels)
+    prefix, suffix, word = affixes(codes, first, length)
+    three = grams(codes)[codes != 32]
     slot = (word & np.uint32(LEXICON - 1)).astype(np.intp)
     has = model.lexicon[slot] == word
-    gold = np.repeat(np.searchsorted(labels, langs), per_text)
+    gold = np.repeat(langs, per_text)
     new = np.zeros(len(first), dtype=bool)
     new[(np.cumsum(per_text) - per_text)[per_text > 0]] = True
-    onehot = np.eye(m)[gold]
-    n = len(first)
-    g2 = {}
-
-    def move(name: str, grad: np.ndarray) -> None:
-        w = getattr(model, name)
-        grad = grad / n - ridge * w
-        g2[name] = g2.get(name, 1e-10) + grad * grad
-        w += step * grad / np.sqrt(g2[name])
-
-    for _ in range(epochs):
-        scores = emissions(model, codes, first, length)
-        post, alpha, e, beta, t = forward_backward(scores, new, model.trans, model.start)
-        miss = onehot - post
-        inside = ~new[1:]
-        pair = alpha[:-1][inside][:, :, None] * t[None] * (e[1:] * beta[1:])[inside][:, None, :]
-        pair /= np.maximum(pair.sum(axis=(1, 2), keepdims=True), 1e-300)
-        true = np.zeros((m, m))
-        np.add.at(true, (gold[:-1][inside], gold[1:][inside]), 1.0)
-        spread = np.repeat(miss, length, axis=0)
-        move("ngrams", np.stack([
-            np.bincount(three[inside_word], spread[:, j], 1 << BITS) + np.bincount(prefix, miss[:, j], 1 << BITS) + np.bincount(suffix, miss[:, j], 1 << BITS)
-            for j in range(m)], axis=1))
-        move("lexicon_scores", np.stack([np.bincount(slot[has], miss[has, j], LEXICON) for j in range(m)], axis=1))
-        move("trans", true - pair.sum(axis=0))
-        move("start", miss[new].sum(axis=0))
+    post, alpha, e, beta, t = forward_backward(emissions(model, codes, first, length), new, model.trans, model.start)
+    miss = np.eye(m)[gold] - post
+    inside = ~new[1:]
+    left, right = alpha[:-1][inside], (e[1:] * beta[1:])[inside]
+    pairs = left.T @ (right / np.maximum(((left @ t) * right).sum(axis=1), 1e-300)[:, None]) * t
+    true = np.bincount(gold[:-1][inside] * m + gold[1:][inside], minlength=m * m).reshape(m, m)
+    return {
+        "ngrams": np.stack([
+            np.bincount(np.concatenate([three, prefix, suffix]), np.concatenate([np.repeat(miss[:, j], length), miss[:, j], miss[:, j]]), 1 << BITS)
+            for j in range(m)], axis=1),
+        "lexicon_scores": np.stack([np.bincount(slot[has], miss[has, j], LEXICON) for j in range(m)], axis=1),
+        "trans": true - pairs, "start": miss[new].sum(axis=0)}
+
+
+def climb(model: Model, parts: Callable[[], Iterable], passes: int, step: float = 0.5, ridge: float = 1e-6) -> None:
+    """Raise the conditional likelihood by Adagrad, a step for every one of ``parts`` (words, label numbers) in every pass."""
+    g2: dict[str, np.ndarray] = {}
+    for _ in range(passes):
+        for words, langs in parts():
+            if not len(words[1]):
+                continue
+            for name, grad in slopes(model, words, langs).items():
+                w = getattr(model, name)
+                grad = grad / len(words[1]) - ridge * w
+                g2[name] = g2.get(name, 1e-10) + grad * grad
+                w += step * grad / np.sqrt(g2[name])
+
+
+def fit(texts: list[str], langs: list[str], epochs: int = STEPS, step: float = 0.5, ridge: float = 1e-6, seen: int = SEEN) -> Model:
+    """Maximise the conditional likelihood of the words' labels by full-batch Adagrad."""
+    model = unlearned(sorted(set(langs)))
+    words = words_of(texts)
+    if len(words[1]):
+        hashes, often = np.unique(affixes(*words[:3])[2], return_counts=True)
+        fill_lexicon(model, hashes[often >= seen], often[often >= seen])
+        gold = np.searchsorted(model.labels, langs)
+        climb(model, lambda: [(words, gold)], epochs, step, ridge)
     model.ngrams = model.ngrams.astype(np.float32)
     return model
 
 
+def learn_shard(texts: list[str], langs: list[str], labels: list[str]) -> pd.DataFrame:
+    """What one shard learned: (kind, id, c, w0.., g0..) with c the times met, w the weights times c, g the three-grams by label.
+
+    kind is 0 for an n-gram, 1 for a word (id is its hash), 2 for transitions from label id, 3 for the start.
+    """
+    model, m = unlearned(labels), len(labels)
+    gold = np.searchsorted(labels, langs)
+    parts = list(slices([len(t) for t in texts], SLICE_CHARS))
+    met, three_of = np.zeros(1 << BITS, dtype=np.int64), np.zeros((m, 1 << BITS), dtype=np.int64)
+    hashes, often, filled, n = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), 0, 0
+    for part in parts:
+        codes, first, length, per_text = words_of(texts[part])
+        if not len(first):
+            continue
+        prefix, suffix, word = affixes(codes, first, length)
+        three, own = grams(codes)[codes != 32], np.repeat(gold[part], per_text)
+        by_label = np.bincount(np.repeat(own, length) * (1 << BITS) + three, minlength=m << BITS).reshape(m, -1)
+        three_of += by_label
+        met += by_label.sum(axis=0) + np.bincount(prefix, minlength=1 << BITS) + np.bincount(suffix, minlength=1 << BITS)
+        here, times = np.unique(word, return_counts=True)
+        hashes, back = np.unique(np.concatenate([hashes, here]), return_inverse=True)
+        often = np.bincount(back, np.concatenate([often, times])).astype(np.int64)
+        filled, n = filled + 1, n + len(first)
+    if not n:
+        return pd.DataFrame()
+    hashes, often = hashes[often >= SEEN], often[often >= SEEN]
+    has = fill_lexicon(model, hashes, often)
+    hashes, often = hashes[has], often[has]
+    climb(model, lambda: ((words_of(texts[p]), gold[p]) for p in parts), -(-STEPS // filled))
+    at = np.flatnonzero(met)
+    ids = np.concatenate([at, hashes.astype(np.int64), np.arange(m), [0]])
+    c = np.concatenate([met[at], often, np.full(m + 1, n)])
+    w = np.concatenate([model.ngrams[at], model.lexicon_scores[hashes & np.uint32(LEXICON - 1)], model.trans, model.start[None]])
+    w = np.rint(w * FIXED).astype(np.int64) * c[:, None]
+    g = np.zeros((len(ids), m), dtype=np.int64)
+    g[: len(at)] = three_of[:, at].T
+    kind = np.repeat([0, 1, 2, 3], [len(at), len(hashes), m, 1])
+    return pd.DataFrame({"kind": kind, "id": ids, "c": c, **{f"w{j}": w[:, j] for j in range(m)}, **{f"g{j}": g[:, j] for j in range(m)}})
+
+
+def labelled_docs(docs: DataFrame) -> DataFrame:
+    key = F.xxhash64("doc_id", "lang", "text")
+    rows = docs.select("doc_id", "text", "lang", key.alias("key"))
+    return rows.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
+
+
+def learned(docs: DataFrame, max_labels: int, folds: int, held_out: int) -> tuple[Model | None, np.ndarray | None]:
+    """The model of all labelled documents outside the held-out fold, and how often each language has each three-gram.
+
+    Rows that repeat are one. More than ``max_labels`` languages are an error.
+    """
+    rows = labelled_docs(docs).where(fold(folds) != held_out)
+    size = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.length("text").cast("long"))).limit(max_labels + 1).collect()}
+    if len(size) > max_labels:
+        raise ValueError(f"more than {max_labels} languages")
+    if not size:
+        return None, None
+    labels, m = sorted(size), len(size)
+    shards = -(-sum(size.values()) // SHARD_CHARS)
+    names = [f"{x}{j}" for x in "wg" for j in range(m)]
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates(["doc_id", "lang", "text"]).sort_values(["key", "doc_id"])
+        got = learn_shard(group["text"].tolist(), group["lang"].tolist(), labels)
+        release()
+        return got
+
+    shard = rows.select(F.pmod("key", F.lit(shards)).alias("shard"), "key", "doc_id", "lang", "text")
+    got = shard.groupBy("shard").applyInPandas(run, ", ".join(["kind int", "id long", "c long", *[f"{x} long" for x in names]]))
+    table = got.groupBy("kind", "id").agg(F.sum("c").alias("c"), *[F.sum(x).alias(x) for x in names]).toArrow().to_pandas().sort_values(["kind", "id"])
+    model, seen = unlearned(labels), np.zeros((1 << BITS, m))
+    kind, ids, c = (table[x].to_numpy() for x in ("kind", "id", "c"))
+    w = table[names[:m]].to_numpy() / FIXED / c[:, None]
+    model.ngrams = model.ngrams.astype(np.float32)
+    model.ngrams[ids[kind == 0]] = w[kind == 0]
+    seen[ids[kind == 0]] = table[names[m:]].to_numpy()[kind == 0]
+    words = ids[kind == 1].astype(np.uint32)
+    has = fill_lexicon(model, words, c[kind == 1])
+    model.lexicon_scores[words[has] & np.uint32(LEXICON - 1)] = w[kind == 1][has]
+    if len(table):
+        model.trans, model.start = w[kind == 2], w[kind == 3][0]
+    return model, seen
+
+
 def sampled(
     docs: DataFrame, rows_per_label: int, train_chars: int, max_labels: int, folds: int, held_out: int, calibrate: bool,
 ) -> tuple[list[tuple], list[tuple]]:
@@ -255,9 +361,11 @@ def sampled(
 
 
 def train(
-    docs: DataFrame, rows_per_label: int = 150, train_chars: int = 5_000, max_labels: int = 256, folds: int = 3, held_out: int = 1,
+    docs: DataFrame, rows_per_label: int | None = None, train_chars: int = 5_000, max_labels: int = 256, folds: int = 3, held_out: int = 1,
 ) -> Model | None:
-    """Fit on labelled documents outside the held-out fold; None without any."""
+    """Fit on all labelled documents outside the held-out fold, or on a sample of so many a language; None without any."""
+    if rows_per_label is None:
+        return learned(docs, max_labels, folds, held_out)[0]
     rows, _ = sampled(docs, rows_per_label, train_chars, max_labels, folds, held_out, False)
     return fit([r[1] for r in rows], [r[2] for r in rows]) if rows else None
 
@@ -336,7 +444,35 @@ class Background:
     spread: float  # deviation of one three-gram's log share in its own language
 
 
-def background(texts: list[str], langs: list[str], held_texts: list[str], held_langs: list[str], labels: list[str]) -> Background:
+def shares(seen: np.ndarray) -> np.ndarray:
+    """Log share of each three-gram in each language."""
+    kinds = np.count_nonzero(seen.any(axis=1)) + 1
+    return np.log((seen + 0.5) / (seen.sum(axis=0) + 0.5 * kinds))
+
+
+def mean_shares(held: DataFrame, share: np.ndarray, labels: list[str]) -> DataFrame:
+    """(label, own, mean): per document and language the mean log share of its three-grams, and whether that is its own language."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices([len(t) for t in batch["text"]], SLICE_CHARS):
+                here = batch.iloc[part]
+                codes, first, length, per_text = words_of(here["text"].tolist())
+                if not len(first):
+                    continue
+                has = np.flatnonzero(per_text)
+                begins = (np.cumsum(per_text) - per_text)[has]
+                by_word = gathered(share[grams(codes)], first, length)
+                mean = np.add.reduceat(by_word, begins, axis=0) / np.add.reduceat(length, begins)[:, None]
+                keys, langs = here["key"].to_numpy()[has], here["lang"].to_numpy()[has]
+                for j, label in enumerate(labels):
+                    yield pd.DataFrame({"key": keys, "label": j, "own": langs == label, "mean": mean[:, j]})
+
+    rows = held.select("key", "lang", "text").mapInPandas(lean(run), "key long, label int, own boolean, mean double")
+    return rows.dropDuplicates(["key", "label"]).drop("key")
+
+
+def background(held: DataFrame, seen: np.ndarray, labels: list[str]) -> Background:
     """Log shares of three-grams from the training texts, and each language's bar from the held-out ones.
 
     The bar of a language lies halfway between the mean log shares of its own held-out texts (the low end, without the last
@@ -344,24 +480,14 @@ def background(texts: list[str], langs: list[str], held_texts: list[str], held_l
     the low end of its own. A single language has the share of a three-gram never seen as the other end. Without a held-out
     text nothing is known of a language, and it rejects nothing.
     """
-    seen = np.zeros((1 << BITS, len(labels)))
-    for j, label in enumerate(labels):
-        codes = words_of([t for t, x in zip(texts, langs) if x == label])[0]
-        seen[:, j] = np.bincount(grams(codes)[codes != 32], minlength=1 << BITS)
-    kinds = np.count_nonzero(seen.any(axis=1)) + 1
-    share = np.log((seen + 0.5) / (seen.sum(axis=0) + 0.5 * kinds))
-    codes, first, length, per_text = words_of(held_texts)
-    by_word = gathered(share[grams(codes)], first, length) if len(first) else np.zeros((0, len(labels)))
-    total, ends = np.concatenate([np.zeros((1, len(labels))), np.cumsum(by_word, axis=0)]), np.cumsum(per_text)
-    letters = np.concatenate([[0], np.cumsum(length)])
-    n = letters[ends] - letters[ends - per_text]
-    mean = (total[ends] - total[ends - per_text]) / np.maximum(n, 1)[:, None]
-    lang, bars, spread = np.array(held_langs), np.full(len(labels), -np.inf), 0.0
-    for j, label in enumerate(labels):
-        own, other = mean[(lang == label) & (n > 0), j], mean[(lang != label) & (n > 0), j]
-        if len(own):
-            low = np.quantile(own, 0.02)
-            bars[j] = min(low, (low + (np.quantile(other, 0.98) if len(other) else share[:, j].min())) / 2)
+    share = shares(seen)
+    rows = written(mean_shares(held, share, labels), "language-means")
+    ends = {(r["label"], r["own"]): r for r in quantiles(rows, ["label", "own"], "mean", {"low": 0.02, "high": 0.98}).collect()}
+    bars, spread = np.full(len(labels), -np.inf), 0.0
+    for j in range(len(labels)):
+        if (j, True) in ends:
+            low = ends[j, True]["low"]
+            bars[j] = min(low, (low + (ends[j, False]["high"] if (j, False) in ends else share[:, j].min())) / 2)
             own_share = seen[:, j] / seen[:, j].sum()
             spread = max(spread, float(np.sqrt(own_share @ (share[:, j] - own_share @ share[:, j]) ** 2)))
     return Background(np.where(np.isfinite(bars), share - bars, 0).astype(np.float32), spread)
@@ -388,15 +514,12 @@ def known(model: Model, back: Background, texts: list[str | None], allow: float
     return out
 
 
-def keep_identified(
-    docs: DataFrame, rows_per_label: int = 150, train_chars: int = 5_000, max_labels: int = 256, folds: int = 3, held_out: int = 1,
-) -> DataFrame:
+def keep_identified(docs: DataFrame, max_labels: int = 256, folds: int = 3, held_out: int = 1) -> DataFrame:
     """Documents in the learned languages, by a bar that the labelled documents of the held-out fold set; the columns stay."""
-    rows, held = sampled(docs, rows_per_label, train_chars, max_labels, folds, held_out, True)
-    if not rows:
+    model, seen = learned(docs, max_labels, folds, held_out)
+    if model is None:
         return docs.where(F.lit(False))
-    model = fit([r[1] for r in rows], [r[2] for r in rows])
-    back = background([r[1] for r in rows], [r[2] for r in rows], [r[1] for r in held], [r[2] for r in held], model.labels)
+    back = background(labelled_docs(docs).where(fold(folds) == held_out), seen, model.labels)
 
     @F.pandas_udf("boolean")
     def keep(text: pd.Series) -> pd.Series:

@@ -510,6 +510,34 @@ def test_language_of_long_or_repeated_documents_is_learned(spark):
     assert "fr" in m.train(table, rows_per_label=20, train_chars=500).labels
 
 
+def test_whole_texts_of_all_labelled_documents_are_learned(spark):
+    from larkframe.llm import language_crf as m
+
+    same = "tano miru seko lavi podu " * 300  # over 5,000 characters that tell nothing
+    docs = [(i, same + "plonk skree drumb " * 30, "aa") for i in range(12)] + [(100 + i, same + "quix wozzle brimp " * 30, "zz") for i in range(12)]
+    docs += [(200 + i, "12 34", "no") for i in range(5)] + [(300 + i, f"tano miru {'abcdefghij'[i % 10] * 3}", "aa") for i in range(200)]
+    docs += [(1_000, "fjord gnyx vlad " * 20, "zz")] * 3 + [(1_001 + i, "fjord gnyx vlad " * 20, "zz") for i in range(5)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    models = [m.train(table.repartition(n)) for n in (1, 5)]
+    assert m.judge(models[0], ["quix wozzle brimp", "fjord gnyx", "skree drumb plonk"])[0] == ["zz", "zz", "aa"]
+    assert all(np.array_equal(getattr(models[0], x), getattr(models[1], x)) for x in ("ngrams", "lexicon", "lexicon_scores", "trans", "start"))
+    model, seen = m.learned(table, 256, 3, 1)
+    rows = {r for r in docs if zlib.crc32(str(r[0]).encode()) % 3 != 1}
+    assert model.labels == ["aa", "no", "zz"]
+    assert seen.sum(axis=0).tolist() == [sum(sum(map(str.isalpha, t)) for _, t, x in rows if x == lang) for lang in model.labels]
+
+
+def test_shards_learn_together(spark, monkeypatch):
+    from larkframe.llm import language_crf as m
+
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    monkeypatch.setattr(m, "SHARD_CHARS", 1 << 16)
+    got = m.identify(given, m.train(given)).where(m.fold() == 1)
+    assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.95
+    means = m.mean_shares(m.labelled_docs(given.unionByName(given)), np.zeros((1 << m.BITS, 2)), ["de", "en"])
+    assert means.where("own").count() == given.where("lang in ('de', 'en') and text rlike '[A-Za-z]'").select("doc_id", "text", "lang").distinct().count()
+
+
 def test_texts_of_unlearned_languages_go(spark):
     from larkframe.llm import language_crf as m
 
