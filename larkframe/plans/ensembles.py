@@ -5,6 +5,7 @@ import numpy as np
 from larkframe.learning import metrics as mt
 from larkframe.learning import models as md
 from larkframe.learning import resample as rs
+from larkframe.operators.hashing import hash_positions
 from larkframe.operators.moments import collect_moments, fit_ols, solve
 from larkframe.operators.quantiles import quantiles
 from larkframe.plans.base import *
@@ -178,9 +179,12 @@ f AS (SELECT rep, regr_slope(y, x1) AS b, regr_intercept(y, x1) AS a FROM dr JOI
 SELECT round((SELECT sqrt(avg((y - mean_pred) ** 2)) FROM s), 4) AS rmse_of_mean, round((SELECT avg(rmse) FROM e), 4) AS mean_rmse, (SELECT count(*) FROM e) AS models""")
 def ens_bootstrap_models(t):
     d = materialized(t.reg.select("key", "x1", "y"))
-    b = rs.bootstraps(d, ["key"], 5).join(d, "key")
-    w, x, y = col("times"), col("x1"), col("y")
-    s = b.groupBy("rep").agg(F.sum(w).alias("n"), F.sum(w * x).alias("sx"), F.sum(w * y).alias("sy"), F.sum(w * x * x).alias("sxx"), F.sum(w * x * y).alias("sxy")).collect()  # one row per replicate
+    x, y = col("x1"), col("y")
+    # a drawn key stands for all rows that have it; the sums over these lie beside every row, so that keys are not joined
+    alike = {"n": F.count(F.lit(1)), "sx": F.sum(x), "sy": F.sum(y), "sxx": F.sum(x * x), "sxy": F.sum(x * y)}
+    placed = hash_positions(d, ["key"], "boot", None, "_pos", "_n", alike=alike).where(col("key").isNotNull()).select("_pos", *alike)
+    b = rs.drawn(t.spark, d.count(), 5).join(placed, "_pos").select(F.posexplode("draws").alias("rep", "w"), *alike).where("w > 0")
+    s = b.groupBy("rep").agg(*[F.sum(col("w") * col(c)).alias(c) for c in alike]).collect()  # one row per replicate
     fits = []
     for v in s:
         slope = (v["sxy"] - v["sx"] * v["sy"] / v["n"]) / (v["sxx"] - v["sx"] ** 2 / v["n"])
