@@ -13,7 +13,7 @@ are not looked at. Sequence numbers hold the task's number and are unique, not d
 
 from __future__ import annotations
 
-from contextlib import closing
+from contextlib import closing, nullcontext
 
 import numpy as np
 import pandas as pd
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from larkframe.llm.common import lean
 from larkframe.llm.registry import query, table
-from larkframe.llm.tokens import CACHE, ByteLevelEncoder, description_of
+from larkframe.llm.tokens import CACHE, ByteLevelEncoder, byte_encoder, description_of
 
 LENGTH = 2048
 OPEN = 1024
@@ -71,15 +71,18 @@ def pieces_of(n: int, size: int = LENGTH) -> list[tuple[int, int]]:
     return [(0, first), *((s, size) for s in range(first, n, size))]
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 0, size: int = LENGTH, most_open: int = OPEN, cache: int = CACHE) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), sequence_id, offset."""
+def pack(docs: DataFrame, path: str, end_id: int = 0, size: int = LENGTH, most_open: int = OPEN, cache: int = CACHE, keep: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), sequence_id, offset.
+
+    With ``keep`` a Python worker's caches stay warm from task to task; without it they are given back when a task ends.
+    """
     description = description_of(path)
 
     @lean
     def run(batches):
         bins = Bins(size, most_open, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], dtype="<u4").tobytes()
-        with closing(ByteLevelEncoder(description, cache=cache)) as encoder:
+        with nullcontext(byte_encoder(description, cache)) if keep else closing(ByteLevelEncoder(description, cache=cache)) as encoder:
             for batch in batches:
                 rows = []
                 for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -105,5 +108,5 @@ def sequences(packed: DataFrame) -> DataFrame:
 def op6(spark, sf_dir):
     import public_tokenizers
 
-    got = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    got = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep=True)
     return got.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")

@@ -412,6 +412,19 @@ def test_automaton_equals_merging_on_random_words():
         assert np.frombuffer(lower.encode(text), "<u4").tolist() == word_tok.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_plain_texts_are_cut_as_the_library_does_and_each_word_is_kept_once():
+    from larkframe.llm.tokens import ByteLevelEncoder, byte_encoder, description_of
+
+    encoder, tok = ByteLevelEncoder(description_of(BYTE)), Tokenizer.from_file(BYTE)
+    assert np.frombuffer(encoder.encode("an old, old man\nan old man"), "<u4").tolist() == tok.encode("an old, old man\nan old man").ids
+    kept = [w for c in (encoder.plain, encoder.words, encoder.after_blank, encoder.exact) for w in c]
+    assert len(kept) == len({"an", " old", ",", " man", "\n"})
+    for c in map(chr, range(0x250)):
+        for text in (c, f"a{c}b", f" {c} {c}{c}1", f"\n{c}'s  {c}'ll.{c}"):
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
+    assert byte_encoder(description_of(BYTE)) is byte_encoder(description_of(BYTE))
+
+
 # 7 ------------------------------------------------------------------------------------------------------------------
 
 def shingle_bag(text):
