@@ -31,6 +31,7 @@ SLOTS = 96
 ROWS = 4  # slots per band: a pair at 0.8 is missed by all 24 bands once in 300,000
 SLICE_CHARS = 1 << 19
 BLOCK = 512
+DOCS_A_TASK = 10_000  # of tables of a few narrow rows per document, so that small inputs do not make hundreds of small files
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -266,15 +267,16 @@ def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, k, node, label, class_id): one row per document row; label is the key of the class, which class_id is not."""
     base = keyed(docs)
     sigs = written(signed(base), "bag-signatures")
+    tasks = 1 + sigs.count() // DOCS_A_TASK
     nodes = written(
         sigs.where("node is not null").groupBy("node").agg(F.min(place()).alias("p"), F.first("sig").alias("sig"), F.min("doc_id").alias("least_id"))
-        .select("node", "p", "sig", "least_id"), "bag-nodes")
+        .select("node", "p", "sig", "least_id"), "bag-nodes", tasks=tasks)
     bands = nodes.select("node", "p", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(SLOTS // ROWS - 1)), lambda b: F.xxhash64(b, F.slice("sig", b * ROWS + 1, ROWS)))).alias("key"))
     first = F.struct("p", "node")
     hubs = bands.groupBy("key").agg(F.min(first).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    hubs = written(hubs.select("key", F.col("hub.node").alias("hub")), "bag-hubs")
-    members = written(bands.join(hubs, "key").select("key", "node", "hub"), "bag-members")
+    hubs = written(hubs.select("key", F.col("hub.node").alias("hub")), "bag-hubs", tasks=tasks)
+    members = written(bands.join(hubs, "key").select("key", "node", "hub"), "bag-members", tasks=tasks)
     some = members.select("node").distinct()
     chosen = nodes.join(some, "node", "left_semi").select("node", "p.doc_id", "p.k")
     texts = base.alias("d").join(chosen.alias("n"), same_doc("d", "n")).select("n.node", "d.text").dropDuplicates(["node"])
@@ -282,14 +284,14 @@ def classes(docs: DataFrame) -> DataFrame:
     pairs = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = written(verified(pairs, of), "bag-links")
     star = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))  # nodes of one star need no more comparison
-    marked = written(members.select("key", "node").join(star, "node", "left").withColumn("label", F.coalesce("label", "node")), "bag-marked")
+    marked = written(members.select("key", "node").join(star, "node", "left").withColumn("label", F.coalesce("label", "node")), "bag-marked", tasks=tasks)
     mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    open_ = written(marked.join(written(mixed, "bag-mixed"), "key"), "bag-open")
+    open_ = written(marked.join(written(mixed, "bag-mixed", tasks=tasks), "key"), "bag-open", tasks=tasks)
     more = across(open_, nodes.select("node", "sig"), of)
     labels = connected(links.unionByName(more))
     named = nodes.select("node", "least_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("least_id").alias("class_id"))
-    named = written(named.join(smallest, "label").select("node", "label", "class_id"), "bag-classes")
+    named = written(named.join(smallest, "label").select("node", "label", "class_id"), "bag-classes", tasks=tasks)
     alone = F.col("node").isNull()
     return sigs.select("doc_id", "k", "node").join(named, "node", "left").select(
         "doc_id", "k", "node", F.when(alone, F.concat_ws("/", F.lit("none"), "doc_id", "k")).otherwise(F.col("label")).alias("label"),

@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 from larkframe.session import new_folder
 
 
-def written(df: DataFrame, name: str, *partition_by: str, dense: bool = False) -> DataFrame:
-    """The rows as a Parquet table in the shared folder, read back: costly steps run once, and a lost executor loses none."""
+def written(df: DataFrame, name: str, *partition_by: str, dense: bool = False, tasks: int | None = None) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read back: costly steps run once, and a lost executor loses none.
+
+    At most ``tasks`` tasks write: a file costs time, and on a local file system a process to set its mode.
+    """
     path = new_folder(df.sparkSession, name)
+    df = df.coalesce(tasks) if tasks else df
     out = df.write.option("compression", "zstd") if dense else df.write
     if partition_by:
         out = out.partitionBy(*partition_by)

@@ -490,6 +490,27 @@ def test_signature_estimates_weighted_jaccard():
     assert abs((sig[0] == sig[1]).mean() - true) < 0.015
 
 
+def test_narrow_tables_of_few_documents_are_few_files(spark, docs, monkeypatch):
+    from larkframe.llm import bag_minhash as m
+
+    files = {}
+
+    def kept(df, name, *more, **options):
+        out = written(df, name, *more, **options)
+        files[name] = len(out.inputFiles())
+        return out
+
+    written = m.written
+    want = {tuple(r) for r in m.near_duplicates(docs).collect()}
+    monkeypatch.setattr(m, "written", kept)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert {tuple(r) for r in m.near_duplicates(docs).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert all(files[f"bag-{x}"] <= 1 for x in ("nodes", "hubs", "members", "marked", "mixed", "open", "classes"))
+
+
 # 8 ------------------------------------------------------------------------------------------------------------------
 
 def test_language(spark, docs, nothing):
