@@ -39,6 +39,7 @@ BLOCK_IDS = 1 << 19
 ROUNDS = 8
 OFTEN = 24  # a pair is replaced when a block has it so many times
 _U4 = "<u4"
+_NO_PAIR = np.uint64((1 << 64) - 1)  # two equal ids are never a pair
 BLOCK_ROW = (
     "shard long, block long, doc_ids array<long>, doc_tokens binary, doc_symbols binary, base long, rounds array<int>, "
     "rules binary, rule_lengths binary, symbols binary"
@@ -59,19 +60,23 @@ def _disjoint(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def compress(ids: np.ndarray, doc_tokens: np.ndarray, rounds: int = ROUNDS, often: int = OFTEN) -> dict:
     """The grammar of one block; ids are unsigned 32-bit numbers."""
-    seq = ids.astype(np.uint32)
+    seq = ids.astype(np.int64)
     base = int(seq.max()) + 1 if len(seq) else 1
-    first = np.zeros(len(seq) + 1, dtype=bool)
-    first[np.concatenate(([0], np.cumsum(doc_tokens)))] = True
-    first = first[: len(seq)]
+    ends = np.cumsum(doc_tokens)  # where documents end, empty ones too
     rules, lengths, sizes = [], np.ones(base, dtype=np.int64), []
+    keys, spare = np.empty((2, len(seq)), dtype=np.int64)  # used in every round: fresh memory costs more than the sums
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        inside = ~first[1:]
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        ordered = np.sort(key[inside])
-        cut = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] ^ np.uint64(1)))
+        key = np.left_shift(seq[:-1], 32, out=keys[: len(seq) - 1])
+        key = np.bitwise_or(key, seq[1:], out=key).view(np.uint64)
+        key[ends[(ends > 0) & (ends < len(seq))] - 1] = _NO_PAIR
+        ordered = spare[: len(key)].view(np.uint64)
+        ordered[:] = key
+        ordered.sort()
+        ordered = ordered[: np.searchsorted(ordered, _NO_PAIR)]
+        cut = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+        cut = np.concatenate(([0], cut)) if len(ordered) else cut
         count = np.diff(np.append(cut, len(ordered)))
         frequent = count >= often
         if not frequent.any():
@@ -80,22 +85,21 @@ def compress(ids: np.ndarray, doc_tokens: np.ndarray, rounds: int = ROUNDS, ofte
         if not len(pairs):
             break
         a, b = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        is_left, is_right = np.zeros(len(lengths), dtype=bool), np.zeros(len(lengths), dtype=bool)
-        is_left[a], is_right[b] = True, True
-        maybe = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]] & inside)
+        sides = np.zeros(len(lengths), dtype=np.uint8)  # 1: left part of a pair, 2: right part; never both
+        sides[a], sides[b] = 1, 2
+        side = sides[seq]
+        maybe = np.flatnonzero((side[:-1] == 1) & (side[1:] == 2))
         at = np.minimum(np.searchsorted(pairs, key[maybe]), len(pairs) - 1)
         hit = pairs[at] == key[maybe]
         maybe, at = maybe[hit], at[hit]
-        seq[maybe] = (len(lengths) + at).astype(np.uint32)
+        seq[maybe] = len(lengths) + at
         keep = np.ones(len(seq), dtype=bool)
         keep[maybe + 1] = False
-        seq, first = seq[keep], first[keep]
+        seq, ends = seq[keep], ends - np.searchsorted(maybe + 1, ends)
         rules.append(np.stack([a, b], axis=1))
         sizes.append(len(pairs))
         lengths = np.concatenate([lengths, lengths[a] + lengths[b]])
-    begins = np.append(np.flatnonzero(first), len(seq))
-    full = np.zeros(len(doc_tokens), dtype=np.int64)
-    full[doc_tokens > 0] = np.diff(begins)
+    full = np.diff(ends, prepend=0)
     return {
         "doc_tokens": doc_tokens.astype(_U4).tobytes(), "doc_symbols": full.astype(_U4).tobytes(), "base": base, "rounds": sizes,
         "rules": (np.concatenate(rules) if rules else np.zeros((0, 2))).astype(_U4).tobytes(),
@@ -117,6 +121,24 @@ def expand(block: dict, symbols: np.ndarray) -> np.ndarray:
     return symbols
 
 
+def expand_all(block: dict, at_once: int = 1 << 14) -> np.ndarray:
+    """The ids of a whole block: every rule is expanded once, and its ids are copied to where its symbol stands, ``at_once`` symbols at a time."""
+    symbols = np.frombuffer(block["symbols"], _U4)
+    lengths = np.frombuffer(block["rule_lengths"], _U4).astype(np.int64)
+    under = expand(block, np.arange(block["base"], block["base"] + len(lengths), dtype=_U4))
+    begins, out = np.cumsum(lengths) - lengths, [np.zeros(0, dtype=_U4)]
+    for low in range(0, len(symbols), at_once):
+        some = symbols[low : low + at_once]
+        rule = some >= block["base"]
+        at = some[rule].astype(np.int64) - block["base"]
+        each = np.ones(len(some), dtype=np.int64)
+        each[rule] = size = lengths[at]
+        got = np.repeat(some, each)
+        got[np.repeat(rule, each)] = under[np.repeat(begins[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        out.append(got)
+    return np.concatenate(out)
+
+
 def ids_of(block: dict, doc: int, start: int = 0, n: int | None = None) -> np.ndarray:
     """Ids start to start + n of the doc-th document of a block, expanding only the symbols that hold them."""
     ends = np.cumsum(np.frombuffer(block["doc_symbols"], _U4), dtype=np.int64)
@@ -173,7 +195,7 @@ def read_ids(spark: SparkSession, folder: str, columns: dict[str, tuple[str, obj
         for batch in batches:
             for row in batch.to_dict("records"):
                 tokens = np.frombuffer(row["doc_tokens"], _U4).astype(np.int64)
-                ids = expand(row, np.frombuffer(row["symbols"], _U4))
+                ids = expand_all(row)
                 ends = np.cumsum(tokens)
                 frame = pd.DataFrame({
                     "shard": row["shard"], "block": row["block"], "doc_id": pd.Series(list(row["doc_ids"]), dtype="Int64"),

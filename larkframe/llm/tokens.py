@@ -48,8 +48,16 @@ def byte_letters() -> list[str]:
 _LETTERS = {b: c for b, c in enumerate(byte_letters())}
 
 
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(KEPT_LENGTH)]
+
+
 def pack_ids(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACKERS[len(ids)](*ids) if len(ids) < KEPT_LENGTH else struct.pack(f"<{len(ids)}I", *ids)
+
+
+def letters_of(word: str) -> str:
+    """The word's bytes as the vocabulary writes them; ASCII letters stand for themselves."""
+    return word if word.isascii() and word.isalpha() else word.encode("utf-8").decode("latin-1").translate(_LETTERS)
 
 
 class Parts(dict):
@@ -80,7 +88,7 @@ class ByteLevelEncoder:
         self.model, self.split = self.library.model, self.library.pre_tokenizer
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.word = word or self._by_model
-        self.plain = Parts(lambda w: pack_ids(self.word(w.encode("utf-8").decode("latin-1").translate(_LETTERS))), cache)
+        self.plain = Parts(lambda w: pack_ids(self.word(letters_of(w))), cache)
         self.words = Parts(lambda w: pack_ids(self.word(w)), cache)
         self.after_blank = Parts(self._after_blank, cache)
         self.exact = Parts(self._exact, cache)
@@ -124,9 +132,10 @@ class ByteLevelEncoder:
 
 
 class LowerWordEncoder:
-    """Ids under a tokenizer that drops white space: parts between blanks are encoded apart, plain ones without its normaliser."""
+    """Ids under a tokenizer that drops white space: texts and parts between blanks are encoded apart, plain ones without its normaliser."""
 
-    _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall  # fixed value, as in its file
+    # fixed value, as in its file but for the order: words first, as nothing else begins like one
+    _SPLIT = plain_pattern(r"[\p{L}]+|'s|'t|'re|'ve|'m|'ll|'d|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
     def __init__(self, description: str):
         self.library = Tokenizer.from_str(description)
@@ -138,20 +147,23 @@ class LowerWordEncoder:
         self.words = Parts(self._word)
 
     def _word(self, word: str) -> bytes:
-        return pack_ids([t.id for t in self.model.tokenize(word)])
+        return pack_ids([t.id for t in self.model.tokenize(letters_of(word))])
+
+    def _plain(self, text: str) -> bytes | None:
+        """Below U+0250 characters are composed already, and lower-cased alike if that stays below; None for others."""
+        if not (_PLAIN(text) and _PLAIN(low := text.lower())):
+            return None
+        return b"".join(map(self.words.__getitem__, self._SPLIT(low)))
 
     def _part(self, part: str) -> bytes:
-        if not _PLAIN(part) or "\u0130" in part:
-            return pack_ids(self.library.encode(part, add_special_tokens=False).ids)
-        low = part.lower()  # below U+0250 composed already, and lower-cased alike but for U+0130
-        if low.isascii() and low.isalpha():
-            return self.words[low]
-        return b"".join([self.words[w.encode("utf-8").decode("latin-1").translate(_LETTERS)] for w in self._SPLIT(low)])
+        ids = self._plain(part)
+        return pack_ids(self.library.encode(part, add_special_tokens=False).ids) if ids is None else ids
 
     def encode(self, text: str) -> bytes:
         if any(mark in text for mark in self.added) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return pack_ids(self.library.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.parts.__getitem__, text.split()))
+        ids = self._plain(text)
+        return b"".join(map(self.parts.__getitem__, text.split())) if ids is None else ids
 
 
 @lru_cache(maxsize=1)

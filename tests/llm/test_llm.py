@@ -412,6 +412,30 @@ def test_automaton_equals_merging_on_random_words():
         assert np.frombuffer(lower.encode(text), "<u4").tolist() == word_tok.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_blocks_of_ids_are_expanded_whole():
+    from larkframe.llm import repair as m
+
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        sizes = rng.integers(0, 9, rng.integers(1, 30))
+        ids = rng.choice(np.array([0, 1, 2, 3, 2**20], dtype="<u4"), int(sizes.sum()))
+        block = m.compress(ids, sizes, often=2)
+        assert m.expand_all(block).tolist() == m.expand_all(block, at_once=3).tolist() == ids.tolist()
+        ends = np.cumsum(sizes)
+        assert [m.ids_of(block, i).tolist() for i in range(len(sizes))] == [ids[e - n : e].tolist() for e, n in zip(ends, sizes)]
+
+
+def test_lower_words_are_kept_once_and_equal_the_library():
+    from larkframe.llm.tokens import LowerWordEncoder, description_of
+
+    encoder, tok = LowerWordEncoder(description_of(WORD)), Tokenizer.from_file(WORD)
+    encoder.encode("An old, old Man\nan old man's")
+    assert len(encoder.words) + len(encoder.parts) == len({"an", "old", ",", "man", "'s"})
+    for c in map(chr, range(0x250)):
+        for text in (c, f"a{c}b", f" {c} {c}{c}1", f"\n{c}'S  {c}'ll.{c}"):
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_plain_texts_are_cut_as_the_library_does_and_each_word_is_kept_once():
     from larkframe.llm.tokens import ByteLevelEncoder, byte_encoder, description_of
 
