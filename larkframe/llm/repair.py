@@ -39,7 +39,8 @@ BLOCK_IDS = 1 << 19
 ROUNDS = 8
 OFTEN = 24  # a pair is replaced when a block has it so many times
 _U4 = "<u4"
-_NO_PAIR = np.uint64((1 << 64) - 1)  # two equal ids are never a pair
+_HALF, _RIGHT = np.uint64(32), np.uint64(0xFFFFFFFF)  # a pair is one number, its left part in the upper half
+_SPREAD, _BUCKETS = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 18)  # a product's upper 18 bits are the pair's bucket
 BLOCK_ROW = (
     "shard long, block long, doc_ids array<long>, doc_tokens binary, doc_symbols binary, base long, rounds array<int>, "
     "rules binary, rule_lengths binary, symbols binary"
@@ -50,7 +51,7 @@ def _disjoint(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Of the pairs, most frequent first, those whose left part is no chosen right part and the reverse."""
     left, right, chosen = set(), set(), []
     order = np.lexsort((pairs, -counts))
-    for i, (a, b) in zip(order.tolist(), zip((pairs[order] >> np.uint64(32)).tolist(), (pairs[order] & np.uint64(0xFFFFFFFF)).tolist())):
+    for i, (a, b) in zip(order.tolist(), zip((pairs[order] >> _HALF).tolist(), (pairs[order] & _RIGHT).tolist())):
         if a != b and a not in right and b not in left:
             left.add(a)
             right.add(b)
@@ -58,44 +59,64 @@ def _disjoint(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.sort(pairs[chosen])
 
 
+def _bucket(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs * _SPREAD) >> _BUCKETS).view(np.int64)
+
+
+def _places(known: np.ndarray, key: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Where each key stands among the known pairs, which ascend; -1: nowhere. Only pairs that share a bucket are searched for."""
+    holder = np.zeros(1 << 18, dtype=np.int64)
+    holder[_bucket(known)] = np.arange(len(known))
+    place = holder.take(bucket)
+    other = np.flatnonzero(known.take(place) != key)
+    found = np.minimum(np.searchsorted(known, key[other]), len(known) - 1)
+    place[other] = np.where(known[found] == key[other], found, -1)
+    return place
+
+
 def compress(ids: np.ndarray, doc_tokens: np.ndarray, rounds: int = ROUNDS, often: int = OFTEN) -> dict:
-    """The grammar of one block; ids are unsigned 32-bit numbers."""
-    seq = ids.astype(np.int64)
+    """The grammar of one block; ids are unsigned 32-bit numbers.
+
+    A pair that is rare in one round stays rare: replacing only takes places from pairs of older symbols. So a round looks at the
+    pairs that were frequent in the round before and at those with a new symbol."""
+    seq = ids.astype(np.uint64)
     base = int(seq.max()) + 1 if len(seq) else 1
     ends = np.cumsum(doc_tokens)  # where documents end, empty ones too
     rules, lengths, sizes = [], np.ones(base, dtype=np.int64), []
-    keys, spare = np.empty((2, len(seq)), dtype=np.int64)  # used in every round: fresh memory costs more than the sums
+    maybe = np.ones(len(seq), dtype=bool)  # where a frequent pair may begin
     for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        key = np.left_shift(seq[:-1], 32, out=keys[: len(seq) - 1])
-        key = np.bitwise_or(key, seq[1:], out=key).view(np.uint64)
-        key[ends[(ends > 0) & (ends < len(seq))] - 1] = _NO_PAIR
-        ordered = spare[: len(key)].view(np.uint64)
-        ordered[:] = key
-        ordered.sort()
-        ordered = ordered[: np.searchsorted(ordered, _NO_PAIR)]
+        maybe[ends[ends > 0] - 1] = False  # never across documents
+        at = np.flatnonzero(maybe)
+        key = (seq.take(at) << _HALF) | seq.take(at + 1)
+        bucket = _bucket(key)
+        full = np.flatnonzero((np.bincount(bucket) >= often).take(bucket))  # a frequent pair fills its bucket: others need no sorting
+        at, key, bucket = at.take(full), key.take(full), bucket.take(full)
+        ordered = np.sort(key)
         cut = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
         cut = np.concatenate(([0], cut)) if len(ordered) else cut
         count = np.diff(np.append(cut, len(ordered)))
         frequent = count >= often
         if not frequent.any():
             break
-        pairs = _disjoint(ordered[cut[frequent]], count[frequent])
+        known = ordered[cut[frequent]]
+        pairs = _disjoint(known, count[frequent])
         if not len(pairs):
             break
-        a, b = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        sides = np.zeros(len(lengths), dtype=np.uint8)  # 1: left part of a pair, 2: right part; never both
-        sides[a], sides[b] = 1, 2
-        side = sides[seq]
-        maybe = np.flatnonzero((side[:-1] == 1) & (side[1:] == 2))
-        at = np.minimum(np.searchsorted(pairs, key[maybe]), len(pairs) - 1)
-        hit = pairs[at] == key[maybe]
-        maybe, at = maybe[hit], at[hit]
-        seq[maybe] = len(lengths) + at
-        keep = np.ones(len(seq), dtype=bool)
-        keep[maybe + 1] = False
-        seq, ends = seq[keep], ends - np.searchsorted(maybe + 1, ends)
+        a, b = (pairs >> _HALF).astype(np.int64), (pairs & _RIGHT).astype(np.int64)
+        place = _places(known, key, bucket)
+        hit = np.flatnonzero(place >= 0)
+        at, place = at.take(hit), place.take(hit)
+        rule = np.full(len(known), -1)
+        rule[np.searchsorted(known, pairs)] = np.arange(len(pairs))
+        rule = rule.take(place)
+        hit = np.flatnonzero(rule >= 0)
+        new = at.take(hit)
+        seq[new] = len(lengths) + rule.take(hit)
+        keep, maybe = np.ones(len(seq), dtype=bool), np.zeros(len(seq), dtype=bool)
+        keep[new + 1] = False
+        maybe[at] = maybe[np.maximum(new, 1) - 1] = True
+        left = np.flatnonzero(keep)
+        seq, maybe, ends = seq.take(left), maybe.take(left), ends - np.searchsorted(new + 1, ends)
         rules.append(np.stack([a, b], axis=1))
         sizes.append(len(pairs))
         lengths = np.concatenate([lengths, lengths[a] + lengths[b]])
@@ -157,6 +178,20 @@ def ids_of(block: dict, doc: int, start: int = 0, n: int | None = None) -> np.nd
     return got[start - int(total[low]) : stop - int(total[low])]
 
 
+def encoded(encoder, batches, at_once: int = 1 << 21):
+    """(doc_id, ids) of all rows in order; texts go to the encoder together until they have ``at_once`` characters."""
+    names, texts, held = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            names.append(None if pd.isna(doc_id) else int(doc_id))
+            texts.append(text if isinstance(text, str) else "")
+            held += len(texts[-1])
+            if held >= at_once:
+                yield from zip(names, encoder.encode_all(texts))
+                names, texts, held = [], [], 0
+    yield from zip(names, encoder.encode_all(texts))
+
+
 def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2, block_ids: int = BLOCK_IDS) -> None:
     """Encode all documents in ascending order of doc_id and write the blocks."""
     description = description_of(path)
@@ -171,14 +206,13 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = 2, block_id
             row = compress(np.frombuffer(b"".join(parts), _U4), sizes)
             return pd.DataFrame([{"shard": shard, "block": number, "doc_ids": list(names), **row}])
 
-        for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                names.append(None if pd.isna(doc_id) else int(doc_id))
-                parts.append(encoder.encode(text if isinstance(text, str) else "") + end)
-                held += len(parts[-1]) // 4
-                if held >= block_ids:
-                    yield block()
-                    names, parts, held, number = [], [], 0, number + 1
+        for doc_id, ids in encoded(encoder, batches):
+            names.append(doc_id)
+            parts.append(ids + end)
+            held += len(parts[-1]) // 4
+            if held >= block_ids:
+                yield block()
+                names, parts, held, number = [], [], 0, number + 1
         if parts:
             yield block()
 

@@ -1,6 +1,7 @@
 """Whole texts to token ids with the tokenizers library, word by word with a bounded cache.
 
-Texts of characters below U+0250 are cut into words by the tokenizer's own pattern, and each different word is merged once.
+Texts of characters below U+0250 are cut into words by the tokenizer's own pattern, and each different word is merged once;
+for the tokenizer that drops white space many texts are cut at once, and each different word of them is looked up once.
 In other texts a byte-level tokenizer never puts a token across the change from a non-blank to a blank, so the text may be cut
 there, and equal parts are encoded once. A cache holds CACHE words or parts and starts anew when full; long ones are not kept. Texts
 for which the cut is not provably the same (marks of special tokens inside, odd control characters) go to the library whole.
@@ -11,8 +12,10 @@ from __future__ import annotations
 import re
 import struct
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
@@ -131,6 +134,33 @@ class ByteLevelEncoder:
         return (self.exact[first] if first else b"") + b"".join(map(self.after_blank.__getitem__, rest))
 
 
+_BLANK, _LETTER, _DIGIT, _SIGN = range(4)
+_KINDS = np.array(
+    [_LETTER if regex.match(r"\p{L}", c) else _DIGIT if regex.match(r"\p{N}", c) else _BLANK if regex.match(r"\s", c) else _SIGN for c in map(chr, range(0x250))],
+    dtype=np.uint8)
+
+
+def cut_words(text: str) -> tuple[pa.Array, np.ndarray]:
+    """The words of a lower-case text below U+0250 that ends in three blanks, in UTF-16, and where they begin.
+
+    Same words as ``LowerWordEncoder._SPLIT`` finds: runs of letters, single digits, runs of other signs, and short forms like 's."""
+    code = np.frombuffer(text.encode("utf-16-le"), "<u2")
+    kind = _KINDS[code]
+    begin = np.append(kind[:1] != _BLANK, (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)) & (kind != _BLANK)
+    mark = np.flatnonzero(code == ord("'"))
+    mark = mark[begin[mark] & (kind[mark + 1] == _LETTER)]  # a sign alone before letters
+    after, pair = code[mark + 1], code[mark + 1].astype(np.uint32) << 16 | code[mark + 2]
+    size = np.isin(after, [ord(c) for c in "stmd"]) + 2 * np.isin(pair, [ord(c) << 16 | ord(d) for c, d in ("re", "ve", "ll")])
+    mark, size = mark[size > 0], size[size > 0]
+    begin[mark + 1] = False
+    rest = mark + 1 + size
+    begin[rest[kind[rest] == _LETTER]] = True
+    inside = np.flatnonzero(kind)
+    edges = np.append(np.flatnonzero(begin[inside]), len(inside)).astype(np.int32) * np.int32(2)
+    words = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(code[inside])])
+    return words, np.flatnonzero(begin)
+
+
 class LowerWordEncoder:
     """Ids under a tokenizer that drops white space: texts and parts between blanks are encoded apart, plain ones without its normaliser."""
 
@@ -149,21 +179,52 @@ class LowerWordEncoder:
     def _word(self, word: str) -> bytes:
         return pack_ids([t.id for t in self.model.tokenize(letters_of(word))])
 
-    def _plain(self, text: str) -> bytes | None:
+    def _low(self, text: str) -> str | None:
         """Below U+0250 characters are composed already, and lower-cased alike if that stays below; None for others."""
-        if not (_PLAIN(text) and _PLAIN(low := text.lower())):
-            return None
-        return b"".join(map(self.words.__getitem__, self._SPLIT(low)))
+        return low if _PLAIN(text) and ((low := text.lower()).isascii() or _PLAIN(low)) else None
 
     def _part(self, part: str) -> bytes:
-        ids = self._plain(part)
-        return pack_ids(self.library.encode(part, add_special_tokens=False).ids) if ids is None else ids
+        if (low := self._low(part)) is None:
+            return pack_ids(self.library.encode(part, add_special_tokens=False).ids)
+        return b"".join(map(self.words.__getitem__, self._SPLIT(low)))
+
+    def _special(self, text: str) -> bool:
+        return any(mark in text for mark in self.added) or any(c in text for c in "\x1c\x1d\x1e\x1f")
 
     def encode(self, text: str) -> bytes:
-        if any(mark in text for mark in self.added) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return pack_ids(self.library.encode(text, add_special_tokens=False).ids)
-        ids = self._plain(text)
-        return b"".join(map(self.parts.__getitem__, text.split())) if ids is None else ids
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; the plain texts are cut together."""
+        out, plain, lows = [b""] * len(texts), [], []
+        for i, text in enumerate(texts):
+            if self._special(text):
+                out[i] = pack_ids(self.library.encode(text, add_special_tokens=False).ids)
+            elif (low := self._low(text)) is None:
+                out[i] = b"".join(map(self.parts.__getitem__, text.split()))
+            else:
+                plain.append(i)
+                lows.append(low)
+        for i, ids in zip(plain, self._together(lows)):
+            out[i] = ids
+        return out
+
+    def _together(self, lows: list[str]) -> list[bytes]:
+        """The ids of lower-case texts below U+0250: each different word is looked up once, and its ids are copied to where it stands."""
+        words, begin = cut_words("\n".join([*lows, "\n\n"]))
+        coded = words.dictionary_encode()
+        kinds = coded.dictionary
+        letters = kinds.buffers()[2].to_pybytes().decode("utf-16-le") if len(kinds) else ""
+        edges = np.frombuffer(kinds.buffers()[1], np.int32, len(kinds) + 1) // 2 if len(kinds) else np.zeros(1, dtype=np.int32)
+        found = [self.words[letters[a:b]] for a, b in pairwise(edges.tolist())]
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        each = size[at]
+        ahead = np.append(0, np.cumsum(each))
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat((np.cumsum(size) - size)[at] - ahead[:-1], each) + np.arange(ahead[-1])].tobytes()
+        texts = np.cumsum([len(low) + 1 for low in lows])  # where each text ends, its line break included
+        ends = (4 * ahead[np.searchsorted(begin, texts)]).tolist()
+        return [ids[a:b] for a, b in pairwise([0, *ends])]
 
 
 @lru_cache(maxsize=1)

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -436,6 +437,87 @@ def test_lower_words_are_kept_once_and_equal_the_library():
             assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_texts_encoded_together_look_each_word_up_once_and_equal_the_library():
+    from larkframe.llm.repair import encoded
+    from larkframe.llm.tokens import LowerWordEncoder, description_of
+
+    class Counting(dict):
+        looked = 0
+
+        def __getitem__(self, key):
+            self.looked += 1
+            return super().__getitem__(key)
+
+        def __missing__(self, key):
+            return self.setdefault(key, encoder._word(key))
+
+    encoder, tok = LowerWordEncoder(description_of(WORD)), Tokenizer.from_file(WORD)
+    encoder.words = Counting()
+    encoder.encode_all(["an old, old man\nan old man's", "", "An Old man's man"] * 50)
+    assert encoder.words.looked == len(encoder.words) == len({"an", "old", ",", "man", "'s"})
+    rng = random.Random(4)
+    alphabet = ["a", "s", "'", "'s", "'t", "'re", "'Ve", "'m", "'ll", "'d", "r", "e", "l", " ", "\n", "1", "\u00b2", "\u00c9", "\u0130", "\u01c6"]
+    alphabet += ["\u00a0", "\x85", "!", "-", "\x00", "\x1c", "<|endoftext|>", "\u2019", "\u65e5", "e\u0301", "\u0149", "\u023a"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 9))) for _ in range(3000)]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    for k in (1, 7, 3000):
+        got = [ids for i in range(0, len(texts), k) for ids in encoder.encode_all(texts[i : i + k])]
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+    batches = [pd.DataFrame({"doc_id": [3, None], "text": [None, "one two"]}), pd.DataFrame({"doc_id": [], "text": []}), pd.DataFrame({"doc_id": [9], "text": ["one"]})]
+    for k in (1, 4, 100):
+        assert list(encoded(encoder, iter(batches), k)) == [(3, b""), (None, encoder.encode("one two")), (9, encoder.encode("one"))]
+
+
+def test_grammar_equals_one_that_counts_all_pairs_in_each_round():
+    from larkframe.llm import repair as m
+
+    def plain(docs, rounds, often):
+        base, rules, sizes = max([x for d in docs for x in d], default=0) + 1, [], []
+        for _ in range(rounds):
+            count = Counter(p for d in docs for p in zip(d, d[1:]))
+            left, right, chosen = set(), set(), []
+            for (a, b), n in sorted(count.items(), key=lambda x: (-x[1], x[0])):
+                if n >= often and a != b and a not in right and b not in left:
+                    left.add(a)
+                    right.add(b)
+                    chosen.append((a, b))
+            if not chosen:
+                break
+            number = {p: base + len(rules) + i for i, p in enumerate(sorted(chosen))}
+            rules += sorted(chosen)
+            sizes.append(len(chosen))
+            for k, d in enumerate(docs):
+                out, i = [], 0
+                while i < len(d):
+                    two = tuple(d[i : i + 2])
+                    out.append(number.get(two, d[i]))
+                    i += 2 if two in number else 1
+                docs[k] = out
+        return sizes, rules, docs
+
+    rng = np.random.default_rng(6)
+    for _ in range(150):
+        sizes = rng.integers(0, 25, rng.integers(1, 30))
+        ids = rng.choice(np.array([0, 1, 2, 3, 4, 5, 2**20]), int(sizes.sum()))
+        ends = np.cumsum(sizes)
+        often, rounds = int(rng.integers(2, 9)), int(rng.integers(1, 9))
+        block = m.compress(ids, sizes, rounds, often)
+        done, rules, docs = plain([ids[e - n : e].tolist() for e, n in zip(ends, sizes)], rounds, often)
+        assert block["rounds"] == done and np.frombuffer(block["rules"], "<u4").reshape(-1, 2).tolist() == [list(r) for r in rules]
+        assert np.frombuffer(block["symbols"], "<u4").tolist() == [x for d in docs for x in d]
+        assert np.frombuffer(block["doc_symbols"], "<u4").tolist() == [len(d) for d in docs]
+
+
+def test_places_of_pairs_that_share_a_bucket():
+    from larkframe.llm import repair as m
+
+    known = np.unique(np.random.default_rng(7).integers(0, 1 << 50, 4000).astype(np.uint64))
+    assert len(np.unique(m._bucket(known))) < len(known)
+    other = np.setdiff1d(known + np.uint64(1), known)
+    key = np.concatenate([known, other])
+    assert m._places(known, key, m._bucket(key)).tolist() == [*range(len(known)), *[-1] * len(other)]
+
+
 def test_plain_texts_are_cut_as_the_library_does_and_each_word_is_kept_once():
     from larkframe.llm.tokens import ByteLevelEncoder, byte_encoder, description_of
 
