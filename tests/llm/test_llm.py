@@ -151,6 +151,30 @@ def test_near_vectors_equal_brute_force(spark, vectors):
     assert near_vectors(vectors.limit(0)).count() == 0
 
 
+def test_vectors_travel_once_per_block(spark, vectors, monkeypatch):
+    from larkframe.llm import cosine_dedup as m
+
+    x = np.random.default_rng(8).normal(size=(2000, 16))
+    x[1500:] = x[:500] + 0.05
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    kept, make = {}, m.written
+
+    def spy(df, name, **kw):
+        kept[name] = make(df, name, **kw)
+        return kept[name]
+
+    monkeypatch.setattr(m, "written", spy)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = unit @ unit.T >= 0.93
+    assert {r.vec_id: r.n_links for r in m.near_vectors(rows, tile=20).collect()} == dict(enumerate(near.sum(axis=1) - 1))
+    tiles, sent = kept["cosine-tiles"].count(), kept["cosine-goals"].count()
+    assert tiles >= 100 and sent <= 3 * tiles  # each tile met each other one by itself before: some 100 x tiles
+    whole = {tuple(r) for r in m.near_vectors(vectors).collect()}
+    for block in (1, 20 * 24 * 4):  # blocks of one tile, of a few tiles
+        monkeypatch.setattr(m, "BLOCK", block)
+        assert {tuple(r) for r in m.near_vectors(vectors, tile=20).collect()} == whole
+
+
 def test_vectors_of_any_size_link(spark):
     from larkframe.llm.cosine_dedup import near_vectors
 
