@@ -6,6 +6,7 @@ from pyspark.ml import regression as R
 from pyspark.ml.feature import RFormula, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 
+from larkframe.learning import binned as bn
 from larkframe.learning import features as fe
 from larkframe.learning import linear as ln
 from larkframe.learning import metrics as mt
@@ -245,15 +246,10 @@ def tune_select(t):
 
 @query("tune_bayes")
 def tune_bayes(t):
-    """Forest settings by expected improvement: 5 random points, up to 10 more, two at a time; every point and fold is a Spark fit."""
-    d = fold_rows(t, 3)
+    """Forest settings by expected improvement: 5 random points, up to 10 more, two at a time; every point and fold is a Spark fit of 20 trees."""
+    d = bn.binned(fold_rows(t, 3), "fold", "y", XS, bags=20)
     points = [{"mtry": m, "min_n": n} for m in range(1, len(XS) + 1) for n in range(5, 31)]
-
-    def fit(i, train):
-        model = md.forest_reg(train, "y", XS, trees=20, mtry=str(points[i]["mtry"]), min_n=points[i]["min_n"])
-        return lambda df: md.predict(model, df)
-
-    rows = se.bayes(se.fold_fits(d, "fold", "y", fit, threads=6), points, [1, 2, 3], initial=5, iters=10, no_improve=5, uncertain=5, seed=456)
+    rows = se.bayes(bn.fold_fits(d, lambda i: points[i], threads=6), points, [1, 2, 3], initial=5, iters=10, no_improve=5, uncertain=5, seed=456)
     return tn.table(t.spark, [{**x, "mean": round(x["mean"], 4)} for x in rows], "iter int, how string, mtry int, min_n int, mean double")
 
 

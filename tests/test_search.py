@@ -92,3 +92,54 @@ def test_fits_run_on_spark(spark):
     run = se.fold_fits(d, "fold", "y", lambda xs, tr: (lambda m: lambda df: md.predict(m, df))(md.linear(tr, "y", list(xs))))
     good, bad = run([(("a", "b"), 0), (("b",), 0)])
     assert good < 1e-6 < bad
+
+
+def line_folds(spark, n=3000, folds=3):
+    rng = np.random.default_rng(6)
+    x = np.stack([rng.integers(0, 60, n), rng.normal(size=n), rng.integers(0, 4, n)], axis=1).astype(float)
+    y = x[:, 0] + 5 * x[:, 1] * (x[:, 2] > 1) + rng.normal(size=n)
+    return spark.createDataFrame([(int(i % folds), float(y[i]), *map(float, x[i])) for i in range(n)], "fold int, y double, a double, b double, c double").repartition(4).checkpoint()
+
+
+def test_trees_on_cells_are_those_of_mllib(spark):
+    from larkframe.learning import binned as bn
+    from larkframe.learning import models as md
+    from larkframe.session import shared_folder
+
+    shared_folder(spark)
+    for n in (3000, 16_000):  # all training rows give the thresholds, a sample of them
+        d = line_folds(spark, n)
+        cells = bn.binned(d, "fold", "y", ["a", "b", "c"])
+        for depth, min_n in ((1, 5), (4, 5), (6, 40)):
+            want = se.fold_fits(d, "fold", "y", lambda c, tr: (lambda m: lambda df: md.predict(m, df))(md.tree_reg(tr, "y", ["a", "b", "c"], depth, min_n)))([(0, f) for f in range(3)])
+            got = bn.fold_fits(cells, lambda c: {"depth": depth, "min_n": min_n})([(0, f) for f in range(3)])
+            assert np.allclose(got, want, rtol=1e-9)
+
+
+def test_forests_on_cells_count_replicates(spark):
+    from larkframe.learning import binned as bn
+    from larkframe.learning import models as md
+    from larkframe.session import shared_folder
+
+    shared_folder(spark)
+    d = line_folds(spark)
+    cells = bn.binned(d, "fold", "y", ["a", "b", "c"], bags=20)
+    rows = {(r["fold"], r["bag"]): np.frombuffer(r["sums"]).reshape(3, -1)[0].sum() for r in cells.table.collect()}
+    assert sorted(rows) == [(f, b) for f in range(3) for b in (-1, *range(1, 21))] and all(rows[f, -1] == 1000 for f in range(3))
+    drawn = np.array([rows[f, b] for f in range(3) for b in range(1, 21)])
+    assert abs(drawn.mean() - 2000) < 40 and 15 < drawn.std() < 75  # Poisson sums of 2,000 rows: deviation 45
+    for mtry in (2, 3):
+        want = se.fold_fits(d, "fold", "y", lambda c, tr: (lambda m: lambda df: md.predict(m, df))(md.forest_reg(tr, "y", ["a", "b", "c"], 20, 5, str(mtry), 5)))([(0, f) for f in range(3)])
+        got = bn.fold_fits(cells, lambda c: {"mtry": mtry, "min_n": 5})([(0, f) for f in range(3)])
+        assert np.allclose(got, want, rtol=0.15)  # other draws of rows and predictors
+    empty = spark.createDataFrame([(0, 1.0, None, 1.0, 1.0), (1, 2.0, 1.0, 1.0, 1.0)], d.schema)
+    with pytest.raises(Exception, match="null or NaN"):
+        bn.binned(empty, "fold", "y", ["a", "b", "c"])
+
+
+def test_searches_over_trees_read_the_rows_once(spark, tables, monkeypatch):
+    from larkframe.learning import models as md
+    from larkframe.plans import QUERIES
+
+    monkeypatch.setattr(md, "forest_reg", None)  # each fit read all rows before
+    assert len(QUERIES["tune_bayes"](tables).collect()) >= 7
