@@ -272,12 +272,9 @@ def tune_race_trees(t):
     """Tree settings race over 5 folds, each a Spark fit: those behind after 3 folds are not fitted on the others."""
     grid = tn.grid_regular(depth=[1, 2, 4, 6], min_n=[5, 30])
     by = {c["config"]: c for c in grid}
-
-    def fit(name, train):
-        model = md.tree_reg(train, "y", XS, by[name]["depth"], by[name]["min_n"])
-        return lambda df: md.predict(model, df)
-
-    rows, fits = se.race(se.fold_fits(fold_rows(t), "fold", "y", fit, threads=6), list(by), [1, 2, 3, 4, 5])
+    d = bn.binned(fold_rows(t), "fold", "y", XS)
+    settings = lambda name: {k: by[name][k] for k in ("depth", "min_n")}
+    rows, fits = se.race(bn.fold_fits(d, settings, threads=6), list(by), [1, 2, 3, 4, 5])
     return tn.table(t.spark, [{**by[x["config"]], **x, "mean": round(x["mean"], 4), "fits": fits} for x in rows], f"config string, depth int, min_n int, mean double, {RACE}, fits int")
 
 

@@ -141,5 +141,7 @@ def test_searches_over_trees_read_the_rows_once(spark, tables, monkeypatch):
     from larkframe.learning import models as md
     from larkframe.plans import QUERIES
 
-    monkeypatch.setattr(md, "forest_reg", None)  # each fit read all rows before
+    monkeypatch.setattr(md, "tree_reg", None)  # each fit read all rows before
+    monkeypatch.setattr(md, "forest_reg", None)
+    assert len(QUERIES["tune_race_trees"](tables).collect()) == 8
     assert len(QUERIES["tune_bayes"](tables).collect()) >= 7
