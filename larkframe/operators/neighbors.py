@@ -1,14 +1,14 @@
-"""Exact k nearest neighbours by a recursive metric partition and bounds in two rounds.
+"""Exact k nearest neighbours by boxes of a k-d partition and bounds in two rounds.
 
-The points are split into cells by their nearest pivot, cells above ``LEAF`` points are split again by pivots of their own, level by level: the
-number of pivots grows with the points, and no list of them goes through the driver. Round one takes every query down to its nearest leaf; the
-k-th distance found there (or, where the leaf is too small, the farthest point of the smallest cell around it) bounds the true k-th distance.
-Round two sends keys of leaves down the tree: a leaf of queries with its radius and its largest bound meets only cells that the
-triangle inequality leaves open. Neighbouring leaves form blocks of about ``CHUNK`` points; each query goes once to every block that holds
-a leaf within its own bound, however many such leaves there are, and visits only those. The result is exact.
+A sample of the points, of bounded size, only says where to cut: halves along the widest side, until a cell is to hold some ``chunk`` points. Boxes are then
+taken from all points of a cell. Round one searches every query's own cell; the k-th distance found there (or, where the cell is too small, to the
+farthest corner of the box of a cell that holds k points) bounds the true k-th distance. Round two sends a query once to each other cell whose box is
+within its bound. The result is exact. In a task the points of a cell are cut again, into leaves of ``leaf`` points, and a query
+meets only leaves whose boxes are within its bound.
 
 Cells are dealt in chunks and their queries salted, so a hot cell is many tasks; a task returns the k best of its chunk, never all pairs, and a
-last pass per query keeps the k best of all chunks. No candidate is capped or sampled. Copies of one vector are searched once.
+last pass per query keeps the k best of all chunks. No candidate is capped or sampled. Copies of one vector are searched once. Where vectors of many
+dimensions have no structure every cell is in reach: all pairs are compared, a chunk of queries and a chunk of points in memory at a time.
 """
 
 from __future__ import annotations
@@ -22,15 +22,21 @@ from larkframe.operators.hashing import digest
 from larkframe.session import shared_folder
 
 CHUNK = 20_000
-LEAF = 512
-FAN = 256
-DEPTH = 7  # numbers of cells fit 63 bits; what is left above LEAF then is searched in chunks
+LEAF = 256
+CELLS = 4096  # boxes that go to every task; cells grow beyond this, and are searched in chunks
+NUMBERS = 1 << 21  # of the sample that says where to cut
+PAIRS = 1 << 20  # distances in memory at a time
 
 
 def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     """All distances between two small blocks, from differences (not from the expanded square) for exact ties."""
-    out = np.empty((len(a), len(b)))
-    step = max(1, int(4e6 // max(1, b.size)))
+    out = np.zeros((len(a), len(b)))
+    if a.shape[1] < 8:
+        for k in range(a.shape[1]):
+            d = a[:, k, None] - b[None, :, k]
+            out += np.abs(d) if metric == "l1" else d * d
+        return out if metric == "l1" else np.sqrt(out, out=out)
+    step = max(1, PAIRS // max(1, b.size))
     for i in range(0, len(a), step):
         d = a[i:i + step, None, :] - b[None, :, :]
         out[i:i + step] = np.abs(d).sum(axis=2) if metric == "l1" else np.sqrt(np.einsum("ijk,ijk->ij", d, d))
@@ -54,9 +60,10 @@ def knn(
     pts = points.where(whole).select(F.col(key).alias("nid"), F.col(vec).alias("pv"))
     qs = queries.where(whole).select(F.col(key).alias("qid"), F.col(vec).alias("qv"))
     first = Window.partitionBy("pv").orderBy("nid")  # the row limit is applied before the shuffle too
-    keys = pts.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= need).drop("_r").checkpoint()
-    reps = keys.groupBy("pv").agg(F.min("nid").alias("nid"))
-    members = keys.join(reps.withColumnRenamed("nid", "rep"), "pv").select("rep", "nid")
+    keys = pts.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= need)
+    keys = keys.withColumn("rep", F.min("nid").over(Window.partitionBy("pv"))).checkpoint()  # few rows of a vector are left
+    reps = keys.where("_r = 1").select(F.col("rep").alias("nid"), "pv")
+    members = keys.select("rep", "nid")
     asked = qs.groupBy("qv").agg(F.min("qid").alias("qid")).checkpoint()
     near = _search(reps, asked, need, metric, leaf, chunk, tally).withColumnRenamed("nid", "rep").join(members, "rep")
     w = Window.partitionBy("qid").orderBy("dist", "nid")  # at most need x need rows per distinct query
@@ -68,15 +75,13 @@ def knn(
     return out.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
-def _meet(left: DataFrame, right: DataFrame, fn, schema: str, chunk: int, whole: bool = False, together: str | None = None) -> DataFrame:
-    """fn(rows of left, rows of right) for the rows of each cell, in parts of at most about ``chunk`` rows of either side.
+def _meet(left: DataFrame, right: DataFrame, fn, schema: str, chunk: int) -> DataFrame:
+    """fn(rows of left, rows of right) for the rows of each cell, in parts of at most about ``chunk`` rows of either side."""
 
-    With ``whole`` every call sees all rows of right in its cell, which are at most FAN. Rows of right with one value of ``together`` stay together.
-    """
-    def parts(rows: DataFrame, name: str, most: int) -> DataFrame:
-        return rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name))
+    def parts(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias(name))
 
-    shape = parts(left, "_salts", chunk).join(parts(right, "_parts", FAN if whole else chunk), "cell", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    shape = parts(left, "_salts").join(parts(right, "_parts"), "cell", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
 
     def deal(n: str, columns: list[str]) -> Column:
         return F.pmod(F.xxhash64(*columns), F.col(n)).cast("int")
@@ -85,7 +90,7 @@ def _meet(left: DataFrame, right: DataFrame, fn, schema: str, chunk: int, whole:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
     a = left.join(shape, "cell").withColumn("_salt", deal("_salts", left.columns)).withColumn("_part", every("_parts"))
-    b = right.join(shape, "cell").withColumn("_part", deal("_parts", [together] if together else right.columns)).withColumn("_salt", every("_salts"))
+    b = right.join(shape, "cell").withColumn("_part", deal("_parts", right.columns)).withColumn("_salt", every("_salts"))
     group = ["cell", "_part", "_salt"]
     n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small tables, much work: not fewer tasks
     a, b = (x.select(*[F.col(c).alias(c) for c in (*rows.columns, "_part", "_salt")]).repartition(n, *group) for x, rows in ((a, left), (b, right)))
@@ -93,7 +98,7 @@ def _meet(left: DataFrame, right: DataFrame, fn, schema: str, chunk: int, whole:
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy())
+    return np.stack(column.to_numpy()).astype(np.float64, copy=False)
 
 
 def _none(**columns: str) -> pd.DataFrame:
@@ -114,7 +119,7 @@ def _within(qv: np.ndarray, bound: np.ndarray, pv: np.ndarray, metric: str) -> t
     room = bound * bound * (1 + 1e-9) + 1e-11 * (q2 + p2.max())
     i, j = np.nonzero(q2[:, None] + p2[None, :] - 2 * (qv @ pv.T) <= room[:, None])
     dist = np.empty(len(i))
-    step = max(1, int(4e6 // qv.shape[1]))
+    step = max(1, PAIRS // qv.shape[1])
     for k in range(0, len(i), step):
         d = qv[i[k:k + step]] - pv[j[k:k + step]]
         dist[k:k + step] = np.sqrt(np.einsum("ij,ij->i", d, d))
@@ -129,190 +134,192 @@ def _best_of(i: np.ndarray, nid: np.ndarray, dist: np.ndarray, most: int) -> np.
     return o[np.arange(len(o)) - first[i[o]] < most] if len(o) else o
 
 
-def _tree(points: DataFrame, kind: str, metric: str, leaf: int, chunk: int) -> tuple[DataFrame, list[DataFrame]]:
-    """(nid, pv, cell) of the points in their leaves, and per level the nodes (cell: parent, child, at, n, radius)."""
-
-    def nearest(p: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if p.empty:
-            return _none(nid=p["nid"].dtype, pv="object", cell="int64", d="float64")
-        c = c.sort_values("child")
-        d = distances(_matrix(p["pv"]), _matrix(c["at"]), metric)
-        best = d.argmin(axis=1)
-        return pd.DataFrame({"nid": p["nid"].to_numpy(), "pv": p["pv"].to_numpy(), "cell": c["child"].to_numpy()[best], "d": d[np.arange(len(d)), best]})
-
-    left, done, levels = points.withColumn("cell", F.lit(0).cast("long")).checkpoint(), [], []  # cut, so that no join is on a constant
-    for depth in range(DEPTH):
-        counts = left.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).checkpoint()
-        if counts.where(F.col("n") > leaf).isEmpty():
-            break
-        sized = left.join(counts, "cell")
-        done.append(sized.where(F.col("n") <= leaf).select("nid", "pv", "cell"))
-        more = sized.where(F.col("n") > leaf)
-        first = Window.partitionBy("cell").orderBy(digest(["nid"], f"pivot{depth}"), "nid")  # the row limit is applied before the shuffle too
-        drawn = more.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= FAN).where(F.col("_r") <= F.greatest(F.lit(2), F.ceil(F.col("n") * 4 / leaf)))
-        pivots = drawn.select("cell", (F.col("cell") * FAN + F.col("_r")).alias("child"), F.col("pv").alias("at")).checkpoint()
-        left = _meet(more.select("cell", "nid", "pv"), pivots, nearest, f"nid {kind}, pv array<double>, cell long, d double", chunk, whole=True).checkpoint()
-        stats = left.groupBy(F.col("cell").alias("child")).agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("radius"))
-        levels.append(pivots.join(stats, "child").select("cell", "child", "at", "n", "radius").checkpoint())
-        left = left.drop("d")
-    for more in done:
-        left = left.unionByName(more)
-    return left, levels
-
-
-def _blocks(levels: list[DataFrame], leaf: int, chunk: int) -> DataFrame:
-    """(child, block) of all cells: cells with one parent are put together up to about ``chunk`` points, cells below them inherit the block."""
-    out, above = None, None
-    for depth, nodes in enumerate(levels):
-        if depth == 0:
-            total = nodes.groupBy("cell").agg(F.sum("n").alias("_pn"))
-            above = total.select("cell", "_pn", F.lit(-1).cast("long").alias("_pb"))
-        fan = F.least(F.lit(FAN), F.greatest(F.lit(2), F.ceil(F.col("_pn") * 4 / leaf)))
-        bucket = F.floor((F.col("child") - F.col("cell") * FAN - 1) * F.ceil(F.col("_pn") / chunk) / fan)
-        merged = -(F.col("cell") * FAN + bucket + 1)
-        block = F.when(F.col("_pn") <= chunk, F.col("_pb")).when(F.col("n") <= chunk, merged).otherwise(F.col("child"))
-        here = nodes.select("cell", "child", "n").join(above, "cell").select("child", "n", block.cast("long").alias("block")).checkpoint()
-        above = here.select(F.col("child").alias("cell"), F.col("n").alias("_pn"), F.col("block").alias("_pb"))
-        out = here if out is None else out.unionByName(here)
-    return out.select("child", "block")
+def _halve(x: np.ndarray, most: int) -> tuple[list[tuple], np.ndarray]:
+    """A k-d partition of the rows into parts of at most ``most``: inner nodes (column, cut, left, right), with leaf i as -1 - i, and each row's leaf.
+
+    Rows up to the cut are left. Rows are different, so that some column always splits them.
+    """
+    nodes, leaf, count = [], np.zeros(len(x), dtype=np.int64), 0
+    todo = [(np.arange(len(x)), None)]
+    while todo:
+        rows, above = todo.pop()
+        if len(rows) <= most or not (np.ptp(x[rows], axis=0) > 0).any():
+            number, count = -1 - count, count + 1
+            leaf[rows] = -1 - number
+        else:
+            v = x[rows]
+            column = int(np.ptp(v, axis=0).argmax())
+            v = v[:, column]
+            cut = np.partition(v, (len(v) - 1) // 2)[(len(v) - 1) // 2]
+            if cut == v.max():
+                cut = v[v < cut].max()
+            number = len(nodes)
+            nodes.append([column, cut, None, None])
+            todo += [(rows[v <= cut], (number, 2)), (rows[v > cut], (number, 3))]
+        if above:
+            nodes[above[0]][above[1]] = number
+    return nodes, leaf
+
+
+def _descend(nodes: list[list], x: np.ndarray) -> np.ndarray:
+    """The leaf of every row."""
+    out = np.zeros(len(x), dtype=np.int64)
+    todo = [(0, np.arange(len(x)))] if nodes else []
+    while todo:
+        at, rows = todo.pop()
+        if at < 0:
+            out[rows] = -1 - at
+        elif len(rows):
+            column, cut, left, right = nodes[at]
+            less = x[rows, column] <= cut
+            todo += [(left, rows[less]), (right, rows[~less])]
+    return out
+
+
+def _to_boxes(q: np.ndarray, low: np.ndarray, high: np.ndarray, metric: str, farthest: bool = False) -> np.ndarray:
+    """Distances of all queries to the nearest (or farthest) points of all boxes."""
+    total = np.zeros((len(q), len(low)))
+    for k in range(q.shape[1]):
+        v = q[:, k, None]
+        gap = np.maximum(np.abs(v - low[:, k]), np.abs(v - high[:, k])) if farthest else np.maximum(np.maximum(low[:, k] - v, v - high[:, k]), 0)
+        total += gap if metric == "l1" else gap * gap
+    return total if metric == "l1" else np.sqrt(total)
+
+
+def _near(q: np.ndarray, bound: np.ndarray, low: np.ndarray, high: np.ndarray, metric: str) -> np.ndarray:
+    """Which boxes can hold a point within the bound; rounding never leaves one out."""
+    return ~(_to_boxes(q, low, high, metric) * (1 - 1e-12) - 1e-12 > bound[:, None])
+
+
+def _nearest_in(qv: np.ndarray, bound: np.ndarray, pv: np.ndarray, pid: np.ndarray, need: int, metric: str, leaf: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query, point, distance) of the ``need`` nearest points within the bound of every query, ties by the numbers ``pid``; and the pairs in visited leaves."""
+    nodes, of = _halve(pv, max(leaf, need))
+    o = np.argsort(of, kind="stable")
+    pv, of, back = pv[o], of[o], o
+    edge = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(of))
+    low, high = np.minimum.reduceat(pv, edge[:-1]), np.maximum.reduceat(pv, edge[:-1])
+    home, bound, met = _descend(nodes, qv), bound.copy(), 0
+    for h in np.unique(home):  # the own leaf lowers the bound
+        rows = np.flatnonzero(home == h)
+        here = pv[edge[h]:edge[h + 1]]
+        met += len(rows) * len(here)
+        if len(here) >= need:
+            for k in range(0, len(rows), max(1, PAIRS // len(here))):
+                some = rows[k:k + max(1, PAIRS // len(here))]
+                last = np.partition(distances(qv[some], here, metric), need - 1, axis=1)[:, need - 1]
+                bound[some] = np.minimum(bound[some], last * (1 + 1e-12) + 1e-12)
+    parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    step = max(1, PAIRS // len(low))
+    for k in range(0, len(qv), step):
+        q, b = qv[k:k + step], bound[k:k + step]
+        near, got, held = _near(q, b, low, high, metric), [], 0
+        met += int((near * np.diff(edge)).sum()) - int(np.diff(edge)[home[k:k + step]].sum())
+
+        def best():
+            i, j, dist = (np.concatenate(x) for x in zip(*got))
+            keep = _best_of(i, pid[j], dist, need)
+            return [(i[keep], j[keep], dist[keep])]
+
+        for c in np.flatnonzero(near.any(axis=0)):
+            ask = np.flatnonzero(near[:, c])
+            for m in range(0, len(ask), max(1, PAIRS // int(edge[c + 1] - edge[c]))):
+                some = ask[m:m + max(1, PAIRS // int(edge[c + 1] - edge[c]))]
+                i, j, dist = _within(q[some], b[some], pv[edge[c]:edge[c + 1]], metric)
+                got.append((some[i], back[j + edge[c]], dist))
+                held += len(i)
+                if held > PAIRS:
+                    got, held = best(), 0
+        if got:
+            i, j, dist = best()[0]
+            parts.append((i + k, j, dist))
+    return *(np.concatenate(x) for x in zip(*parts)), met
 
 
 def _search(pts: DataFrame, qs: DataFrame, need: int, metric: str, leaf: int, chunk: int, tally: dict | None) -> DataFrame:
     """The ``need`` nearest of the distinct points for every distinct query."""
-    kind = dict(pts.dtypes)["nid"]
-    placed, levels = _tree(pts, kind, metric, max(leaf, need), chunk)
-    down = f"cell long, qid {kind}, qv array<double>, bound double, d double"
-
-    def descend(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:  # the query is in its leaf
-            return q[["cell", "qid", "qv", "bound", "d"]].astype({"qv": "object"})
-        c = c.sort_values("child")
-        d = distances(_matrix(q["qv"]), _matrix(c["at"]), metric)
-        best = d.argmin(axis=1)
-        full = ((d + c["radius"].to_numpy()) * (1 + 1e-12) + 1e-12)[:, c["n"].to_numpy() >= need]
-        bound = q["bound"].to_numpy()
-        if full.shape[1]:
-            bound = np.minimum(bound, full.min(axis=1))
-        return pd.DataFrame({"cell": c["child"].to_numpy()[best], "qid": q["qid"].to_numpy(), "qv": q["qv"].to_numpy(), "bound": bound, "d": d[np.arange(len(d)), best]})
+    spark, kind = pts.sparkSession, dict(pts.dtypes)["nid"]
+    met = spark.sparkContext.accumulator(0) if tally is not None else None
+    size = pts.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("pv")).alias("d")).first()
+    n, dims = size["n"], size["d"] or 1
+    wide = "double"
+    if dims >= 8 and all(rows.where(F.exists(c, lambda x: x.cast("float").cast("double") != x)).isEmpty() for rows, c in ((pts, "pv"), (qs, "qv"))):
+        wide = "float"  # all numbers are floats: half the memory and half of what is sent
+    cell = max(min(chunk, 2048), need, min(chunk, -(-n // (2 * spark.sparkContext.defaultParallelism))), -(-n // CELLS))
+    nodes = []
+    if n > cell:
+        share = min(1.0, 64.0 / cell, NUMBERS / dims / n)
+        drawn = pts.where(F.pmod(F.xxhash64("pv"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)).select("pv").toPandas()
+        if len(drawn):
+            x = _matrix(drawn["pv"])
+            nodes, _ = _halve(x, max(1, round(cell * len(x) / n)))
+
+    def placed(rows: DataFrame, key: str, vec: str) -> DataFrame:
+        def place(batches):
+            for batch in batches:
+                if len(batch):
+                    yield batch.assign(cell=_descend(nodes, _matrix(batch[vec])))
+
+        return rows.select(key, F.col(vec).cast(f"array<{wide}>").alias(vec)).mapInPandas(place, f"{key} {kind}, {vec} array<{wide}>, cell long")
+
+    points = placed(pts, "nid", "pv").checkpoint()
+    home = placed(qs, "qid", "qv").withColumn("bound", F.lit(float("inf"))).checkpoint()
+
+    def extent(g: pd.DataFrame) -> pd.DataFrame:
+        x = _matrix(g["pv"])
+        return pd.DataFrame({"cell": [g["cell"].iloc[0]], "n": [len(g)], "low": [x.min(axis=0)], "high": [x.max(axis=0)]})
+
+    def extents(batches):
+        for batch in batches:
+            if len(batch):
+                yield pd.concat([extent(g) for _, g in batch.groupby("cell")])
+
+    some = points.select("cell", "pv").mapInPandas(extents, "cell long, n long, low array<double>, high array<double>")
+    each = [F.min(F.col("low")[k]).alias(f"l{k}") for k in range(dims)] + [F.max(F.col("high")[k]).alias(f"h{k}") for k in range(dims)]
+    boxes = some.groupBy("cell").agg(F.sum("n").alias("n"), *each).toPandas()  # at most some CELLS rows
+    cells, counts = boxes["cell"].to_numpy(), boxes["n"].to_numpy()
+    low, high = (boxes[[f"{e}{k}" for k in range(dims)]].to_numpy(dtype=float) for e in "lh")
 
     def best(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if q.empty or p.empty:
             return _none(qid=q["qid"].dtype, nid=p["nid"].dtype, dist="float64")
         p = p.sort_values("nid", kind="stable")
-        pv, pid = _matrix(p["pv"]), p["nid"].to_numpy()
-        qv, qid, bound = _matrix(q["qv"]), q["qid"].to_numpy(), q["bound"].to_numpy()
-        top = min(need, len(pid))
-        parts = []
-        step = max(1, int(2e6 // len(pid)))
-        for i in range(0, len(qid), step):
-            d = distances(qv[i:i + step], pv, metric)
-            # values up to the top-th smallest, ties included; then order only those by (distance, point key)
-            last = np.minimum(np.partition(d, top - 1, axis=1)[:, top - 1], bound[i:i + step])
-            i_q, i_p = np.nonzero(d <= last[:, None])
-            dist = d[i_q, i_p]
-            o = np.lexsort((i_p, dist, i_q))
-            i_q, i_p, dist = i_q[o], i_p[o], dist[o]
-            first = np.searchsorted(i_q, np.arange(len(d)))
-            keep = np.arange(len(i_q)) - first[i_q] < top
-            parts.append(pd.DataFrame({"qid": qid[i:i + step][i_q[keep]], "nid": pid[i_p[keep]], "dist": dist[keep]}))
-        return pd.concat(parts)
+        pid, qid = p["nid"].to_numpy(), q["qid"].to_numpy()
+        i, j, dist, pairs = _nearest_in(_matrix(q["qv"]), q["bound"].to_numpy(), _matrix(p["pv"]), np.arange(len(p)), need, metric, leaf)
+        if met is not None:
+            met.add(pairs)
+        return pd.DataFrame({"qid": qid[i], "nid": pid[j], "dist": dist})
 
     def found(q: DataFrame) -> DataFrame:
-        return _meet(q.select("cell", "qid", "qv", "bound"), placed, best, f"qid {kind}, nid {kind}, dist double", chunk)
+        return _meet(q.select("cell", "qid", "qv", "bound"), points, best, f"qid {kind}, nid {kind}, dist double", chunk)
 
     w = Window.partitionBy("qid").orderBy("dist", "nid")  # at most need rows per visited chunk
 
     def nearest(rows: DataFrame) -> DataFrame:
         return rows.withColumn("_p", F.row_number().over(w)).where(F.col("_p") <= need).drop("_p")
 
-    home = qs.select(F.lit(0).cast("long").alias("cell"), "qid", "qv", F.lit(float("inf")).alias("bound"), F.lit(0.0).alias("d")).checkpoint()
-    for nodes in levels:
-        home = _meet(home, nodes, descend, down, chunk, whole=True)
-    home = home.checkpoint() if levels else home
     first = nearest(found(home)).checkpoint()
-    if not levels:
-        _count(tally, home, placed, qs)
-        return first
-    # rounding may lift a computed distance over the bound it must meet
-    last = first.groupBy("qid").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_last"))
-    limit = F.when(F.col("_n") >= need, F.least("_last", "bound")).otherwise(F.col("bound")) * (1 + 1e-12) + 1e-12
-    home = home.join(last, "qid", "left").withColumn("bound", limit).drop("_n", "_last").checkpoint()
-
-    every = levels[0]
-    for nodes in levels[1:]:
-        every = every.unionByName(nodes)
-    leaves = every.select(F.col("child").alias("cell"), "at", "radius", "n")
-    groups = home.groupBy("cell").agg((F.max("d") + F.max("bound")).alias("reach")).join(leaves.select("cell", "at"), "cell")
-    pairs = groups.select(F.lit(0).cast("long").alias("cell"), F.col("cell").alias("own"), F.col("at").alias("gat"), "reach").checkpoint()
-
-    def open_cells(g: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if g.empty or c.empty:
-            return g[["cell", "own", "gat", "reach"]].astype({"gat": "object"})
-        at, radius, child, parts = _matrix(c["at"]), c["radius"].to_numpy(), c["child"].to_numpy(), []
-        gat, own, reach = _matrix(g["gat"]), g["own"].to_numpy(), g["reach"].to_numpy()
-        for k in range(0, len(g), LEAF):
-            i, j = np.nonzero(distances(gat[k:k + LEAF], at, metric) - radius <= reach[k:k + LEAF, None] * (1 + 1e-12))
-            parts.append(pd.DataFrame({"cell": child[j], "own": own[k + i], "gat": g["gat"].to_numpy()[k + i], "reach": reach[k + i]}))
-        return pd.concat(parts)
-
-    for nodes in levels:
-        pairs = _meet(pairs, nodes, open_cells, "cell long, own long, gat array<double>, reach double", chunk)
-    blocks = _blocks(levels, max(leaf, need), chunk).checkpoint()
-    aim = leaves.join(blocks.withColumnRenamed("child", "cell"), "cell")
-    visits = pairs.where("cell <> own").select("cell", "own").join(aim.select("cell", "at", "radius", "block"), "cell").select(
-        F.col("own").alias("cell"), F.col("cell").alias("target"), "at", "radius", "block").checkpoint()
-
-    def to(goal: str):
-        def sent(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-            if q.empty or c.empty:
-                return _none(cell="int64", own="int64", qid=q["qid"].dtype, qv="object", bound="float64")
-            c = c.sort_values(goal)
-            goals, first = np.unique(c[goal].to_numpy(), return_index=True)
-            at, radius, parts = _matrix(c["at"]), c["radius"].to_numpy(), []
-            qv, bound, own, qid = _matrix(q["qv"]), q["bound"].to_numpy(), q["cell"].to_numpy(), q["qid"].to_numpy()
-            for k in range(0, len(q), LEAF):
-                near = distances(qv[k:k + LEAF], at, metric) - radius <= bound[k:k + LEAF, None]
-                i, j = np.nonzero(np.logical_or.reduceat(near, first, axis=1))
-                parts.append(pd.DataFrame({"cell": goals[j], "own": own[k + i], "qid": qid[k + i], "qv": q["qv"].to_numpy()[k + i], "bound": bound[k + i]}))
-            return pd.concat(parts)
-
-        return _meet(home.select("cell", "qid", "qv", "bound"), visits, sent, f"cell long, own long, qid {kind}, qv array<double>, bound double", chunk, together=goal)
-
-    def visited(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        """The best of all leaves of a block but the query's own, which round one has searched."""
-        if q.empty or p.empty:
-            return _none(qid=q["qid"].dtype, nid=p["nid"].dtype, dist="float64")
-        p = p.sort_values(["leaf", "nid"], kind="stable")
-        pv, pid = _matrix(p["pv"]), p["nid"].to_numpy()
-        names, first = np.unique(p["leaf"].to_numpy(), return_index=True)
-        ends = np.append(first[1:], len(p))
-        centre = np.stack([pv[a:b].mean(axis=0) for a, b in zip(first, ends)])
-        radius = np.array([distances(pv[a:b], c[None], metric).max() for a, b, c in zip(first, ends, centre)])
-        parts = []
-        for k in range(0, len(q), 4 * LEAF):
-            s = slice(k, k + 4 * LEAF)
-            qv, bound, own, qid = _matrix(q["qv"].iloc[s]), q["bound"].to_numpy()[s], q["own"].to_numpy()[s], q["qid"].to_numpy()[s]
-            reach = np.where(np.isfinite(radius), (distances(qv, centre, metric) - radius) * (1 - 1e-12) - 1e-12, -np.inf)
-            near = (reach <= bound[:, None]) & (own[:, None] != names[None, :])
-            got = [(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))]
-            for leaf_no in np.flatnonzero(near.any(axis=0)):
-                ask = np.flatnonzero(near[:, leaf_no])
-                i, j, dist = _within(qv[ask], bound[ask], pv[first[leaf_no]:ends[leaf_no]], metric)
-                got.append((ask[i], j + first[leaf_no], dist))
-            i, j, dist = (np.concatenate(x) for x in zip(*got))
-            keep = _best_of(i, pid[j], dist, need)
-            parts.append(pd.DataFrame({"qid": qid[i[keep]], "nid": pid[j[keep]], "dist": dist[keep]}))
-        return pd.concat(parts)
-
-    in_blocks = placed.withColumnRenamed("cell", "leaf").join(blocks.withColumnRenamed("child", "leaf"), "leaf").select(F.col("block").alias("cell"), "leaf", "nid", "pv")
-    more = _meet(to("block"), in_blocks, visited, f"qid {kind}, nid {kind}, dist double", chunk)
-    if tally is not None:
-        _count(tally, home.select("cell").unionByName(to("target").select("cell")), placed, qs)
-    return nearest(first.unionByName(more))
-
-
-def _count(tally: dict | None, visits: DataFrame, placed: DataFrame, qs: DataFrame) -> None:
+    if len(cells) > 1:
+        last = first.groupBy("qid").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_last"))
+        # rounding may lift a computed distance over the bound it must meet
+        limit = F.when(F.col("_n") >= need, F.col("_last") * (1 + 1e-12) + 1e-12).otherwise(F.lit(float("inf")))
+        asked = home.drop("bound").join(last, "qid", "left").select("qid", "qv", F.col("cell").alias("own"), limit.alias("bound"))
+
+        def sent(batches):
+            step = max(1, min(1024, PAIRS // len(cells)))  # also bounds the vectors of what is given out
+            for batch in batches:
+                for k in range(0, len(batch), step):
+                    g = batch.iloc[k:k + step]
+                    qv, bound, own = _matrix(g["qv"]), g["bound"].to_numpy().copy(), g["own"].to_numpy()
+                    open_ = np.isinf(bound)
+                    if open_.any() and (counts >= need).any():
+                        far = _to_boxes(qv[open_], low[counts >= need], high[counts >= need], metric, farthest=True)
+                        bound[open_] = far.min(axis=1) * (1 + 1e-12) + 1e-12
+                    i, j = np.nonzero(_near(qv, bound, low, high, metric) & (own[:, None] != cells[None, :]))
+                    yield pd.DataFrame({"cell": cells[j], "qid": g["qid"].to_numpy()[i], "qv": g["qv"].to_numpy()[i], "bound": bound[i]})
+
+        visits = asked.mapInPandas(sent, f"cell long, qid {kind}, qv array<{wide}>, bound double").checkpoint()
+        first = first.unionByName(found(visits))
+        first = nearest(first if tally is None else first.checkpoint())
     if tally is not None:
-        sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-        tally["visited"] = visits.join(sizes, "cell").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        tally["all"] = placed.count() * qs.count()
+        tally["visited"], tally["all"] = met.value, n * qs.count()
+    return first

@@ -121,6 +121,44 @@ def test_knn_visits_few_points(spark, dims, spread):
         assert [got[i, p] for p in range(1, 6)] == [j for j in np.lexsort((np.arange(6000), dist)) if j != i][:5]
 
 
+@pytest.mark.parametrize("kind", ["f4", "f8"])
+def test_knn_without_structure(spark, monkeypatch, kind):
+    """Every cell is in reach; few distances and few rows are in memory at a time. Numbers that are floats travel as floats."""
+    from larkframe.operators import neighbors as nb
+
+    x = np.random.default_rng(5).normal(size=(900, 24)).astype(kind).astype(float)
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    tally, seen, meet = {}, [], nb._meet
+
+    def spy(left, right, *more):
+        seen.append((dict(left.dtypes)["qv"], left.count(), left.select("qid", "cell").distinct().count()))
+        return meet(left, right, *more)
+
+    monkeypatch.setattr(nb, "_meet", spy)
+    got = {(r.qid, r.place): (r.nid, round(r.dist, 9)) for r in nb.knn(d, d, 4, chunk=100, leaf=20, tally=tally).collect()}
+    assert {i: [got[i, p] for p in range(1, 5)] for i in range(900)} == brute_knn(x, x, 4, True)
+    assert [s[0] for s in seen] == [f"array<{'float' if kind == 'f4' else 'double'}>"] * 2 and seen[0][1] == 900
+    assert seen[1][1] == seen[1][2] <= 900 * 40 and tally["visited"] <= tally["all"]  # once to a cell, which holds some 100 points
+
+
+def test_nearest_inside_a_cell(monkeypatch):
+    from larkframe.operators import neighbors as nb
+
+    monkeypatch.setattr(nb, "PAIRS", 64)
+    rng = np.random.default_rng(7)
+    for dims, metric in ((1, "l2"), (3, "l1"), (12, "l2")):
+        p, q = np.unique(rng.integers(0, 6, (300, dims)), axis=0).astype(float), rng.integers(-1, 7, (50, dims)).astype(float)
+        key = rng.permutation(len(p))
+        bound = np.where(rng.random(50) < 0.5, np.inf, 2.0)
+        i, j, dist, met = nb._nearest_in(q, bound, p, key, 3, metric, 7)
+        far = nb.distances(q, p, metric)
+        for r in range(50):
+            want = [c for c in np.lexsort((key, far[r])) if far[r, c] <= bound[r]][:3]
+            mine = sorted(zip(dist[i == r], key[j[i == r]]))
+            assert mine == [(far[r, c], key[c]) for c in want]
+        assert met <= 50 * len(p)
+
+
 @pytest.mark.parametrize("leaf", [512, 12])
 def test_knn_other_queries(spark, leaf):
     d, x = points(spark, n=200)
