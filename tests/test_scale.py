@@ -63,3 +63,22 @@ def test_token_filter_drops_terms_before_the_count(spark, tables):
     out = features.fe_tokenfilter(tables)
     assert out.select("term").distinct().count() == 100
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]  # after terms are spread, rows meet no other table
+
+
+def test_neighbours_on_a_lattice_of_lines(spark, monkeypatch):
+    """One continuous and two coarse columns, as in the imputation by neighbours: a query meets a few hundred points, rows are dealt to cells twice."""
+    from larkframe.operators import neighbors as nb
+
+    meet, calls = nb._meet, []
+    monkeypatch.setattr(nb, "_meet", lambda *a, **kw: calls.append(1) or meet(*a, **kw))
+    rng = np.random.default_rng(11)
+    x = np.stack([rng.random(24_000) * 4, rng.integers(0, 11, 24_000) / 3, rng.integers(0, 9, 24_000) / 2.5], axis=1)
+    d = spark.createDataFrame([(f"k{i:05d}", v.tolist()) for i, v in enumerate(x)], "id string, vec array<double>")
+    donors, gaps, tally = d.where("id >= 'k04000'"), d.where("id < 'k04000'"), {}
+    got = {(r.qid, r.place): r.nid for r in knn(donors, gaps, 5, same=False, tally=tally).collect()}
+    assert len(calls) == 2  # once for the own cell and once for the others; before, twice more for every level of a tree
+    assert len(got) == 20_000 and tally["all"] == 80_000_000
+    assert tally["visited"] < 0.05 * tally["all"]
+    for i in range(0, 4000, 97):
+        far = distances(x[i][None], x[4000:], "l2")[0]
+        assert [got[f"k{i:05d}", p] for p in range(1, 6)] == [f"k{4000 + j:05d}" for j in np.lexsort((np.arange(20_000), far))[:5]]
